@@ -181,6 +181,14 @@ class _JdbcAdmin(_Admin):
         return [Relation(space or "", name, kind, self.path(space, name))
                 for space, name, kind in _cursor(result, (2, 3, 4))]
 
+    def text_widths(self, name: str) -> dict[str, int]:
+        """Declared widths of the VARCHAR and CHAR columns of a table."""
+        relation = self.find(name)
+        result = self._meta.getColumns(None, relation.schema or None, None, None)
+        listed = _cursor(result, ("TABLE_NAME", "COLUMN_NAME", "TYPE_NAME", "COLUMN_SIZE"))
+        return {column: int(size) for table, column, kind, size in listed
+                if table == relation.name and kind in ("VARCHAR", "CHAR")}
+
     def key_columns(self, relation: Relation) -> list[str]:
         result = self._meta.getPrimaryKeys(None, relation.schema or None, relation.name)
         return [name for _, name in sorted(_cursor(result, ("KEY_SEQ", "COLUMN_NAME")))]

@@ -86,6 +86,10 @@ def register_connection(name: str, url: str, *, driver: str = "", username: str
     return made
 
 
+def is_registered(name: str) -> bool:
+    return name in _registry
+
+
 def drop_connection(name: str) -> None:
     _registry.pop(name, None)
 

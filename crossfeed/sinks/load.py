@@ -146,7 +146,7 @@ class _Plan:
             if self.exists and self.mode == "overwrite":
                 admin.run(f"DELETE FROM {target}" if not self.fresh else f"DROP TABLE {target}")
             if self.fresh:
-                self._create(admin, self.table, self.frame)
+                self._create(admin, self.table, self.frame, self.types, self.primary_key)
             self._write(self._counted(self.frame), target)
             for statement in self.post_sql:
                 admin.run(statement, "run the statement after the load")
@@ -163,9 +163,10 @@ class _Plan:
         built = scratch_name(self.table) if self.fresh else self.table
         with open_admin(self.spark, self.found) as admin:
             try:
-                self._create(admin, staging, rows, {TRY_COLUMN: "VARCHAR(36)"}, primary_key=())
+                # Text stays in the dialect's own type here: some drivers refuse a NULL of that type in a VARCHAR.
+                self._create(admin, staging, rows, {TRY_COLUMN: "VARCHAR(36)"})
                 if self.fresh:
-                    self._create(admin, built, self.frame)
+                    self._create(admin, built, self.frame, self.types, self.primary_key)
                 self._write(self._counted(rows), admin.quote(staging))
                 count = self.observed.get["rows"]
                 admin.transaction(self._moves(admin, staging, built, count), "move the loaded rows to their table")
@@ -188,13 +189,21 @@ class _Plan:
         moves = []
         if not self.fresh and self.mode == "overwrite":
             moves.append(f"DELETE FROM {admin.quote(built)}")
-        moves.append(f"INSERT INTO {admin.quote(built)} ({names}) SELECT {names} FROM {place} s{first}")
+        values = ", ".join(self._assigned(admin, built))
+        moves.append(f"INSERT INTO {admin.quote(built)} ({names}) SELECT {values} FROM {place} s{first}")
         if self.fresh:
             if self.exists:
                 moves.append(f"DROP TABLE {admin.quote(self.table)}")
             moves.append(admin.rename_sql(built, self.table))
         return moves + [f"DROP TABLE {place}"] + self.post_sql
 
+    def _assigned(self, admin, built: str) -> list[str]:
+        """Staged columns as the target takes them. Derby assigns long text to a VARCHAR only with a cast, which
+        raises when the text does not fit; other databases convert on their own."""
+        widths = admin.text_widths(built) if self.found.target.startswith("jdbc:derby:") else {}
+        return [f"CAST({admin.quote(name)} AS VARCHAR({widths[name]}))" if name in widths else admin.quote(name)
+                for name in self.frame.columns]
+
     def through_dbapi(self) -> LoadResult:
         register_dbapi(self.spark)
         staging = scratch_name(self.table)
@@ -234,12 +243,11 @@ class _Plan:
                  T.BinaryType: "BLOB", T.DateType: "DATE"}
         return names.get(type(kind), "TIMESTAMP")
 
-    def _create(self, admin, name: str, frame: DataFrame, more_types=None, primary_key=None) -> None:
-        """An empty table in the types of Spark's dialect for the database."""
-        self._write(frame.limit(0), admin.quote(name), {**self.types, **(more_types or {})})
-        key = self.primary_key if primary_key is None else primary_key
-        if key:
-            for statement in primary_key_sql(admin, self.found, name, key):
+    def _create(self, admin, name: str, frame: DataFrame, types: dict[str, str], primary_key=()) -> None:
+        """An empty table in the types of Spark's dialect for the database, but for the columns in ``types``."""
+        self._write(frame.limit(0), admin.quote(name), types)
+        if primary_key:
+            for statement in primary_key_sql(admin, self.found, name, primary_key):
                 admin.run(statement, f"add the primary key of '{name}'")
 
     def _write(self, frame: DataFrame, path: str, types: dict[str, str] | None = None) -> None:
