@@ -113,11 +113,11 @@ class _JdbcAdmin(_Admin):
         else:
             self._raw = manager.getConnection(connection.target, properties)
         self._raw.setReadOnly(connection.read_only)
-        self._timeout = connection.timeout
+        self._timeout = connection.query_timeout
         self._target = connection.target
         self._meta = self._raw.getMetaData()
         self.quote_mark = self._meta.getIdentifierQuoteString().strip() or '"'
-        self._strings = lambda values: _java_strings(spark, values)
+        self._spark = spark
 
     def close(self):
         if not self._raw.isClosed():
@@ -177,7 +177,7 @@ class _JdbcAdmin(_Admin):
         return list(found.values())
 
     def _listing(self, schema, pattern, kinds):
-        result = self._meta.getTables(None, schema, pattern, self._strings(kinds))
+        result = self._meta.getTables(None, schema, pattern, _java_strings(self._spark, kinds))
         return [Relation(space or "", name, kind, self.path(space, name))
                 for space, name, kind in _cursor(result, (2, 3, 4))]
 

@@ -31,17 +31,16 @@ class Connection:
     username: str = ""
     password: str = field(default="", repr=False)
     timeout: int = DEFAULT_TIMEOUT
+    query_timeout: int = 0
     read_only: bool = True
+    login_timeout_property: str = ""
     properties: tuple[tuple[str, str], ...] = field(default=(), repr=False)
     session_init: str = ""
 
-    def writable(self) -> "Connection":
-        return replace(self, read_only=False)
-
     def jdbc_options(self) -> dict[str, str]:
         options = dict(self.properties)
         options["url"] = self.target
-        options["queryTimeout"] = str(self.timeout)
+        options["queryTimeout"] = str(self.query_timeout)
         options["preferTimestampNTZ"] = "true"
         if self.driver:
             options["driver"] = self.driver
@@ -49,6 +48,8 @@ class Connection:
             options["user"] = self.username
         if self.password:
             options["password"] = self.password
+        if self.login_timeout_property:
+            options[self.login_timeout_property] = str(self.timeout)
         if self.session_init:
             options["sessionInitStatement"] = self.session_init
         return options
@@ -70,8 +71,13 @@ _registry: dict[str, Connection] = {}
 
 
 def register_connection(name: str, url: str, *, driver: str = "", username: str = "", password: str = "",
-                        properties: dict[str, str] | None = None, session_init: str = "") -> Connection:
-    """Make ``url`` known as ``name``; ``properties`` are handed to the driver as they are."""
+                        properties: dict[str, str] | None = None, session_init: str = "",
+                        login_timeout_property: str = "") -> Connection:
+    """Make ``url`` known as ``name``; ``properties`` are handed to the driver as they are.
+
+    ``session_init`` is a statement every task's connection runs first. ``login_timeout_property`` is what the driver
+    calls its login timeout in seconds; with it, tasks keep to ``timeout`` as the driver process does.
+    """
     made = replace(
         _from_url(require_text("url", url)),
         label=require_text("name", name),
@@ -79,6 +85,7 @@ def register_connection(name: str, url: str, *, driver: str = "", username: str
         password=password,
         properties=tuple(sorted((properties or {}).items())),
         session_init=session_init,
+        login_timeout_property=login_timeout_property,
     )
     if driver:
         made = replace(made, driver=driver)
@@ -95,8 +102,11 @@ def drop_connection(name: str) -> None:
 
 
 def resolve(connection, username: str = "", password: str = "", timeout: int = DEFAULT_TIMEOUT,
-            read_only: bool = True) -> Connection:
-    """The connection a named argument stands for, with the per-call settings applied."""
+            read_only: bool = True, query_timeout: int = 0) -> Connection:
+    """The connection a named argument stands for, with the per-call settings applied.
+
+    ``timeout`` limits the login, ``query_timeout`` every statement; 0 is no limit, as long scans need.
+    """
     if isinstance(connection, Connection):
         found = connection
     else:
@@ -104,9 +114,11 @@ def resolve(connection, username: str = "", password: str = "", timeout: int = D
         if not text.strip():
             raise ExternalError("Failed to connect: the connection is empty")
         found = _lookup(text)
-    if isinstance(timeout, bool) or not isinstance(timeout, int):
-        raise ExternalError("Parameter 'timeout' must be an integer")
-    found = replace(found, timeout=timeout, read_only=check_flag("read_only", read_only))
+    for name, seconds in (("timeout", timeout), ("query_timeout", query_timeout)):
+        if isinstance(seconds, bool) or not isinstance(seconds, int) or seconds < 0:
+            raise ExternalError(f"Parameter '{name}' must be an integer of at least 0")
+    found = replace(found, timeout=timeout, query_timeout=query_timeout,
+                    read_only=check_flag("read_only", read_only))
     if check_text("username", username):
         found = replace(found, username=username)
     if check_text("password", password):

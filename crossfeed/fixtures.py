@@ -21,10 +21,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from crossfeed import connections
+from crossfeed.admin import open_admin
 from crossfeed.connections import register_connection
 from crossfeed.errors import ExternalError
 from crossfeed.operators.checkpoints import is_local, shared_folder
 from crossfeed.sinks.load import ext_exec, ext_load
+from crossfeed.sources.splits import balanced_predicates
 
 URL_SETTING = "spark.crossfeed.fixture.url"
 KIND_SETTING = "spark.crossfeed.fixture.kind"
@@ -33,13 +35,15 @@ KEYS = {
     "region": ("r_regionkey",), "nation": ("n_nationkey",), "customer": ("c_custkey",), "supplier": ("s_suppkey",),
     "part": ("p_partkey",), "orders": ("o_orderkey",), "events": ("event_id",), "documents": ("doc_id",),
 }
-RANGE_COLUMNS = {"lineitem": "l_orderkey"}
+# A table without a unique key: the column it is cut by, and the column that cuts a hot key.
+RANGE_COLUMNS = {"lineitem": ("l_orderkey", "l_partkey")}
 VIEWS = {
     "customer_nation": (("customer", "nation"),
                         'CREATE VIEW "customer_nation" AS SELECT c."c_custkey", c."c_name", c."c_acctbal", n."n_name", '
                         'n."n_regionkey" FROM "customer" c JOIN "nation" n ON c."c_nationkey" = n."n_nationkey"'),
 }
 
+_cuts: dict[tuple[str, str, int], list[str]] = {}
 _staged: dict[tuple[str, str], set[str]] = {}
 _folders: dict[str, str] = {}
 
@@ -60,7 +64,7 @@ def source(spark: SparkSession, sf_dir: str, *relations: str) -> str:
             source(spark, sf_dir, *needed)
             ext_exec(spark, connection=name, sql=sql)
         else:
-            column = RANGE_COLUMNS.get(relation)
+            column, _ = RANGE_COLUMNS.get(relation, (None, None))
             index = (f'CREATE INDEX "{relation}_range" ON "{relation}" ("{column}")',) if column else ()
             jdbc = connections.resolve(name).kind == "jdbc"
             # The fixture is written by one process in local mode; a shared database gets the safe path.
@@ -71,15 +75,23 @@ def source(spark: SparkSession, sf_dir: str, *relations: str) -> str:
     return name
 
 
+def balanced_cuts(spark: SparkSession, sf_dir: str, relation: str, count: int | None = None) -> list[str]:
+    """Partitions with even numbers of rows for a table of ``RANGE_COLUMNS``, counted once per session."""
+    name = source(spark, sf_dir, relation)
+    count = count or spark.sparkContext.defaultParallelism
+    key = (name, relation, count)
+    if key not in _cuts:
+        with open_admin(spark, connections.resolve(name)) as admin:
+            _cuts[key] = balanced_predicates(admin, admin.find(relation).path, RANGE_COLUMNS[relation][0], count,
+                                             RANGE_COLUMNS[relation][1])
+    return _cuts[key]
+
+
 def target(spark: SparkSession, sf_dir: str) -> str:
     """The name of a connection to an empty database for the load queries."""
     return _connection(spark, sf_dir, "target")
 
 
-def jdbc_source(spark: SparkSession, sf_dir: str) -> bool:
-    return connections.resolve(_connection(spark, sf_dir, "source")).kind == "jdbc"
-
-
 def sqlite_source(spark: SparkSession, sf_dir: str, *relations: str) -> str:
     """A second, SQLite database with the given tables, for the DB-API source."""
     name = _sqlite(spark, f"{_tag(spark, sf_dir)}-lite")

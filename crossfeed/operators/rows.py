@@ -39,9 +39,10 @@ def first_last_per_group(frame: DataFrame, keys: list[str], order: list[str], co
                        *[F.col("cf_last")[name].alias(f"last_{name}") for name in columns])
 
 
-def with_position(frame: DataFrame, order: list[str], name: str = "position") -> DataFrame:
+def with_position(frame: DataFrame, order: list[str], name: str = "position",
+                  num_partitions: int | None = None) -> DataFrame:
     """Every row with its one-based position; ``order`` has to tell any two rows apart."""
-    numbered = _numbered(frame, order)
+    numbered = _numbered(frame, order, num_partitions)
     return (numbered.join(F.broadcast(_offsets(numbered)), _PART)
             .withColumn(name, F.col("cf_before") + F.col(_PLACE) + 1)
             .drop(_PART, _PLACE, "cf_before"))
@@ -60,9 +61,10 @@ def skip_rows(frame: DataFrame, order: list[str], skip: int, take: int | None =
     return placed.drop("cf_position")
 
 
-def prior_row(frame: DataFrame, order: list[str], columns: list[str], prefix: str = "prior_") -> DataFrame:
+def prior_row(frame: DataFrame, order: list[str], columns: list[str], prefix: str = "prior_",
+              num_partitions: int | None = None) -> DataFrame:
     """Every row with values of the row before it. Only the first row of a partition looks at another partition."""
-    numbered = _numbered(frame, order)
+    numbered = _numbered(frame, order, num_partitions)
     values = F.struct(*[column_of(name) for name in columns])
     window = Window.partitionBy(_PART).orderBy(_PLACE)
     # One row per non-empty partition: its last values, handed to the next non-empty partition.
@@ -75,10 +77,11 @@ def prior_row(frame: DataFrame, order: list[str], columns: list[str], prefix: st
                          *[F.col("cf_prior")[name].alias(prefix + name) for name in columns])
 
 
-def _numbered(frame: DataFrame, order: list[str]) -> DataFrame:
+def _numbered(frame: DataFrame, order: list[str], num_partitions: int | None) -> DataFrame:
     """Sorted range partitions with partition number and place; both come with the generated row id."""
     spark = frame.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                  spark.sparkContext.defaultParallelism)
     by = [column_of(name) for name in order]
     ordered = frame.repartitionByRange(parts, *by).sortWithinPartitions(*by)
     row_id = F.monotonically_increasing_id()

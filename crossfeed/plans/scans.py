@@ -7,23 +7,22 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossfeed import connections
-from crossfeed.admin import open_admin, scratch_name
-from crossfeed.fixtures import read_parquet, source, sqlite_source, target
+from crossfeed.admin import scratch_name
+from crossfeed.fixtures import RANGE_COLUMNS, balanced_cuts, read_parquet, source, sqlite_source, target
 from crossfeed.functions import text
 from crossfeed.functions.types import as_text, column_of
 from crossfeed.operators.profile import profile_tables
+from crossfeed.operators.relations import small_side
 from crossfeed.plans.registry import query
 from crossfeed.sinks.load import ext_load
 from crossfeed.sources.attach import ext_attach
 from crossfeed.sources.scan import ext_multi_query, ext_query, ext_scan
-from crossfeed.sources.splits import balanced_predicates
 
 
 def scan(spark: SparkSession, sf_dir: str, table: str, columns: list[str] | None = None, **options) -> DataFrame:
-    """A staged table; ``lineitem`` has no unique key, so its partition column is named here."""
-    if table == "lineitem":
-        options = {"partition_column": "l_orderkey"} | options
+    """A staged table. One without a unique key is cut by row counts, since a third of its rows may share a key."""
+    if table in RANGE_COLUMNS and not options:
+        options = {"predicates": balanced_cuts(spark, sf_dir, table)}
     return ext_scan(spark, table_name=table, connection=source(spark, sf_dir, table), columns=columns, **options)
 
 
@@ -39,16 +38,14 @@ def ext_scan_orders(spark, sf_dir):
 
 @query("scan_partitioned_range", "select * from lineitem")
 def scan_partitioned_range(spark, sf_dir):
-    return scan(spark, sf_dir, "lineitem", num_partitions=8)
+    return scan(spark, sf_dir, "lineitem", partition_column="l_orderkey", num_partitions=8)
 
 
 @query("scan_partitioned_predicates", "select * from lineitem")
 def scan_partitioned_predicates(spark, sf_dir):
     """Partitions with about the same number of rows, cut by counts the database makes."""
-    name = source(spark, sf_dir, "lineitem")
-    with open_admin(spark, connections.resolve(name)) as admin:
-        predicates = balanced_predicates(admin, admin.find("lineitem").path, "l_orderkey", 8, "l_partkey")
-    return ext_scan(spark, table_name="lineitem", connection=name, predicates=predicates)
+    return scan(spark, sf_dir, "lineitem", partition_column="l_orderkey", tie_column="l_partkey", num_partitions=8,
+                balanced=True)
 
 
 @query("scan_fetchsize", "select * from orders")
@@ -200,9 +197,11 @@ def typeof_columns(spark, sf_dir):
     frame = scan(spark, sf_dir, "part", ["p_partkey", "p_name", "p_size", "p_retailprice"])
     pairs = [(name, F.typeof(name)) for name in frame.columns]
     pairs.append(("p_retailprice as text", F.typeof(as_text(F.col("p_retailprice"), frame.schema[-1].dataType))))
-    return (frame.select(F.explode(F.array(*[F.struct(F.lit(name).alias("column_name"), kind.alias("type_name"))
-                                             for name, kind in pairs])).alias("pair"))
-            .groupBy("pair.column_name", "pair.type_name").agg(F.count(F.lit(1)).alias("n")))
+    kinds = frame.agg(F.count(F.lit(1)).alias("n"), *[F.max(kind).alias(f"k{place}")
+                                                      for place, (_, kind) in enumerate(pairs)])
+    return kinds.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("column_name"), F.col(f"k{place}").alias("type_name"), F.col("n"))
+        for place, (name, _) in enumerate(pairs)])))
 
 
 @query("scan_all_varchar", "select cast(s_suppkey as varchar) as s_suppkey, s_name, cast(s_nationkey as varchar) as "
@@ -270,24 +269,29 @@ def decode_alias_table(spark, sf_dir):
     join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
     join region on n_regionkey = r_regionkey group by r_name, n_name""")
 def attach_tables_join(spark, sf_dir):
-    """Orders are summed per customer before they are joined, so one row per customer is shuffled."""
+    """Orders are summed per customer, then per nation, before each join: hot keys are single rows in the shuffle."""
     attach(spark, sf_dir, "atj_", "orders", "customer", "nation", "region")
     return spark.sql("""
         WITH bought AS (
             SELECT o_custkey, count(*) AS n, sum(cast(o_totalprice AS decimal(18, 2))) AS total
-            FROM atj_orders GROUP BY o_custkey)
+            FROM atj_orders GROUP BY o_custkey),
+        sold AS (
+            SELECT c_nationkey, sum(n) AS n, sum(total) AS total
+            FROM bought JOIN atj_customer ON o_custkey = c_custkey GROUP BY c_nationkey)
         SELECT r_name, n_name, sum(n) AS n, cast(sum(total) AS decimal(38, 2)) AS total
-        FROM bought JOIN atj_customer ON o_custkey = c_custkey JOIN atj_nation ON c_nationkey = n_nationkey
-        JOIN atj_region ON n_regionkey = r_regionkey GROUP BY r_name, n_name""")
+        FROM sold JOIN atj_nation ON c_nationkey = n_nationkey JOIN atj_region ON n_regionkey = r_regionkey
+        GROUP BY r_name, n_name""")
 
 
 @query("attach_views", """
     select c_custkey, c_name, n_name, r_name from customer join nation on c_nationkey = n_nationkey
     join region on n_regionkey = r_regionkey""")
 def attach_views(spark, sf_dir):
+    """An external view joined with an external table; the few regions are measured, then broadcast."""
     attach(spark, sf_dir, "av_", "customer_nation", "region")
-    return spark.sql("SELECT c_custkey, c_name, n_name, r_name FROM av_customer_nation "
-                     "JOIN av_region ON n_regionkey = r_regionkey")
+    regions = small_side(spark.table("av_region"))
+    return (spark.table("av_customer_nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+            .select("c_custkey", "c_name", "n_name", "r_name"))
 
 
 @query("attach_overwrite", "select c_custkey, c_name from customer")

@@ -19,7 +19,7 @@ from crossfeed.admin import open_admin, scratch_name
 from crossfeed.connections import Connection
 from crossfeed.errors import ExternalError, failed, require_text
 from crossfeed.functions.types import column_of, writable
-from crossfeed.operators.checkpoints import ensure_checkpoint_dir
+from crossfeed.operators.checkpoints import checkpointed
 from crossfeed.sources.dbapi import SOURCE_NAME, TAG_COLUMN
 from crossfeed.sources.scan import register_dbapi
 
@@ -141,13 +141,14 @@ class _Plan:
         return frame.observe(self.observed, F.count(F.lit(1)).alias("rows"))
 
     def straight(self) -> LoadResult:
-        with open_admin(self.spark, self.found) as admin:
+        with self._admin() as admin:
             target = admin.quote(self.table)
             if self.exists and self.mode == "overwrite":
-                admin.run(f"DELETE FROM {target}" if not self.fresh else f"DROP TABLE {target}")
+                admin.run(f"DROP TABLE {target}" if self.fresh else f"DELETE FROM {target}")
             if self.fresh:
                 self._create(admin, self.table, self.frame, self.types, self.primary_key)
-            self._write(self._counted(self.frame), target)
+        self._write(self._counted(self.frame), target)
+        with self._admin() as admin:
             for statement in self.post_sql:
                 admin.run(statement, "run the statement after the load")
         return LoadResult(self.table, self.observed.get["rows"])
@@ -155,28 +156,34 @@ class _Plan:
     def through_staging(self, stable_input: bool) -> LoadResult:
         rows = self.frame.withColumn(ROW_COLUMN, F.monotonically_increasing_id())
         if not stable_input:
-            ensure_checkpoint_dir(self.spark)
-            rows = rows.checkpoint()
+            rows = checkpointed(rows)
         # The same row of a repeated task has the same identity and another mark.
         rows = rows.withColumn(TRY_COLUMN, F.java_method(F.lit("java.util.UUID"), F.lit("randomUUID")))
         staging = scratch_name(self.table)
         built = scratch_name(self.table) if self.fresh else self.table
-        with open_admin(self.spark, self.found) as admin:
-            try:
+        try:
+            with self._admin() as admin:
                 # Text stays in the dialect's own type here: some drivers refuse a NULL of that type in a VARCHAR.
                 self._create(admin, staging, rows, {TRY_COLUMN: "VARCHAR(36)"})
                 if self.fresh:
                     self._create(admin, built, self.frame, self.types, self.primary_key)
-                self._write(self._counted(rows), admin.quote(staging))
-                count = self.observed.get["rows"]
+                place = admin.quote(staging)
+            # The write may take hours: no connection is held open meanwhile.
+            self._write(self._counted(rows), place)
+            count = self.observed.get["rows"]
+            with self._admin() as admin:
                 admin.transaction(self._moves(admin, staging, built, count), "move the loaded rows to their table")
-            except Exception:
+        except Exception:
+            with self._admin() as admin:
                 for leftover in (staging, built if self.fresh else ""):
                     if leftover and admin.exists(leftover):
                         admin.run(f"DROP TABLE {admin.quote(leftover)}")
-                raise
+            raise
         return LoadResult(self.table, count)
 
+    def _admin(self):
+        return open_admin(self.spark, self.found)
+
     def _moves(self, admin, staging: str, built: str, count: int) -> list[str]:
         place = admin.quote(staging)
         names = ", ".join(admin.quote(name) for name in self.frame.columns)
@@ -207,23 +214,24 @@ class _Plan:
     def through_dbapi(self) -> LoadResult:
         register_dbapi(self.spark)
         staging = scratch_name(self.table)
-        with open_admin(self.spark, self.found) as admin:
+        with self._admin() as admin:
             target, place = admin.quote(self.table), admin.quote(staging)
             before = []
             if self.exists and self.mode == "overwrite":
-                before.append(f"DELETE FROM {target}" if not self.fresh else f"DROP TABLE {target}")
+                before.append(f"DROP TABLE {target}" if self.fresh else f"DELETE FROM {target}")
             if self.fresh:
                 before.append(self._table_sql(admin, self.table, self.primary_key))
             admin.run(self._table_sql(admin, staging, (), f", {TAG_COLUMN} VARCHAR(32)"))
-            options = self.found.dbapi_options() | {
-                "staging": place, "target": target, "batchsize": str(self.batch_size),
-                "before": json.dumps(before), "after": json.dumps(self.post_sql),
-            }
-            try:
-                self._counted(self.frame).write.format(SOURCE_NAME).options(**options).mode("append").save()
-            except Exception as cause:
+        options = self.found.dbapi_options() | {
+            "staging": place, "target": target, "batchsize": str(self.batch_size),
+            "before": json.dumps(before), "after": json.dumps(self.post_sql),
+        }
+        try:
+            self._counted(self.frame).write.format(SOURCE_NAME).options(**options).mode("append").save()
+        except Exception as cause:
+            with self._admin() as admin:
                 admin.run(f"DROP TABLE {place}")
-                raise failed(f"load table '{self.table}'", cause) from cause
+            raise failed(f"load table '{self.table}'", cause) from cause
         return LoadResult(self.table, self.observed.get["rows"])
 
     def _table_sql(self, admin, name: str, primary_key, more: str = "") -> str:

@@ -38,6 +38,7 @@ from crossfeed.functions.remote_types import base_name, spark_type
 
 SOURCE_NAME = "crossfeed_dbapi"
 FETCH_SIZE = 10_000
+BATCH_BYTES = 32 * 1024 * 1024
 TAG_COLUMN = "cf_attempt"
 WRITE_WAIT_SECONDS = 600
 
@@ -129,7 +130,7 @@ def describe(session: Session, relation: str) -> T.StructType:
     view = quoted(f"cf_describe_{uuid.uuid4().hex[:8]}")
     session.run(f"CREATE TEMP VIEW {view} AS SELECT * FROM {relation}")
     try:
-        columns = session.cursor(f"SELECT name, type FROM pragma_table_info({view})".replace('"', "'")).fetchall()
+        columns = session.cursor("SELECT name, type FROM pragma_table_info(?)", [view.strip('"')]).fetchall()
         fields = []
         for name, declared in columns:
             if not declared:
@@ -218,7 +219,10 @@ class DbApiReader(DataSourceReader):
             cursor = session.cursor(sql, values)
             while rows := cursor.fetchmany(size):
                 arrays = [arrow_column(list(cells), kind) for cells, kind in zip(zip(*rows), types)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+                batch = pa.RecordBatch.from_arrays(arrays, schema=arrow)
+                yield batch
+                if batch.nbytes > BATCH_BYTES:
+                    size = max(1, size * BATCH_BYTES // batch.nbytes)
 
 
 def arrow_column(cells: list, kind: pa.DataType) -> pa.Array:
