@@ -4,7 +4,8 @@ Which one it is depends on the session:
 
 * ``spark.crossfeed.fixture.url`` set: the database the cluster has, staged into under the given URL (with
   ``.driver``, ``.user``, ``.password`` beside it);
-* local mode: embedded Derby in Spark's own JVM, over JDBC, in a new temporary folder;
+* local mode: embedded Derby in Spark's own JVM, over JDBC, in a new temporary folder
+  (``spark.crossfeed.fixture.kind=sqlite`` takes the next way instead);
 * otherwise: SQLite files in the folder all executors share, over the DB-API source. A Derby database could be seen
   by its own process only.
 
@@ -105,7 +106,8 @@ def sqlite_source(spark: SparkSession, sf_dir: str, *relations: str) -> str:
 
 
 def _connection(spark: SparkSession, sf_dir: str, role: str) -> str:
-    name = f"{_tag(spark, sf_dir)}-{role}"
+    kind = spark.conf.get(KIND_SETTING, "derby")
+    name = f"{_tag(spark, sf_dir)}-{kind}-{role}"
     if connections.is_registered(name):
         return name
     url = spark.conf.get(URL_SETTING, None)
@@ -114,7 +116,7 @@ def _connection(spark: SparkSession, sf_dir: str, role: str) -> str:
                             username=spark.conf.get("spark.crossfeed.fixture.user", ""),
                             password=spark.conf.get("spark.crossfeed.fixture.password", ""))
         return name
-    if is_local(spark) and spark.conf.get(KIND_SETTING, "derby") == "derby":
+    if is_local(spark) and kind == "derby":
         settings = spark._jvm.java.lang.System
         folder = _folder(spark, local=True)
         settings.setProperty("derby.stream.error.file", f"{folder}/derby.log")

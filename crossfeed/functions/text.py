@@ -18,7 +18,7 @@ UTF_8 = ("UTF-8", "UTF8", "CP65001")
 WINDOWS_PAGES = (1250, 1251, 1252, 1253, 1254, 1255, 1256, 1257, 1258)
 ISO_PARTS = (1, 2, 3, 4, 5, 6, 7, 8, 9, 15)
 EAST_ASIAN = {
-    "SHIFT-JIS": "cp932", "CP932": "cp932",
+    "SHIFT_JIS": "cp932", "SHIFT-JIS": "cp932", "CP932": "cp932",
     "GB2312": "gbk", "GBK": "gbk", "CP936": "gbk",
     "BIG5": "cp950", "CP950": "cp950",
     "EUC-KR": "cp949", "CP949": "cp949",

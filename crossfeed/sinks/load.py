@@ -196,7 +196,7 @@ class _Plan:
         moves = []
         if not self.fresh and self.mode == "overwrite":
             moves.append(f"DELETE FROM {admin.quote(built)}")
-        values = ", ".join(self._assigned(admin, built))
+        values = ", ".join(self._assigned(admin, built, place))
         moves.append(f"INSERT INTO {admin.quote(built)} ({names}) SELECT {values} FROM {place} s{first}")
         if self.fresh:
             if self.exists:
@@ -204,10 +204,18 @@ class _Plan:
             moves.append(admin.rename_sql(built, self.table))
         return moves + [f"DROP TABLE {place}"] + self.post_sql
 
-    def _assigned(self, admin, built: str) -> list[str]:
+    def _assigned(self, admin, built: str, place: str) -> list[str]:
         """Staged columns as the target takes them. Derby assigns long text to a VARCHAR only with a cast, which
-        raises when the text does not fit; other databases convert on their own."""
-        widths = admin.text_widths(built) if self.found.target.startswith("jdbc:derby:") else {}
+        would cut it, so the lengths are compared first; other databases convert on their own and refuse."""
+        if not self.found.target.startswith("jdbc:derby:"):
+            return [admin.quote(name) for name in self.frame.columns]
+        widths = {name: width for name, width in admin.text_widths(built).items() if name in self.frame.columns}
+        if widths:
+            lengths = ", ".join(f"MAX(LENGTH({admin.quote(name)}))" for name in widths)
+            for (name, width), longest in zip(widths.items(), admin.rows(f"SELECT {lengths} FROM {place}")[0]):
+                if (longest or 0) > width:
+                    raise ExternalError(f"Failed to load '{self.table}': a text of {longest} characters does not fit "
+                                        f"into column '{name}' of {width}")
         return [f"CAST({admin.quote(name)} AS VARCHAR({widths[name]}))" if name in widths else admin.quote(name)
                 for name in self.frame.columns]
 
