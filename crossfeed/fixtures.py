@@ -121,6 +121,7 @@ def _connection(spark: SparkSession, sf_dir: str, role: str) -> str:
         folder = _folder(spark, local=True)
         settings.setProperty("derby.stream.error.file", f"{folder}/derby.log")
         settings.setProperty("derby.system.durability", "test")
+        settings.setProperty("derby.storage.pageCacheSize", "20000")
         register_connection(name, f"jdbc:derby:{folder}/{name};create=true")
         return name
     return _sqlite(spark, name)

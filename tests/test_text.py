@@ -74,6 +74,12 @@ def test_wide_text(spark):
         ("Grüße 👋", "Grüße 👋"), (None, None)]
 
 
-def test_single_byte_charsets_stay_in_the_jvm(cells):
-    plan = cells.select(text.decode_text(F.col("raw"), "CP1252"))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan
+def test_latin_and_utf_8_stay_in_the_jvm(cells):
+    for name, python in (("ISO-8859-1", False), ("UTF-8", False), ("CP1252", True)):
+        plan = cells.select(text.decode_text(F.col("raw"), name))._jdf.queryExecution().executedPlan().toString()
+        assert ("ArrowEvalPython" in plan) is python
+
+
+def test_a_name_that_was_not_announced_gives_null(cells):
+    frame = cells.limit(3).select(text.decode_each(F.col("raw"), F.lit("CP1250"), ["UTF-8"]).alias("text"))
+    assert [row["text"] for row in frame.collect()] == [None, None, None]
