@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import tempfile
 import uuid
 
@@ -63,15 +64,20 @@ def source(spark: SparkSession, sf_dir: str, *relations: str) -> str:
         if relation in VIEWS:
             needed, sql = VIEWS[relation]
             source(spark, sf_dir, *needed)
-            ext_exec(spark, connection=name, sql=sql)
+            with open_admin(spark, connections.resolve(name)) as admin:
+                made = admin.exists(relation)
+            if not made:
+                ext_exec(spark, connection=name, sql=sql)
         else:
             column, _ = RANGE_COLUMNS.get(relation, (None, None))
             index = (f'CREATE INDEX "{relation}_range" ON "{relation}" ("{column}")',) if column else ()
             jdbc = connections.resolve(name).kind == "jdbc"
             # The fixture is written by one process in local mode; a shared database gets the safe path.
+            with open_admin(spark, connections.resolve(name)) as admin:
+                kept = admin.exists(relation)
             ext_load(read_parquet(spark, sf_dir, relation), table_name=relation, connection=name, mode="overwrite",
-                     primary_key=KEYS.get(relation, ()), post_sql=index, stable_input=True,
-                     atomic=not (jdbc and is_local(spark)))
+                     primary_key=KEYS.get(relation, ()), post_sql=() if kept else index, stable_input=True,
+                     truncate=kept, atomic=not (jdbc and is_local(spark)))
         done.add(relation)
     return name
 
@@ -118,7 +124,7 @@ def _connection(spark: SparkSession, sf_dir: str, role: str) -> str:
         return name
     if is_local(spark) and kind == "derby":
         settings = spark._jvm.java.lang.System
-        folder = _folder(spark, local=True)
+        folder = _folder(spark)
         settings.setProperty("derby.stream.error.file", f"{folder}/derby.log")
         settings.setProperty("derby.system.durability", "test")
         settings.setProperty("derby.storage.pageCacheSize", "20000")
@@ -129,23 +135,22 @@ def _connection(spark: SparkSession, sf_dir: str, role: str) -> str:
 
 def _sqlite(spark: SparkSession, name: str) -> str:
     if not connections.is_registered(name):
-        register_connection(name, f"dbapi:sqlite3:{_folder(spark, local=is_local(spark))}/{name}.sqlite")
+        register_connection(name, f"dbapi:sqlite3:{_folder(spark)}/{name}.sqlite")
     return name
 
 
-def _folder(spark: SparkSession, local: bool) -> str:
-    """A folder of this application's own: below the shared folder, or in local mode a temporary one."""
+def _folder(spark: SparkSession) -> str:
+    """A new folder for this application below the one all executors share; in local mode a temporary one may do."""
     application = spark.sparkContext.applicationId
     if application not in _folders:
-        if local:
-            _folders[application] = tempfile.mkdtemp(prefix="crossfeed-fixture-")
-        else:
-            shared = shared_folder(spark).removeprefix("file://").removeprefix("file:")
-            if "://" in shared:
-                raise ExternalError(f"SQLite needs a mounted folder; set {URL_SETTING} to a database instead")
-            made = f"{shared}/crossfeed-{application}-{uuid.uuid4().hex[:8]}"
-            os.makedirs(made)
-            _folders[application] = made
+        shared = re.sub("^file:(//)?", "", shared_folder(spark))
+        if "://" in shared and is_local(spark):
+            shared = tempfile.gettempdir()
+        if "://" in shared:
+            raise ExternalError(f"SQLite needs a mounted folder; set {URL_SETTING} to a database instead")
+        made = f"{shared}/crossfeed-{application}-{uuid.uuid4().hex[:8]}"
+        os.makedirs(made)
+        _folders[application] = made
     return _folders[application]
 
 

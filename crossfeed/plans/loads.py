@@ -140,11 +140,10 @@ def load_row_count(spark, sf_dir):
     return held.select(F.lit(result.rows).cast("bigint").alias("written"), F.col("held").cast("bigint").alias("held"))
 
 
-@query("relation_param_join", "select l_orderkey, l_linenumber, l_quantity, o_totalprice from lineitem "
-                              "join orders on l_orderkey = o_orderkey where o_totalprice > 495000")
+@query("relation_param_join", "select l_partkey, l_orderkey, l_quantity, p_retailprice from lineitem "
+                              "join part on l_partkey = p_partkey")
 def relation_param_join(spark, sf_dir):
-    """A relation given as a parameter: the dearest orders, joined to the rows that belong to them."""
-    wanted = (read_parquet(spark, sf_dir, "orders").filter("o_totalprice > 495000")
-              .select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice"))
-    lines = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"])
-    return join_relation_parameter(lines, wanted, ["l_orderkey"])
+    """A relation given as a parameter: a price list, joined to the external rows it prices."""
+    prices = read_parquet(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    lines = scan(spark, sf_dir, "lineitem", ["l_partkey", "l_orderkey", "l_quantity"])
+    return join_relation_parameter(lines, prices, ["l_partkey"])

@@ -55,7 +55,7 @@ def ext_load(frame: DataFrame, *, table_name: str | None = None, connection=None
              stable_input: bool = False, truncate: bool = False, batch_size: int = BATCH_SIZE,
              column_types: dict[str, str] | None = None, null_sentries: dict[str, object] | None = None,
              null_flags: dict[str, str] | None = None, primary_key: tuple[str, ...] = (),
-             keep_flags: bool = False) -> LoadResult:
+             max_connections: int | None = None) -> LoadResult:
     """Write ``frame`` to an external table; returns the number of rows.
 
     ``null_sentries`` maps a column to the value that stands for NULL, ``null_flags`` maps a column to a boolean
@@ -66,13 +66,21 @@ def ext_load(frame: DataFrame, *, table_name: str | None = None, connection=None
     A JDBC load first checkpoints its input, so that a repeated task writes the same rows; ``stable_input=True``
     skips this for input that is the same on every read (files in a fixed place). ``atomic=False`` writes straight
     to the target: faster, but a failure leaves a part behind and a repeated task may leave copies.
+    ``max_connections`` limits how many tasks write at a time.
     """
     spark = frame.sparkSession
     require_text("table_name", table_name)
     if mode not in MODES:
         raise ExternalError(f"Parameter 'mode' must be one of {', '.join(MODES)}")
     found = connections.resolve(connection, username, password, timeout, False)
-    ready = writable(with_nulls(frame, null_sentries, null_flags, keep_flags))
+    ready = writable(with_nulls(frame, null_sentries, null_flags))
+    if max_connections:
+        ready = ready.coalesce(max_connections)
+    numbered = ready.withColumn(ROW_COLUMN, F.monotonically_increasing_id())
+    if found.kind == "jdbc" and atomic and not stable_input:
+        # Checkpointed once, before the text is measured, so that the input is computed a single time.
+        numbered = checkpointed(numbered)
+        ready = numbered.drop(ROW_COLUMN)
     with open_admin(spark, found) as admin:
         for statement in pre_sql:
             admin.run(statement, "run the statement before the load")
@@ -82,19 +90,18 @@ def ext_load(frame: DataFrame, *, table_name: str | None = None, connection=None
     plan = _Plan(spark, found, ready, table_name, exists, fresh, mode, types, primary_key, list(post_sql), batch_size)
     if found.kind == "dbapi":
         return plan.through_dbapi()
-    return plan.through_staging(stable_input) if atomic else plan.straight()
+    return plan.through_staging(numbered) if atomic else plan.straight()
 
 
-def with_nulls(frame: DataFrame, sentries: dict[str, object] | None, flags: dict[str, str] | None,
-               keep_flags: bool = False) -> DataFrame:
-    """Sentry values and flagged cells as NULL; the flag columns are dropped unless they are to be kept."""
+def with_nulls(frame: DataFrame, sentries: dict[str, object] | None, flags: dict[str, str] | None) -> DataFrame:
+    """Sentry values and flagged cells as NULL; the flag columns are dropped."""
     sentries, flags = sentries or {}, flags or {}
     for name in (*sentries, *flags, *flags.values()):
         if name not in frame.columns:
             raise ExternalError(f"Column '{name}' is not in the frame to load")
     columns = []
     for name in frame.columns:
-        if name in flags.values() and not keep_flags:
+        if name in flags.values():
             continue
         column: Column = column_of(name)
         if name in sentries:
@@ -153,12 +160,9 @@ class _Plan:
                 admin.run(statement, "run the statement after the load")
         return LoadResult(self.table, self.observed.get["rows"])
 
-    def through_staging(self, stable_input: bool) -> LoadResult:
-        rows = self.frame.withColumn(ROW_COLUMN, F.monotonically_increasing_id())
-        if not stable_input:
-            rows = checkpointed(rows)
+    def through_staging(self, numbered: DataFrame) -> LoadResult:
         # The same row of a repeated task has the same identity and another mark.
-        rows = rows.withColumn(TRY_COLUMN, F.java_method(F.lit("java.util.UUID"), F.lit("randomUUID")))
+        rows = numbered.withColumn(TRY_COLUMN, F.java_method(F.lit("java.util.UUID"), F.lit("randomUUID")))
         staging = scratch_name(self.table)
         built = scratch_name(self.table) if self.fresh else self.table
         try:

@@ -11,7 +11,7 @@ from decimal import Decimal
 
 from crossfeed.errors import ExternalError
 
-ROWS_PER_PARTITION = 500_000
+ROWS_PER_PARTITION = 50_000
 CONNECTIONS_PER_CORE = 2
 BUCKETS_PER_PARTITION = 8
 MAX_DEPTH = 24

@@ -134,3 +134,19 @@ def test_straight_load(spark, derby):
     assert cf.ext_scan(spark, table_name="straight", connection=derby).count() == 25
     with pytest.raises(cf.ExternalError):
         cf.ext_load(spark.range(1).selectExpr("id", "'w' AS word"), table_name="straight", connection=derby)
+
+
+def test_the_input_is_computed_once(spark, derby):
+    """The text is measured and written from the same checkpoint; otherwise random text would not match its width."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    frame = spark.range(0, 200, 1, 4).selectExpr("id", "cast(id AS string) AS word").mapInPandas(
+        count, "id bigint, word string")
+    result = cf.ext_load(frame, table_name="once", connection=derby, mode="overwrite", max_connections=2)
+    assert result.rows == 200 and seen.value == 200
+    assert cf.ext_scan(spark, table_name="once", connection=derby).count() == 200
