@@ -64,17 +64,14 @@ def source(spark: SparkSession, sf_dir: str, *relations: str) -> str:
         if relation in VIEWS:
             needed, sql = VIEWS[relation]
             source(spark, sf_dir, *needed)
-            with open_admin(spark, connections.resolve(name)) as admin:
-                made = admin.exists(relation)
-            if not made:
+            if not _exists(spark, name, relation):
                 ext_exec(spark, connection=name, sql=sql)
         else:
             column, _ = RANGE_COLUMNS.get(relation, (None, None))
             index = (f'CREATE INDEX "{relation}_range" ON "{relation}" ("{column}")',) if column else ()
             jdbc = connections.resolve(name).kind == "jdbc"
             # The fixture is written by one process in local mode; a shared database gets the safe path.
-            with open_admin(spark, connections.resolve(name)) as admin:
-                kept = admin.exists(relation)
+            kept = _exists(spark, name, relation)
             ext_load(read_parquet(spark, sf_dir, relation), table_name=relation, connection=name, mode="overwrite",
                      primary_key=KEYS.get(relation, ()), post_sql=() if kept else index, stable_input=True,
                      truncate=kept, atomic=not (jdbc and is_local(spark)))
@@ -111,6 +108,11 @@ def sqlite_source(spark: SparkSession, sf_dir: str, *relations: str) -> str:
     return name
 
 
+def _exists(spark: SparkSession, name: str, relation: str) -> bool:
+    with open_admin(spark, connections.resolve(name, read_only=False)) as admin:
+        return admin.exists(relation)
+
+
 def _connection(spark: SparkSession, sf_dir: str, role: str) -> str:
     kind = spark.conf.get(KIND_SETTING, "derby")
     name = f"{_tag(spark, sf_dir)}-{kind}-{role}"
