@@ -6,6 +6,7 @@ tables. JDBC work goes through the driver class in Spark's own JVM, DB-API work
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from dataclasses import dataclass
 
@@ -13,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from crossfeed.connections import Connection
 from crossfeed.errors import ExternalError, failed
-from crossfeed.sources.dbapi import Session
+from crossfeed.sources.dbapi import Session, stored
 
 TABLE_KINDS = ("TABLE",)
 VIEW_KINDS = ("VIEW", "SYSTEM VIEW")
@@ -77,6 +78,9 @@ class _Admin:
     def exists(self, name: str, schema: str | None = None) -> bool:
         return any(one.name == name for one in self._named(name, schema))
 
+    def time_literal(self, value: dt.date) -> str:
+        return f"TIMESTAMP '{value}'" if isinstance(value, dt.datetime) else f"DATE '{value}'"
+
     def rename_sql(self, old: str, new: str) -> str:
         return f"ALTER TABLE {self.quote(old)} RENAME TO {self.quote(new)}"
 
@@ -125,6 +129,10 @@ class _JdbcAdmin(_Admin):
                 self._raw.rollback()
             self._raw.close()
 
+    def time_literal(self, value):
+        """The JDBC escape, which every driver puts into its own syntax."""
+        return f"{{ts '{value}'}}" if isinstance(value, dt.datetime) else f"{{d '{value}'}}"
+
     def rename_sql(self, old, new):
         if self._target.startswith("jdbc:derby:"):
             return f"RENAME TABLE {self.quote(old)} TO {self.quote(new)}"
@@ -144,7 +152,7 @@ class _JdbcAdmin(_Admin):
             statement.setQueryTimeout(self._timeout)
             result = statement.executeQuery(sql)
             width = result.getMetaData().getColumnCount()
-            return [tuple(row) for row in _cursor(result, range(1, width + 1))]
+            return [tuple(_python(cell) for cell in row) for row in _cursor(result, range(1, width + 1))]
         finally:
             statement.close()
 
@@ -202,6 +210,14 @@ def _cursor(result, columns):
         result.close()
 
 
+def _python(cell):
+    """A Java date or timestamp as a Python one; py4j converts the rest."""
+    kind = cell.getClass().getName() if hasattr(cell, "getClass") else ""
+    if kind == "java.sql.Timestamp":
+        return dt.datetime.fromisoformat(cell.toString())
+    return dt.date.fromisoformat(cell.toString()) if kind == "java.sql.Date" else cell
+
+
 def _java_strings(spark, values):
     made = spark.sparkContext._gateway.new_array(spark._jvm.java.lang.String, len(values))
     for place, value in enumerate(values):
@@ -250,6 +266,10 @@ class _DbApiAdmin(_Admin):
                 "SELECT table_schema, table_name, table_type FROM information_schema.tables ORDER BY 1, 2")]
         return [Relation(schema, name, kind, self.path(schema, name)) for schema, name, kind in listed if kind in kinds]
 
+    def time_literal(self, value):
+        """SQLite keeps times as ISO text."""
+        return f"'{stored(value)}'" if self._session.is_sqlite else super().time_literal(value)
+
     def _named(self, name, schema):
         return [one for one in self.relations(TABLE_KINDS + VIEW_KINDS)
                 if one.name.lower() == name.lower() and (not schema or one.schema.lower() == schema.lower())]

@@ -1,5 +1,7 @@
 """Row access by order: first and last rows, positions, skipping, prior rows, NULL fallbacks.
 
+Orders are ascending and NULL is the lowest value, as in Spark's own sort.
+
 Global positions never sort the whole input in one task. Rows are range-partitioned by all order columns, so a hot
 value of the first column is cut by the following ones; each partition numbers its own rows, and one row per
 partition carries the offsets. The numbered rows are checkpointed, because sampled range bounds may differ when they
@@ -20,11 +22,11 @@ _PART_BITS = 33
 
 def first_row(frame: DataFrame, order: list[str]) -> DataFrame:
     """The first row in an order; only one row per task leaves it."""
-    return frame.orderBy(*[column_of(name).asc_nulls_last() for name in order]).limit(1)
+    return frame.orderBy(*[column_of(name).asc() for name in order]).limit(1)
 
 
 def last_row(frame: DataFrame, order: list[str]) -> DataFrame:
-    return frame.orderBy(*[column_of(name).desc_nulls_last() for name in order]).limit(1)
+    return frame.orderBy(*[column_of(name).desc() for name in order]).limit(1)
 
 
 def first_last_per_group(frame: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:

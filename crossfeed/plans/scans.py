@@ -77,6 +77,20 @@ def ext_query_part(spark, sf_dir):
                      query='SELECT "p_partkey", "p_type" FROM "part" WHERE "p_type" LIKE \'ECON%\';')
 
 
+@query("ext_query_partitioned", "select l_orderkey, l_extendedprice * (1 - l_discount) as revenue from lineitem")
+def ext_query_partitioned(spark, sf_dir):
+    """A remote query whose result is read through several connections."""
+    return ext_query(spark, connection=source(spark, sf_dir, "lineitem"), column_names=["l_orderkey", "revenue"],
+                     partition_column="l_orderkey", num_partitions=8,
+                     query='SELECT "l_orderkey", "l_extendedprice" * (1 - "l_discount") AS revenue FROM "lineitem"')
+
+
+@query("scan_partitioned_time", "select * from events")
+def scan_partitioned_time(spark, sf_dir):
+    """Ranges of a timestamp column."""
+    return scan(spark, sf_dir, "events", partition_column="ts", num_partitions=6)
+
+
 @query("multi_query_union", "select 'customer' as source, c_name as name from customer "
                             "union all select 'supplier' as source, s_name as name from supplier")
 def multi_query_union(spark, sf_dir):

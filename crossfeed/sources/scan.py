@@ -25,13 +25,13 @@ def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=N
              password: str = "", all_varchar: bool = False, encoding: str = "UTF-8",
              timeout: int = connections.DEFAULT_TIMEOUT, read_only: bool = True, schema_name: str | None = None,
              columns: list[str] | None = None, text_columns: tuple[str, ...] = (),
-             partition_column: str | None = None, lower_bound: int | None = None, upper_bound: int | None = None,
+             partition_column: str | None = None, lower_bound=None, upper_bound=None,
              num_partitions: int | None = None, balanced: bool = False, tie_column: str | None = None,
              predicates: list[str] | None = None, fetch_size: int = FETCH_SIZE, query_timeout: int = 0) -> DataFrame:
     """One external table or view as a DataFrame; only the columns and rows a query needs are read.
 
-    Without a ``partition_column`` the leading primary key column is used when it is an integer. Bounds that are not
-    given come from one remote MIN/MAX. ``num_partitions=1`` reads through one connection, hence one snapshot;
+    Without a ``partition_column`` the leading primary key column is used when it is a number, date or timestamp.
+    Bounds that are not given come from one remote MIN/MAX. ``num_partitions=1`` reads through one connection, hence one snapshot;
     several partitions see no common snapshot. ``balanced=True`` has the database count rows per key range, so that
     skewed keys still make even partitions; a single hot key is cut along ``tie_column``. ``predicates`` are remote
     conditions, one partition each; they have to be disjoint and cover the table.
@@ -45,8 +45,8 @@ def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=N
     with open_admin(spark, found) as admin:
         relation = admin.find(table_name, schema_name)
         if predicates is None and num_partitions != 1:
-            predicates = _cuts(spark, admin, relation, partition_column, lower_bound, upper_bound, num_partitions,
-                               balanced, tie_column)
+            predicates = _cuts(spark, admin, relation.path, admin.key_columns(relation), partition_column, lower_bound,
+                               upper_bound, num_partitions, balanced, tie_column)
     frame = _load(spark, found, relation.path, columns, predicates, fetch_size, f"scan table '{table_name}'")
     return _finished(frame, all_varchar, encoding, text_columns)
 
@@ -55,12 +55,15 @@ def ext_query(spark: SparkSession, *, connection=None, query: str | None = None,
               password: str = "", all_varchar: bool = False, encoding: str = "UTF-8",
               timeout: int = connections.DEFAULT_TIMEOUT, read_only: bool = True,
               column_names: list[str] | None = None, text_columns: tuple[str, ...] = (),
+              partition_column: str | None = None, lower_bound=None, upper_bound=None,
+              num_partitions: int | None = None, balanced: bool = False, tie_column: str | None = None,
               predicates: list[str] | None = None, fetch_size: int = FETCH_SIZE,
               query_timeout: int = 0) -> DataFrame:
     """The result of SQL text that the external database runs. Bad text fails here, not at the first action.
 
-    Aggregates and limits belong into the text: the database then sends their result only. ``column_names`` renames
-    the columns by position, for databases that fold the case of names.
+    Aggregates and limits belong into the text: the database then sends their result only. A large result can be cut
+    like a table, by a ``partition_column`` it has; the database then runs the text once per partition.
+    ``column_names`` renames the columns by position, for databases that fold the case of names.
     """
     require_text("query", query)
     check_text("encoding", encoding)
@@ -69,7 +72,12 @@ def ext_query(spark: SparkSession, *, connection=None, query: str | None = None,
     if not text:
         raise ExternalError("Failed to prepare statement: the query is empty")
     found = connections.resolve(connection, username, password, timeout, read_only, query_timeout)
-    frame = _load(spark, found, f"({text}) cf_query", None, predicates, fetch_size, "prepare statement")
+    relation = f"({text}) cf_query"
+    if predicates is None and partition_column is not None and num_partitions != 1:
+        with open_admin(spark, found) as admin:
+            predicates = _cuts(spark, admin, relation, [], partition_column, lower_bound, upper_bound, num_partitions,
+                               balanced, tie_column)
+    frame = _load(spark, found, relation, None, predicates, fetch_size, "prepare statement")
     if column_names:
         if len(column_names) != len(frame.columns):
             raise ExternalError(f"The query has {len(frame.columns)} columns, {len(column_names)} names were given")
@@ -99,30 +107,32 @@ def register_dbapi(spark: SparkSession) -> None:
     spark.dataSource.register(DbApiSource)
 
 
-def _cuts(spark, admin, relation, column, low, high, count, balanced, tie_column) -> list[str] | None:
-    """Predicates for the partitions of a table; None for a table without a usable key."""
+def _cuts(spark, admin, relation: str, keys: list[str], column, low, high, count, balanced,
+          tie_column) -> list[str] | None:
+    """Predicates for the partitions of a relation; None where it has no key that can be cut."""
+    asked = count is not None or balanced or column is not None
     if column is None:
-        keys = admin.key_columns(relation)
         column = keys[0] if keys else None
     if column is None:
-        if count is not None or balanced:
-            raise ExternalError(f"Table '{relation.name}' has no key to partition by, name a partition_column")
+        if asked:
+            raise ExternalError(f"{relation} has no key to partition by, name a partition_column")
         return None
     if low is None or high is None:
-        bounds = splits.key_bounds(admin, relation.path, column)
-        low = bounds.low if low is None else low
-        high = bounds.high if high is None else high
+        least, most, _ = splits.key_bounds(admin, relation, column)
+        low = least if low is None else low
+        high = most if high is None else high
     if low is None or high is None:
         return None
-    if not isinstance(low, int) or not isinstance(high, int):
-        if count is not None or balanced:
-            raise ExternalError(f"Range partitions need an integer column, '{column}' is not")
+    axis = splits.axis_of(low, high, admin.time_literal)
+    if axis is None:
+        if asked:
+            raise ExternalError(f"Range partitions need a number, date or timestamp column, '{column}' is not")
         return None
     if count is None:
-        count = splits.partition_count(splits.Bounds(low, high, 0), spark.sparkContext.defaultParallelism)
+        count = splits.partition_count(axis, spark.sparkContext.defaultParallelism)
     if balanced:
-        return splits.balanced_predicates(admin, relation.path, column, count, tie_column)
-    return splits.range_predicates(admin.quote(column), low, high, count)
+        return splits.balanced_predicates(admin, relation, column, count, tie_column)
+    return splits.range_predicates(admin.quote(column), axis, count)
 
 
 def _load(spark, found: Connection, relation: str, columns, predicates, fetch_size, operation) -> DataFrame:

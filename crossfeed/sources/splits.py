@@ -6,6 +6,9 @@ of the partitions is the whole table whatever the bounds are.
 
 from __future__ import annotations
 
+import datetime as dt
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -16,41 +19,74 @@ CONNECTIONS_PER_CORE = 2
 BUCKETS_PER_PARTITION = 8
 MAX_DEPTH = 24
 
+_EPOCH = dt.datetime(1970, 1, 1)
+_MICROSECOND = dt.timedelta(microseconds=1)
+_DAY = dt.timedelta(days=1)
+
 
 @dataclass(frozen=True)
-class Bounds:
-    low: object
-    high: object
-    rows: int
+class Axis:
+    """Keys as whole numbers between two bounds, and the SQL literal of any number between them."""
+
+    low: int
+    high: int
+    literal: Callable[[int], str]
+    is_integer: bool
 
 
-def key_bounds(admin, relation: str, column: str, with_rows: bool = False) -> Bounds:
-    """Smallest and largest key, by one remote aggregate. Counting rows is left out unless asked for."""
+def key_bounds(admin, relation: str, column: str, with_rows: bool = False) -> tuple:
+    """Smallest key, largest key and row count by one remote aggregate; rows are counted only if asked for."""
     name = admin.quote(column)
     count = "COUNT(*)" if with_rows else "0"
     low, high, rows = admin.rows(f"SELECT MIN({name}), MAX({name}), {count} FROM {relation}",
                                  f"find the bounds of '{column}'")[0]
-    return Bounds(_plain(low), _plain(high), int(rows))
-
-
-def _plain(value):
-    return int(value) if isinstance(value, Decimal) and value == value.to_integral_value() else value
-
-
-def partition_count(bounds: Bounds, cores: int) -> int:
-    """Partitions for an integer key: about ``ROWS_PER_PARTITION`` key values each, within the connection limit."""
-    if not isinstance(bounds.low, int) or not isinstance(bounds.high, int):
-        return 1
-    span = bounds.high - bounds.low + 1
-    return max(1, min(-(-span // ROWS_PER_PARTITION), cores * CONNECTIONS_PER_CORE))
-
-
-def range_predicates(column: str, low: int, high: int, count: int) -> list[str]:
-    """Equal ranges of an integer key; ``column`` is already quoted. NULL keys join the first range."""
+    return low, high, int(rows)
+
+
+def axis_of(low, high, time_literal: Callable[[dt.date], str]) -> Axis | None:
+    """The axis of two bounds that are numbers, dates or timestamps; None for any other key, text for instance."""
+    low, high = _known(low), _known(high)
+    if low is None or high is None or type(low) is not type(high):
+        return None
+    if isinstance(low, int):
+        return Axis(low, high, str, True)
+    if isinstance(low, float):
+        return Axis(math.floor(low), math.ceil(high), str, False) if math.isfinite(high - low) else None
+    if isinstance(low, dt.datetime):
+        return Axis((low - _EPOCH) // _MICROSECOND, (high - _EPOCH) // _MICROSECOND,
+                    lambda number: time_literal(_EPOCH + number * _MICROSECOND), False)
+    return Axis((low - _EPOCH.date()).days, (high - _EPOCH.date()).days,
+                lambda number: time_literal(_EPOCH.date() + number * _DAY), False)
+
+
+def _known(value):
+    if isinstance(value, Decimal):
+        return int(value) if value == value.to_integral_value() else float(value)
+    if isinstance(value, str):
+        for kind in (dt.date, dt.datetime):
+            try:
+                return kind.fromisoformat(value)
+            except ValueError:
+                continue
+        return None
+    return value if isinstance(value, (int, float, dt.date)) else None
+
+
+def partition_count(axis: Axis, cores: int) -> int:
+    """Partitions nobody asked a number for: about ``ROWS_PER_PARTITION`` values of an integer key each, within the
+    connection limit; for other keys, whose density is not known, one per core."""
+    if not axis.is_integer:
+        return cores
+    return max(1, min(-(-(axis.high - axis.low + 1) // ROWS_PER_PARTITION), cores * CONNECTIONS_PER_CORE))
+
+
+def range_predicates(column: str, axis: Axis, count: int) -> list[str]:
+    """Equal ranges of the key; ``column`` is already quoted. NULL keys join the first range."""
+    low, high = axis.low, axis.high
     count = max(1, min(count, high - low + 1))
     if count == 1:
         return ["1 = 1"]
-    cuts = [low + (high - low + 1) * n // count for n in range(1, count)]
+    cuts = [axis.literal(low + (high - low + 1) * n // count) for n in range(1, count)]
     first = [f"{column} < {cuts[0]} OR {column} IS NULL"]
     middle = [f"{column} >= {left} AND {column} < {right}" for left, right in zip(cuts, cuts[1:])]
     return first + middle + [f"{column} >= {cuts[-1]}"]
@@ -66,12 +102,13 @@ def balanced_predicates(admin, relation: str, column: str, count: int, tie_colum
     if count < 1:
         raise ExternalError("Parameter 'num_partitions' must be at least 1")
     name = admin.quote(column)
-    bounds = key_bounds(admin, relation, column, with_rows=True)
-    if bounds.low is None:
+    low, high, rows = key_bounds(admin, relation, column, with_rows=True)
+    if low is None:
         return ["1 = 1"]
-    if not isinstance(bounds.low, int):
+    bounds = axis_of(low, high, admin.time_literal)
+    if bounds is None or not bounds.is_integer:
         raise ExternalError(f"Balanced partitions need an integer column, '{column}' is not")
-    target = max(1, -(-bounds.rows // count))
+    target = max(1, -(-rows // count))
     pieces = _refine(admin, relation, name, bounds.low, bounds.high, "", target, count, 0)
     predicates, start, held = [], None, 0
     for low, high, rows in pieces:

@@ -53,9 +53,9 @@ def test_row_at_skip_and_prior(skewed):
 
 def test_first_and_last(skewed):
     data, frame = skewed
-    known = [row for row in data if row[1] is not None]
-    assert rows.first_row(frame, ["k", "id"]).first()["id"] == min(known, key=lambda r: (r[1], r[0]))[0]
-    assert rows.last_row(frame.filter("k IS NOT NULL"), ["k", "id"]).first()["id"] == max(known, key=lambda r: (r[1], r[0]))[0]
+    ordered = in_order(data)
+    assert rows.first_row(frame, ["k", "id"]).first()["id"] == ordered[0][0]
+    assert rows.last_row(frame, ["k", "id"]).first()["id"] == ordered[-1][0]
     ends = rows.first_last_per_group(frame, ["word"], ["id"], ["id", "k"]).collect()
     for row in ends:
         mine = [one for one in data if one[2] == row["word"]]
