@@ -78,6 +78,9 @@ class _Admin:
     def exists(self, name: str, schema: str | None = None) -> bool:
         return any(one.name == name for one in self._named(name, schema))
 
+    def whole_quotient(self, expression: str, divisor: int) -> str:
+        return f"FLOOR(({expression}) / {divisor})"
+
     def time_literal(self, value: dt.date) -> str:
         return f"TIMESTAMP '{value}'" if isinstance(value, dt.datetime) else f"DATE '{value}'"
 
@@ -266,6 +269,10 @@ class _DbApiAdmin(_Admin):
                 "SELECT table_schema, table_name, table_type FROM information_schema.tables ORDER BY 1, 2")]
         return [Relation(schema, name, kind, self.path(schema, name)) for schema, name, kind in listed if kind in kinds]
 
+    def whole_quotient(self, expression, divisor):
+        """SQLite may lack FLOOR; it divides integers to an integer."""
+        return f"({expression}) / {divisor}" if self._session.is_sqlite else super().whole_quotient(expression, divisor)
+
     def time_literal(self, value):
         """SQLite keeps times as ISO text."""
         return f"'{stored(value)}'" if self._session.is_sqlite else super().time_literal(value)

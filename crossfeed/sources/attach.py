@@ -23,7 +23,8 @@ def ext_attach(spark: SparkSession, *, connection=None, username: str = "", pass
 
     A name that is taken is an error unless ``overwrite``. ``tables_like`` keeps names that match a LIKE pattern
     (``%``, ``_``, escape ``\\``), or one of several. An object that cannot be attached is reported and the rest goes
-    on. The views are temporary: their options, credentials included, are stored in no catalogue.
+    on. Partitions are equal ranges of the primary key; no rows are counted for tables nobody may read. The views are
+    temporary: their options, credentials included, are stored in no catalogue.
     """
     check_flag("overwrite", overwrite)
     check_flag("all_varchar", all_varchar)
@@ -45,7 +46,7 @@ def ext_attach(spark: SparkSession, *, connection=None, username: str = "", pass
         try:
             frame = ext_scan(spark, table_name=one.name, schema_name=one.schema or None, connection=found,
                              timeout=timeout, read_only=read_only, all_varchar=all_varchar, encoding=encoding,
-                             num_partitions=num_partitions)
+                             num_partitions=num_partitions, balanced=False)
             create = frame.createOrReplaceTempView if overwrite else frame.createTempView
             create("`" + (prefix + one.name).replace("`", "``") + "`")
             report.append((prefix + one.name, one.kind, "attached", None))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,27 +27,32 @@ def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=N
              timeout: int = connections.DEFAULT_TIMEOUT, read_only: bool = True, schema_name: str | None = None,
              columns: list[str] | None = None, text_columns: tuple[str, ...] = (),
              partition_column: str | None = None, lower_bound=None, upper_bound=None,
-             num_partitions: int | None = None, balanced: bool = False, tie_column: str | None = None,
+             num_partitions: int | None = None, balanced: bool | None = None, tie_column: str | None = None,
              predicates: list[str] | None = None, fetch_size: int = FETCH_SIZE, query_timeout: int = 0) -> DataFrame:
     """One external table or view as a DataFrame; only the columns and rows a query needs are read.
 
     Without a ``partition_column`` the leading primary key column is used when it is a number, date or timestamp.
     Bounds that are not given come from one remote MIN/MAX. ``num_partitions=1`` reads through one connection, hence one snapshot;
     several partitions see no common snapshot. ``balanced=True`` has the database count rows per key range, so that
-    skewed keys still make even partitions; a single hot key is cut along ``tie_column``. ``predicates`` are remote
-    conditions, one partition each; they have to be disjoint and cover the table.
+    skewed keys still make even partitions; a single hot key is cut along ``tie_column``. This is the default for a
+    primary key of several columns, whose leading column alone may be skewed. ``predicates`` are remote conditions,
+    one partition each; they have to be disjoint and cover the table.
     ``columns`` names the columns to read; the DB-API source cannot learn them from the query.
     """
     require_text("table_name", table_name)
     check_text("encoding", encoding)
     check_flag("all_varchar", all_varchar)
-    check_flag("balanced", balanced)
+    if balanced is not None:
+        check_flag("balanced", balanced)
     found = connections.resolve(connection, username, password, timeout, read_only, query_timeout)
     with open_admin(spark, found) as admin:
         relation = admin.find(table_name, schema_name)
         if predicates is None and num_partitions != 1:
-            predicates = _cuts(spark, admin, relation.path, admin.key_columns(relation), partition_column, lower_bound,
-                               upper_bound, num_partitions, balanced, tie_column)
+            keys = admin.key_columns(relation)
+            if balanced is None and partition_column is None and len(keys) > 1:
+                balanced, tie_column = True, tie_column or keys[1]
+            predicates = _cuts(spark, admin, relation.path, keys, partition_column, lower_bound, upper_bound,
+                               num_partitions, bool(balanced), tie_column)
     frame = _load(spark, found, relation.path, columns, predicates, fetch_size, f"scan table '{table_name}'")
     return _finished(frame, all_varchar, encoding, text_columns)
 
@@ -109,13 +115,17 @@ def register_dbapi(spark: SparkSession) -> None:
 
 def _cuts(spark, admin, relation: str, keys: list[str], column, low, high, count, balanced,
           tie_column) -> list[str] | None:
-    """Predicates for the partitions of a relation; None where it has no key that can be cut."""
-    asked = count is not None or balanced or column is not None
-    if column is None:
+    """Predicates for the partitions of a relation; None, hence one partition, where it has no key that can be cut.
+
+    A column the caller named has to be one that can be cut.
+    """
+    named = column is not None
+    if not named:
         column = keys[0] if keys else None
     if column is None:
-        if asked:
-            raise ExternalError(f"{relation} has no key to partition by, name a partition_column")
+        if count is not None:
+            warnings.warn(f"{relation} has no key to partition by and is read through one connection; "
+                          "name a partition_column", stacklevel=3)
         return None
     if low is None or high is None:
         least, most, _ = splits.key_bounds(admin, relation, column)
@@ -125,13 +135,15 @@ def _cuts(spark, admin, relation: str, keys: list[str], column, low, high, count
         return None
     axis = splits.axis_of(low, high, admin.time_literal)
     if axis is None:
-        if asked:
+        if named:
             raise ExternalError(f"Range partitions need a number, date or timestamp column, '{column}' is not")
         return None
     if count is None:
         count = splits.partition_count(axis, spark.sparkContext.defaultParallelism)
-    if balanced:
+    if balanced and axis.is_integer and count > 1:
         return splits.balanced_predicates(admin, relation, column, count, tie_column)
+    if balanced and named and not axis.is_integer:
+        raise ExternalError(f"Balanced partitions need an integer column, '{column}' is not")
     return splits.range_predicates(admin.quote(column), axis, count)
 
 

@@ -46,12 +46,12 @@ def key_bounds(admin, relation: str, column: str, with_rows: bool = False) -> tu
 def axis_of(low, high, time_literal: Callable[[dt.date], str]) -> Axis | None:
     """The axis of two bounds that are numbers, dates or timestamps; None for any other key, text for instance."""
     low, high = _known(low), _known(high)
-    if low is None or high is None or type(low) is not type(high):
-        return None
-    if isinstance(low, int):
+    if isinstance(low, int) and isinstance(high, int):
         return Axis(low, high, str, True)
-    if isinstance(low, float):
+    if isinstance(low, (int, float)) and isinstance(high, (int, float)):
         return Axis(math.floor(low), math.ceil(high), str, False) if math.isfinite(high - low) else None
+    if low is None or type(low) is not type(high):
+        return None
     if isinstance(low, dt.datetime):
         return Axis((low - _EPOCH) // _MICROSECOND, (high - _EPOCH) // _MICROSECOND,
                     lambda number: time_literal(_EPOCH + number * _MICROSECOND), False)
@@ -136,7 +136,7 @@ def _refine(admin, relation, name, low, high, also, target, count, depth):
     buckets = min(span, count * BUCKETS_PER_PARTITION)
     width = -(-span // buckets)
     rows = admin.rows(
-        f"SELECT b, COUNT(*) FROM (SELECT ({name} - ({low})) / {width} AS b FROM {relation} "
+        f"SELECT b, COUNT(*) FROM (SELECT {admin.whole_quotient(f'{name} - ({low})', width)} AS b FROM {relation} "
         f"WHERE {name} >= {low} AND {name} <= {high}{also}) counted GROUP BY b", "count rows per key range")
     counts = {int(bucket): int(number) for bucket, number in rows}
     pieces = []
@@ -155,10 +155,11 @@ def _tied(admin, relation, name, key, tie_column, rows, target, count):
     """One hot key, cut along a second integer column; its NULLs are a piece of their own."""
     tie = admin.quote(tie_column)
     only = f"{name} = {key}"
-    low, high = admin.rows(f"SELECT MIN({tie}), MAX({tie}) FROM {relation} WHERE {only}")[0]
-    if low is None or int(low) == int(high):
+    axis = axis_of(*admin.rows(f"SELECT MIN({tie}), MAX({tie}) FROM {relation} WHERE {only}")[0], admin.time_literal)
+    if axis is None or not axis.is_integer or axis.low == axis.high:
         return [only]
-    pieces = _refine(admin, relation, tie, int(low), int(high), f" AND {only}", target, count, 0)
+    low, high = axis.low, axis.high
+    pieces = _refine(admin, relation, tie, low, high, f" AND {only}", target, count, 0)
     made, start, held = [], None, 0
     for left, right, number in pieces:
         start = left if start is None else start
@@ -167,5 +168,5 @@ def _tied(admin, relation, name, key, tie_column, rows, target, count):
             made.append(f"{only} AND {tie} >= {start} AND {tie} <= {right}")
             start, held = None, 0
     if start is not None:
-        made.append(f"{only} AND {tie} >= {start} AND {tie} <= {int(high)}")
-    return made + [f"{only} AND ({tie} IS NULL OR {tie} < {int(low)} OR {tie} > {int(high)})"]
+        made.append(f"{only} AND {tie} >= {start} AND {tie} <= {high}")
+    return made + [f"{only} AND ({tie} IS NULL OR {tie} < {low} OR {tie} > {high})"]

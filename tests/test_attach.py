@@ -38,6 +38,17 @@ def test_taken_names_need_overwrite(spark, stocked):
     assert spark.table("a2_stock").columns == ["id", "word"]
 
 
+def test_partitions_where_there_is_a_key(spark, stocked):
+    cf.ext_load(spark.range(100).toDF("id"), table_name="numbered", connection=stocked, mode="overwrite",
+                primary_key=("id",))
+    with pytest.warns(UserWarning, match="stock_view.* has no key to partition by"):
+        report = cf.ext_attach(spark, connection=stocked, prefix="a5_", tables_like=["stock_view", "numbered"],
+                               overwrite=True, num_partitions=4)
+    assert {row["status"] for row in report.collect()} == {"attached"}
+    assert spark.table("a5_numbered").rdd.getNumPartitions() == 4
+    assert spark.table("a5_stock_view").rdd.getNumPartitions() == 1
+
+
 def test_options_reach_every_view(spark, stocked):
     cf.ext_attach(spark, connection=stocked, prefix="a3_", tables_like="stock", overwrite=True, all_varchar=True)
     assert spark.table("a3_stock").dtypes == [("id", "string"), ("word", "string")]
