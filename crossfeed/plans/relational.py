@@ -25,12 +25,12 @@ def filter_cast(spark, sf_dir):
             .filter(F.col("l_extendedprice").cast("decimal(10,2)") > F.lit("50000.0").cast("decimal(10,2)")))
 
 
-@query("filter_between", "select cast(o_orderkey as varchar) as o_orderkey, o_orderpriority from orders "
-                         "where o_orderkey between 200 and 9000")
+@query("filter_between", "select cast(o_orderkey as varchar) as o_orderkey, printf('%.6f', o_totalprice) as "
+                         "o_totalprice from orders where o_totalprice between 100000 and 300000")
 def filter_between(spark, sf_dir):
     """All columns as text, filtered on a number in that text."""
-    return (scan(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority"], all_varchar=True)
-            .filter(F.col("o_orderkey").cast("int").between(200, 9000)))
+    return (scan(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice"], all_varchar=True)
+            .filter(F.col("o_totalprice").cast("decimal(18,6)").between(100000, 300000)))
 
 
 @query("filter_like", "select doc_id from documents where text like '%ü%'")
