@@ -129,7 +129,8 @@ def _connection(spark: SparkSession, sf_dir: str, role: str) -> str:
         folder = _folder(spark)
         settings.setProperty("derby.stream.error.file", f"{folder}/derby.log")
         settings.setProperty("derby.system.durability", "test")
-        settings.setProperty("derby.storage.pageCacheSize", "20000")
+        heap = spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
+        settings.setProperty("derby.storage.pageCacheSize", str(max(1_000, min(20_000, heap // 8 // 32_768))))
         register_connection(name, f"jdbc:derby:{folder}/{name};create=true")
         return name
     return _sqlite(spark, name)

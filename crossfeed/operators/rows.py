@@ -10,6 +10,8 @@ are computed again.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,14 +52,26 @@ def with_position(frame: DataFrame, order: list[str], name: str = "position",
             .drop(_PART, _PLACE, "cf_before"))
 
 
-def row_at(frame: DataFrame, order: list[str], position: int) -> DataFrame:
-    """The row at a one-based position."""
-    return with_position(frame, order).filter(F.col("position") == position)
+def row_at(frame: DataFrame, order: list[str], position: int, num_partitions: int | None = None) -> DataFrame:
+    """The row at a one-based position, with that position.
+
+    Only the order columns are sorted; the row itself is found by its values there, which are broadcast.
+    """
+    place = F.col("position") == position
+    if set(order) == set(frame.columns):
+        return with_position(frame, order, "position", num_partitions).filter(place)
+    keys = with_position(frame.select(*[column_of(name) for name in order]), order, "position", num_partitions)
+    wanted = keys.filter(place).select(
+        "position", *[column_of(name).alias(f"cf_key_{n}") for n, name in enumerate(order)])
+    same = reduce(lambda a, b: a & b, [column_of(name).eqNullSafe(F.col(f"cf_key_{n}"))
+                                       for n, name in enumerate(order)])
+    return frame.join(F.broadcast(wanted), same).drop(*[f"cf_key_{n}" for n in range(len(order))]).limit(1)
 
 
-def skip_rows(frame: DataFrame, order: list[str], skip: int, take: int | None = None) -> DataFrame:
+def skip_rows(frame: DataFrame, order: list[str], skip: int, take: int | None = None,
+              num_partitions: int | None = None) -> DataFrame:
     """Rows after the first ``skip``, at most ``take`` of them."""
-    placed = with_position(frame, order, "cf_position").filter(F.col("cf_position") > skip)
+    placed = with_position(frame, order, "cf_position", num_partitions).filter(F.col("cf_position") > skip)
     if take is not None:
         placed = placed.filter(F.col("cf_position") <= skip + take)
     return placed.drop("cf_position")

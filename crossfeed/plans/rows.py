@@ -29,11 +29,10 @@ def first_and_last(spark, sf_dir):
             .unionByName(last.select(F.lit("last").alias("place"), "event_id", "ts")))
 
 
-@query("row_at_position", "select o_orderkey, o_totalprice, row_number() over (order by o_totalprice, o_orderkey) as "
-                          "position from orders qualify position = 777")
+@query("row_at_position", "select *, row_number() over (order by o_totalprice, o_orderkey) as position from orders "
+                          "qualify position = 777")
 def row_at_position(spark, sf_dir):
-    return rows.row_at(scan(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice"]),
-                       ["o_totalprice", "o_orderkey"], 777)
+    return rows.row_at(scan(spark, sf_dir, "orders"), ["o_totalprice", "o_orderkey"], 777)
 
 
 @query("row_positions", "select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, row_number() over "
@@ -44,11 +43,9 @@ def row_positions(spark, sf_dir):
     return rows.with_position(scan(spark, sf_dir, "lineitem", columns), columns)
 
 
-@query("skip_rows", "select o_orderkey, o_totalprice from orders order by o_totalprice, o_orderkey "
-                    "limit 500 offset 1000")
+@query("skip_rows", "select * from orders order by o_totalprice, o_orderkey limit 500 offset 1000")
 def skip_rows(spark, sf_dir):
-    return rows.skip_rows(scan(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice"]),
-                          ["o_totalprice", "o_orderkey"], 1000, 500)
+    return rows.skip_rows(scan(spark, sf_dir, "orders"), ["o_totalprice", "o_orderkey"], 1000, 500)
 
 
 @query("prior_row", "select o_orderkey, o_totalprice, lag(o_orderkey) over w as prior_o_orderkey, "

@@ -32,8 +32,8 @@ def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=N
     """One external table or view as a DataFrame; only the columns and rows a query needs are read.
 
     Without a ``partition_column`` the leading primary key column is used when it is a number, date or timestamp.
-    Bounds that are not given come from one remote MIN/MAX. ``num_partitions=1`` reads through one connection, hence one snapshot;
-    several partitions see no common snapshot. ``balanced=True`` has the database count rows per key range, so that
+    Bounds that are not given come from one remote MIN/MAX. ``num_partitions=1`` reads through one connection, hence
+    one snapshot; several partitions see no common snapshot. ``balanced=True`` has the database count rows per key range, so that
     skewed keys still make even partitions; a single hot key is cut along ``tie_column``. This is the default for a
     primary key of several columns, whose leading column alone may be skewed. ``predicates`` are remote conditions,
     one partition each; they have to be disjoint and cover the table.

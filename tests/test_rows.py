@@ -41,6 +41,8 @@ def test_row_at_skip_and_prior(skewed):
     ordered = in_order(data)
     assert rows.row_at(frame, ["k", "id"], 1234).first()["id"] == ordered[1233][0]
     assert rows.row_at(frame, ["k", "id"], 3001).count() == 0
+    assert rows.row_at(frame, ["k"], 1500).count() == 1 and rows.skip_rows(frame, ["k"], 1500, 10).count() == 10
+    assert rows.row_at(frame.select("k", "id"), ["k", "id"], 5).first()["id"] == ordered[4][0]
     kept = rows.skip_rows(frame, ["k", "id"], 995, 20).collect()
     assert sorted(row["id"] for row in kept) == sorted(row[0] for row in ordered[995:1015])
     assert rows.skip_rows(frame, ["k", "id"], 2990).count() == 10
