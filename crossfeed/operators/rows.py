@@ -45,7 +45,7 @@ def first_last_per_group(frame: DataFrame, keys: list[str], order: list[str], co
 
 def with_position(frame: DataFrame, order: list[str], name: str = "position",
                   num_partitions: int | None = None) -> DataFrame:
-    """Every row with its one-based position; ``order`` has to tell any two rows apart."""
+    """Every row with its one-based position. Rows the order does not tell apart are placed by their content."""
     numbered = _numbered(frame, order, num_partitions)
     return (numbered.join(F.broadcast(_offsets(numbered)), _PART)
             .withColumn(name, F.col("cf_before") + F.col(_PLACE) + 1)
@@ -55,17 +55,20 @@ def with_position(frame: DataFrame, order: list[str], name: str = "position",
 def row_at(frame: DataFrame, order: list[str], position: int, num_partitions: int | None = None) -> DataFrame:
     """The row at a one-based position, with that position.
 
-    Only the order columns are sorted; the row itself is found by its values there, which are broadcast.
+    Only the order columns and a hash of the row are sorted; the row itself is found by them, as they are broadcast.
     """
-    place = F.col("position") == position
-    if set(order) == set(frame.columns):
-        return with_position(frame, order, "position", num_partitions).filter(place)
-    keys = with_position(frame.select(*[column_of(name) for name in order]), order, "position", num_partitions)
-    wanted = keys.filter(place).select(
-        "position", *[column_of(name).alias(f"cf_key_{n}") for n, name in enumerate(order)])
+    keys = frame.select(*[column_of(name).alias(f"cf_key_{n}") for n, name in enumerate(order)],
+                        _row_hash(frame).alias("cf_hash"))
+    placed = with_position(keys, [f"cf_key_{n}" for n in range(len(order))], "position", num_partitions)
+    wanted = placed.filter(F.col("position") == position)
     same = reduce(lambda a, b: a & b, [column_of(name).eqNullSafe(F.col(f"cf_key_{n}"))
-                                       for n, name in enumerate(order)])
-    return frame.join(F.broadcast(wanted), same).drop(*[f"cf_key_{n}" for n in range(len(order))]).limit(1)
+                                       for n, name in enumerate(order)], _row_hash(frame) == F.col("cf_hash"))
+    return (frame.join(F.broadcast(wanted), same).drop(*[f"cf_key_{n}" for n in range(len(order))], "cf_hash")
+            .limit(1))
+
+
+def _row_hash(frame: DataFrame) -> Column:
+    return F.xxhash64(*[column_of(name) for name in frame.columns])
 
 
 def skip_rows(frame: DataFrame, order: list[str], skip: int, take: int | None = None,
@@ -98,7 +101,8 @@ def _numbered(frame: DataFrame, order: list[str], num_partitions: int | None) ->
     spark = frame.sparkSession
     parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                   spark.sparkContext.defaultParallelism)
-    by = [column_of(name) for name in order]
+    # Rows that the order does not tell apart are cut by their content, so that they too fill several partitions.
+    by = [*[column_of(name) for name in order], _row_hash(frame)]
     ordered = frame.repartitionByRange(parts, *by).sortWithinPartitions(*by)
     row_id = F.monotonically_increasing_id()
     return checkpointed(ordered.withColumn("cf_id", row_id)

@@ -36,6 +36,16 @@ def test_a_hot_value_is_spread_over_partitions(skewed):
     assert numbered.filter("k = 50").select("cf_part").distinct().count() >= 2
 
 
+def test_rows_the_order_does_not_tell_apart_are_spread_too(skewed):
+    _, frame = skewed
+    numbered = rows._numbered(frame, ["k"], 8)
+    sizes = [row["count"] for row in numbered.groupBy("cf_part").count().collect()]
+    assert max(sizes) < 900
+    first, second = ([(row["id"], row["position"]) for row in rows.with_position(frame, ["k"]).orderBy("position").collect()]
+                     for _ in range(2))
+    assert first == second and [place for _, place in first] == list(range(1, 3001))
+
+
 def test_row_at_skip_and_prior(skewed):
     data, frame = skewed
     ordered = in_order(data)
