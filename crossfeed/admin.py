@@ -200,6 +200,12 @@ class _JdbcAdmin(_Admin):
         return {column: int(size) for table, column, kind, size in listed
                 if table == relation.name and kind in ("VARCHAR", "CHAR")}
 
+    def not_null_columns(self, relation: Relation) -> list[str]:
+        result = self._meta.getColumns(None, relation.schema or None, None, None)
+        return [column for table, column, _, nullable in sorted(
+            _cursor(result, ("TABLE_NAME", "COLUMN_NAME", "ORDINAL_POSITION", "IS_NULLABLE")), key=lambda row: row[2])
+            if table == relation.name and nullable == "NO"]
+
     def key_columns(self, relation: Relation) -> list[str]:
         result = self._meta.getPrimaryKeys(None, relation.schema or None, relation.name)
         return [name for _, name in sorted(_cursor(result, ("KEY_SEQ", "COLUMN_NAME")))]
@@ -281,6 +287,14 @@ class _DbApiAdmin(_Admin):
         return [one for one in self.relations(TABLE_KINDS + VIEW_KINDS)
                 if one.name.lower() == name.lower() and (not schema or one.schema.lower() == schema.lower())]
 
+    def not_null_columns(self, relation: Relation) -> list[str]:
+        if self._session.is_sqlite:
+            return [row[1] for row in self._rows(f"PRAGMA table_info({self.quote(relation.name)})") if row[3]]
+        return [name for name, nullable in self._rows(
+            "SELECT column_name, is_nullable FROM information_schema.columns "
+            f"WHERE table_name = '{relation.name.replace(chr(39), chr(39) * 2)}' ORDER BY ordinal_position")
+            if str(nullable).upper() in ("NO", "FALSE")]
+
     def key_columns(self, relation: Relation) -> list[str]:
         if not self._session.is_sqlite:
             return []

@@ -13,7 +13,7 @@ from crossfeed.admin import TABLE_KINDS, VIEW_KINDS, open_admin
 from crossfeed.errors import ExternalError
 from crossfeed.functions.types import as_text, column_of
 from crossfeed.sources.attach import like_pattern
-from crossfeed.sources.scan import ext_query
+from crossfeed.sources.scan import ext_query, ext_scan
 
 _SIZE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19, T.FloatType: 7, T.DoubleType: 15,
          T.BooleanType: 1, T.DateType: 10, T.TimestampNTZType: 26, T.TimestampType: 26}
@@ -119,6 +119,27 @@ def check_not_null(frame: DataFrame, columns: list[str]) -> DataFrame:
         for place, name in enumerate(columns)])))
 
 
+def check_constraints(spark: SparkSession, *, connection, table_name: str, schema_name: str | None = None,
+                      **options) -> DataFrame:
+    """What the database declares of a table, checked on the rows that were read: one row for the primary key, with
+    the number of key values that are repeated or NULL, and one per NOT NULL column, with its number of NULLs."""
+    with open_admin(spark, connections.resolve(connection)) as admin:
+        relation = admin.find(table_name, schema_name)
+        keys = admin.key_columns(relation)
+        filled = list(dict.fromkeys([*keys, *admin.not_null_columns(relation)]))
+    if not filled:
+        return spark.createDataFrame([], "kind string, columns string, violations bigint")
+    frame = ext_scan(spark, table_name=table_name, schema_name=schema_name, connection=connection, columns=filled,
+                     **options)
+    checked = check_not_null(frame, filled).select(
+        F.lit("not null").alias("kind"), F.col("column_name").alias("columns"), "violations")
+    if not keys:
+        return checked
+    broken = check_key(frame, keys).agg(F.count(F.lit(1)).alias("violations"))
+    return checked.unionByName(broken.select(F.lit("primary key").alias("kind"), F.lit(", ".join(keys)).alias("columns"),
+                                             "violations"))
+
+
 def _known(frame: DataFrame, columns: list[str]) -> None:
     for name in columns:
         if name not in frame.columns:

@@ -118,6 +118,14 @@ def check_key(spark, sf_dir):
     return profile.check_key(scan(spark, sf_dir, "lineitem", ["l_orderkey"]), ["l_orderkey"])
 
 
+@query("check_constraints", "select 'not null' as kind, 'o_orderkey' as columns, "
+                            "count(*) - count(o_orderkey) as violations from orders "
+                            "union all select 'primary key', 'o_orderkey', count(*) - count(distinct o_orderkey) "
+                            "from orders")
+def check_constraints(spark, sf_dir):
+    return profile.check_constraints(spark, connection=source(spark, sf_dir, "orders"), table_name="orders")
+
+
 @query("check_not_null", "select 'o_orderkey' as column_name, 0 as violations union all "
                          "select 'o_orderstatus', count(*) from orders where o_orderstatus = 'P' union all "
                          "select 'o_orderpriority', count(*) from orders where o_orderpriority = '5-LOW'")

@@ -7,6 +7,7 @@ an executor that was lost after its commit is recognised and left out.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from dataclasses import dataclass
 
@@ -105,13 +106,18 @@ def with_nulls(frame: DataFrame, sentries: dict[str, object] | None, flags: dict
             continue
         column: Column = column_of(name)
         if name in sentries:
-            column = F.nullif(column, F.lit(sentries[name]))
+            column = F.nullif(column, _sentry(sentries[name], frame.schema[name].dataType))
         if name in flags:
             column = F.when(~F.coalesce(column_of(flags[name]), F.lit(False)), column)
         columns.append(column.alias(name))
     return frame.select(*columns)
 
 
+def _sentry(value, kind: T.DataType) -> Column:
+    """A sentry in the type of its column; times go by their text, so that no time zone shifts them."""
+    return F.lit(value.isoformat() if isinstance(value, dt.date) else value).cast(kind)
+
+
 def text_widths(frame: DataFrame) -> dict[str, int]:
     """The length of the longest value of every text column, found in one pass."""
     names = [field.name for field in frame.schema if isinstance(field.dataType, T.StringType)]

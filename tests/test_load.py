@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +112,12 @@ def test_null_sentries_and_flags(spark, external):
     back = cf.ext_scan(spark, table_name="nulled", connection=external).orderBy("id")
     assert back.columns == ["id", "word", "n"]
     assert [tuple(row) for row in back.collect()] == [(1, "x", None), (2, None, 5), (3, None, None)]
+    never = dt.datetime(9999, 12, 31, 23, 59, 59)
+    times = spark.createDataFrame([(1, never, never.date()), (2, dt.datetime(2024, 1, 1), dt.date(2024, 1, 1))],
+                                  "id int, ts timestamp_ntz, day date")
+    cf.ext_load(times, table_name="endless", connection=external, mode="overwrite",
+                null_sentries={"ts": never, "day": never.date()})
+    assert read(spark, external, "endless")[0] == (1, None, None)
     with pytest.raises(cf.ExternalError, match="Column 'absent'"):
         cf.ext_load(frame, table_name="nulled", connection=external, null_sentries={"absent": 1})
 

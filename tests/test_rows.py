@@ -121,6 +121,19 @@ def test_checks(spark):
         profile.check_key(frame, ["c"])
 
 
+def test_declared_constraints(spark, external):
+    cf.ext_exec(spark, connection=external, sql='CREATE TABLE "declared" ("a" BIGINT NOT NULL, "b" BIGINT NOT NULL, '
+                '"c" VARCHAR(9), "d" INTEGER NOT NULL, PRIMARY KEY ("a", "b"))')
+    cf.ext_load(spark.range(30).selectExpr("id % 3 AS a", "id AS b", "'x' AS c", "1 AS d"), table_name="declared",
+                connection=external)
+    found = profile.check_constraints(spark, connection=external, table_name="declared").collect()
+    assert sorted(tuple(row) for row in found) == [("not null", "a", 0), ("not null", "b", 0), ("not null", "d", 0),
+                                                   ("primary key", "a, b", 0)]
+    cf.ext_load(spark.range(3).selectExpr("nullif(id, 1) AS id"), table_name="undeclared", connection=external,
+                mode="overwrite")
+    assert profile.check_constraints(spark, connection=external, table_name="undeclared").count() == 0
+
+
 def test_profile_of_external_tables(spark, external):
     cf.ext_load(spark.range(5).toDF("id"), table_name="profiled", connection=external, mode="overwrite")
     found = profile.profile_tables(spark, connection=external, tables_like="profiled")
