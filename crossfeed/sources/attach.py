@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,12 @@ def ext_attach(spark: SparkSession, *, connection=None, username: str = "", pass
         except Exception as cause:
             report.append(("", "VIEW", "failed", f"Failed to list views: {cause}"))
     wanted = [one for one in listed if _matches(one, tables_like, schema_name)]
+    homes = Counter(one.name.lower() for one in wanted)
+    for one in wanted:
+        if homes[one.name.lower()] > 1:
+            report.append((prefix + one.name, one.kind, "failed",
+                           f"'{one.name}' is in several schemas, name one by schema_name"))
+    wanted = [one for one in wanted if homes[one.name.lower()] == 1]
     if not overwrite:
         taken = [one.name for one in wanted if spark.catalog.tableExists(prefix + one.name)]
         if taken:

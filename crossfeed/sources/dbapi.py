@@ -34,7 +34,9 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.pandas.types import to_arrow_type
 
+from crossfeed.errors import ExternalError
 from crossfeed.functions.remote_types import base_name, spark_type
+from crossfeed.sources.splits import axis_of, range_predicates
 
 SOURCE_NAME = "crossfeed_dbapi"
 FETCH_SIZE = 10_000
@@ -169,7 +171,7 @@ class Slice(InputPartition):
 
 class DbApiReader(DataSourceReader):
     def __init__(self, options, schema: T.StructType):
-        self.options = dict(options)
+        self.options = {key.lower(): value for key, value in dict(options).items()}
         self.schema = schema
         self.filters: list[tuple[str, list]] = []
 
@@ -200,7 +202,14 @@ class DbApiReader(DataSourceReader):
             yield one
 
     def partitions(self):
-        return [Slice(predicate) for predicate in json.loads(self.options.get("predicates", '[""]'))]
+        if "predicates" in self.options:
+            return [Slice(predicate) for predicate in json.loads(self.options["predicates"])]
+        column = self.options.get("partitioncolumn")
+        if not column:
+            return [Slice("")]
+        axis = axis_of(int(self.options["lowerbound"]), int(self.options["upperbound"]), str)
+        count = int(self.options["numpartitions"])
+        return [Slice(predicate) for predicate in range_predicates(quoted(column), axis, count)]
 
     def read(self, partition: Slice):
         columns = ", ".join(quoted(name) for name in self.schema.names) or "NULL"
@@ -209,7 +218,7 @@ class DbApiReader(DataSourceReader):
         for text, bound in self.filters:
             tests.append(f"({text})")
             values.extend(bound)
-        sql = f"SELECT {columns} FROM {self.options['relation']}"
+        sql = f"SELECT {columns} FROM {relation_of(self.options)}"
         if tests:
             sql += " WHERE " + " AND ".join(tests)
         types = [to_arrow_type(field.dataType) for field in self.schema]
@@ -225,6 +234,17 @@ class DbApiReader(DataSourceReader):
                     size = max(1, size * BATCH_BYTES // batch.nbytes)
 
 
+def relation_of(options) -> str:
+    """What a reader reads: the text of ``relation`` as it is, a ``table``, or the result of a ``query``."""
+    if options.get("relation"):
+        return options["relation"]
+    if options.get("table"):
+        return quoted(options["table"])
+    if options.get("query"):
+        return f"({options['query'].strip().rstrip(';')}) cf_query"
+    raise ExternalError("Missing required option 'table' or 'query'")
+
+
 def arrow_column(cells: list, kind: pa.DataType) -> pa.Array:
     """Database cells as one Arrow column; text that stands for a time, a date or a decimal is converted."""
     sample = next((cell for cell in cells if cell is not None), None)
@@ -309,7 +329,11 @@ def database_cells(column: pa.Array) -> list:
 
 
 class DbApiSource(DataSource):
-    """``USING crossfeed_dbapi OPTIONS (module '...', database '...', relation '"table"' | '(SELECT ...)')``."""
+    """``USING crossfeed_dbapi OPTIONS (module '...', database '...', table '...' | query '...')``.
+
+    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` cut by an integer column, as they do for
+    Spark's JDBC source.
+    """
 
     @classmethod
     def name(cls):
@@ -317,7 +341,7 @@ class DbApiSource(DataSource):
 
     def schema(self):
         with Session(self.options, read_only=True) as session:
-            return describe(session, self.options["relation"])
+            return describe(session, relation_of(self.options))
 
     def reader(self, schema):
         return DbApiReader(self.options, schema)
