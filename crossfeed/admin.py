@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 from crossfeed.connections import Connection
@@ -87,17 +89,6 @@ class _Admin:
     def rename_sql(self, old: str, new: str) -> str:
         return f"ALTER TABLE {self.quote(old)} RENAME TO {self.quote(new)}"
 
-    def transaction(self, statements: list[str], operation: str):
-        """All statements, or none."""
-        try:
-            self._begin()
-            for sql in statements:
-                self._run(sql)
-            self._commit()
-        except Exception as cause:
-            self._rollback()
-            raise failed(operation, cause) from cause
-
 
 class _JdbcAdmin(_Admin):
     def __init__(self, spark: SparkSession, connection: Connection):
@@ -142,13 +133,34 @@ class _JdbcAdmin(_Admin):
         return super().rename_sql(old, new)
 
     def _run(self, sql):
+        self.update(sql)
+
+    def update(self, sql: str) -> int:
+        """Run a statement; the number of rows it changed, -1 if the driver does not tell."""
         statement = self._raw.createStatement()
         try:
             statement.setQueryTimeout(self._timeout)
             statement.execute(sql)
+            return statement.getUpdateCount()
         finally:
             statement.close()
 
+    @contextmanager
+    def in_transaction(self, operation: str):
+        """All statements inside, or none."""
+        self._raw.setAutoCommit(False)
+        try:
+            yield
+            self._raw.commit()
+        except Py4JError as cause:
+            self._raw.rollback()
+            raise failed(operation, cause) from cause
+        except Exception:
+            self._raw.rollback()
+            raise
+        finally:
+            self._raw.setAutoCommit(True)
+
     def _rows(self, sql):
         statement = self._raw.createStatement()
         try:
@@ -159,17 +171,6 @@ class _JdbcAdmin(_Admin):
         finally:
             statement.close()
 
-    def _begin(self):
-        self._raw.setAutoCommit(False)
-
-    def _commit(self):
-        self._raw.commit()
-        self._raw.setAutoCommit(True)
-
-    def _rollback(self):
-        self._raw.rollback()
-        self._raw.setAutoCommit(True)
-
     def relations(self, kinds: tuple[str, ...]) -> list[Relation]:
         return self._listing(None, "%", kinds)
 
@@ -255,16 +256,6 @@ class _DbApiAdmin(_Admin):
     def _rows(self, sql):
         return self._session.cursor(sql).fetchall()
 
-    def transaction(self, statements, operation):
-        try:
-            self._session.begin()
-            for sql in statements:
-                self._session.run(sql)
-            self._session.commit()
-        except Exception as cause:
-            self._session.rollback()
-            raise failed(operation, cause) from cause
-
     def relations(self, kinds: tuple[str, ...]) -> list[Relation]:
         if self._session.is_sqlite:
             listed = [("", name, kind.upper()) for name, kind in self._rows(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -75,8 +76,6 @@ def ext_load(frame: DataFrame, *, table_name: str | None = None, connection=None
         raise ExternalError(f"Parameter 'mode' must be one of {', '.join(MODES)}")
     found = connections.resolve(connection, username, password, timeout, False)
     ready = writable(with_nulls(frame, null_sentries, null_flags))
-    if max_connections:
-        ready = ready.coalesce(max_connections)
     numbered = ready.withColumn(ROW_COLUMN, F.monotonically_increasing_id())
     if found.kind == "jdbc" and atomic and not stable_input:
         # Checkpointed once, before the text is measured, so that the input is computed a single time.
@@ -88,7 +87,8 @@ def ext_load(frame: DataFrame, *, table_name: str | None = None, connection=None
         exists = admin.exists(table_name)
     fresh = not exists or (mode == "overwrite" and not truncate)
     types = text_types(ready, column_types or {}, found) if fresh else dict(column_types or {})
-    plan = _Plan(spark, found, ready, table_name, exists, fresh, mode, types, primary_key, list(post_sql), batch_size)
+    plan = _Plan(spark, found, ready, table_name, exists, fresh, mode, types, primary_key, list(post_sql), batch_size,
+                 max_connections)
     if found.kind == "dbapi":
         return plan.through_dbapi()
     return plan.through_staging(numbered) if atomic else plan.straight()
@@ -140,17 +140,25 @@ def text_types(frame: DataFrame, given: dict[str, str], found: Connection) -> di
     return {**{name: f"VARCHAR({max(1, width)})" for name, width in measured.items() if width <= MAX_VARCHAR}, **given}
 
 
+class _Miscounted(Exception):
+    """The staging table does not hold every row exactly once."""
+
+
 class _Plan:
     """One load, with what is known about its target."""
 
-    def __init__(self, spark, found, frame, table, exists, fresh, mode, types, primary_key, post_sql, batch_size):
+    def __init__(self, spark, found, frame, table, exists, fresh, mode, types, primary_key, post_sql, batch_size,
+                 max_connections):
         self.spark, self.found, self.frame, self.table = spark, found, frame, table
         self.exists, self.fresh, self.mode, self.types = exists, fresh, mode, types
         self.primary_key, self.post_sql, self.batch_size = primary_key, post_sql, batch_size
+        self.max_connections = max_connections
         self.observed = Observation()
 
     def _counted(self, frame: DataFrame) -> DataFrame:
-        """``frame`` with its rows counted while they are written, so that no second pass is needed."""
+        """``frame`` in as many tasks as may write at a time, its rows counted while they are written."""
+        if self.max_connections:
+            frame = frame.coalesce(self.max_connections)
         return frame.observe(self.observed, F.count(F.lit(1)).alias("rows"))
 
     def straight(self) -> LoadResult:
@@ -182,37 +190,59 @@ class _Plan:
             self._write(self._counted(rows), place)
             count = self.observed.get["rows"]
             with self._admin() as admin:
-                admin.transaction(self._moves(admin, staging, built, count), "move the loaded rows to their table")
+                self._move(admin, staging, built, count)
         except Exception:
-            with self._admin() as admin:
-                for leftover in (staging, built if self.fresh else ""):
-                    if leftover and admin.exists(leftover):
-                        admin.run(f"DROP TABLE {admin.quote(leftover)}")
+            self._drop(staging, *([built] if self.fresh else []))
             raise
         return LoadResult(self.table, count)
 
+    def _drop(self, *leftovers: str) -> None:
+        """Remove what a failed load left; the failure itself is what the caller gets to see."""
+        try:
+            with self._admin() as admin:
+                for name in leftovers:
+                    if admin.exists(name):
+                        admin.run(f"DROP TABLE {admin.quote(name)}")
+        except ExternalError as cause:
+            warnings.warn(f"Tables {', '.join(leftovers)} may be left over: {cause}", stacklevel=2)
+
     def _admin(self):
         return open_admin(self.spark, self.found)
 
-    def _moves(self, admin, staging: str, built: str, count: int) -> list[str]:
-        place = admin.quote(staging)
+    def _move(self, admin, staging: str, built: str, count: int) -> None:
+        """All rows from the staging table to the target, each identity once, in one transaction.
+
+        The number of rows moved is checked before the commit. If it is off, a task Spark had given up wrote once
+        more in the meantime; the second try then looks at the identities.
+        """
+        place, goal = admin.quote(staging), admin.quote(built)
         names = ", ".join(admin.quote(name) for name in self.frame.columns)
         row, mark = admin.quote(ROW_COLUMN), admin.quote(TRY_COLUMN)
         held, different = admin.rows(f"SELECT COUNT(*), COUNT(DISTINCT {row}) FROM {place}")[0]
         if int(different) != count:
             raise ExternalError(f"Failed to load '{self.table}': {count} rows were written, {different} arrived")
-        first = "" if int(held) == count else (
-            f" WHERE NOT EXISTS (SELECT 1 FROM {place} d WHERE d.{row} = s.{row} AND d.{mark} < s.{mark})")
-        moves = []
-        if not self.fresh and self.mode == "overwrite":
-            moves.append(f"DELETE FROM {admin.quote(built)}")
         values = ", ".join(self._assigned(admin, built, place))
-        moves.append(f"INSERT INTO {admin.quote(built)} ({names}) SELECT {values} FROM {place} s{first}")
-        if self.fresh:
-            if self.exists:
-                moves.append(f"DROP TABLE {admin.quote(self.table)}")
-            moves.append(admin.rename_sql(built, self.table))
-        return moves + [f"DROP TABLE {place}"] + self.post_sql
+        every = f"INSERT INTO {goal} ({names}) SELECT {values} FROM {place} s"
+        once = f"{every} WHERE NOT EXISTS (SELECT 1 FROM {place} d WHERE d.{row} = s.{row} AND d.{mark} < s.{mark})"
+        moved = 0
+        for insert in (every, once) if int(held) == count else (once,):
+            try:
+                with admin.in_transaction("move the loaded rows to their table"):
+                    if not self.fresh and self.mode == "overwrite":
+                        admin.update(f"DELETE FROM {goal}")
+                    moved = admin.update(insert)
+                    if moved not in (count, -1):
+                        raise _Miscounted
+                    if self.fresh and self.exists:
+                        admin.update(f"DROP TABLE {admin.quote(self.table)}")
+                    if self.fresh:
+                        admin.update(admin.rename_sql(built, self.table))
+                    for statement in (f"DROP TABLE {place}", *self.post_sql):
+                        admin.update(statement)
+                return
+            except _Miscounted:
+                continue
+        raise ExternalError(f"Failed to load '{self.table}': {count} rows were written, {moved} would be moved")
 
     def _assigned(self, admin, built: str, place: str) -> list[str]:
         """Staged columns as the target takes them. Derby assigns long text to a VARCHAR only with a cast, which
@@ -247,8 +277,7 @@ class _Plan:
         try:
             self._counted(self.frame).write.format(SOURCE_NAME).options(**options).mode("append").save()
         except Exception as cause:
-            with self._admin() as admin:
-                admin.run(f"DROP TABLE {place}")
+            self._drop(staging)
             raise failed(f"load table '{self.table}'", cause) from cause
         return LoadResult(self.table, self.observed.get["rows"])
 

@@ -73,6 +73,27 @@ def test_copies_of_a_repeated_task_are_left_out_over_jdbc(spark, derby, monkeypa
     assert sorted(row["id"] for row in back.select("id").collect()) == list(range(100))
 
 
+def test_a_task_that_ends_late_is_left_out_too(spark, derby, monkeypatch):
+    """Its rows arrive after the counting, within the time of the move."""
+    from crossfeed.admin import _JdbcAdmin
+    update, late = _JdbcAdmin.update, []
+
+    def disturbed(self, sql):
+        if sql.startswith("INSERT INTO") and not late:
+            late.append(sql)
+            place = sql.split(" FROM ")[1].split(" ")[0]
+            with open_admin(spark, connections.resolve(derby, read_only=False)) as other:
+                columns = f'"id", "{load.ROW_COLUMN}"'
+                other.run(f'INSERT INTO {place} ({columns}, "{load.TRY_COLUMN}") '
+                          f"SELECT {columns}, 'zz' FROM {place} WHERE \"id\" < 5")
+        return update(self, sql)
+
+    monkeypatch.setattr(_JdbcAdmin, "update", disturbed)
+    result = cf.ext_load(spark.range(0, 40, 1, 4), table_name="late", connection=derby, mode="overwrite")
+    assert late and result.rows == 40
+    assert sorted(row[0] for row in read(spark, derby, "late")) == list(range(40))
+
+
 def test_rows_that_got_lost_are_noticed(spark, derby, monkeypatch):
     write = load._Plan._write
 
