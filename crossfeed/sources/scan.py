@@ -128,7 +128,7 @@ def _cuts(spark, admin, relation: str, keys: list[str], column, low, high, count
                           "name a partition_column", stacklevel=3)
         return None
     if low is None or high is None:
-        least, most, _ = splits.key_bounds(admin, relation, column)
+        least, most = splits.key_bounds(admin, relation, column)
         low = least if low is None else low
         high = most if high is None else high
     if low is None or high is None:

@@ -34,13 +34,10 @@ class Axis:
     is_integer: bool
 
 
-def key_bounds(admin, relation: str, column: str, with_rows: bool = False) -> tuple:
-    """Smallest key, largest key and row count by one remote aggregate; rows are counted only if asked for."""
+def key_bounds(admin, relation: str, column: str) -> tuple:
+    """Smallest and largest key by one remote aggregate, which an index answers."""
     name = admin.quote(column)
-    count = "COUNT(*)" if with_rows else "0"
-    low, high, rows = admin.rows(f"SELECT MIN({name}), MAX({name}), {count} FROM {relation}",
-                                 f"find the bounds of '{column}'")[0]
-    return low, high, int(rows)
+    return admin.rows(f"SELECT MIN({name}), MAX({name}) FROM {relation}", f"find the bounds of '{column}'")[0]
 
 
 def axis_of(low, high, time_literal: Callable[[dt.date], str]) -> Axis | None:
@@ -102,14 +99,15 @@ def balanced_predicates(admin, relation: str, column: str, count: int, tie_colum
     if count < 1:
         raise ExternalError("Parameter 'num_partitions' must be at least 1")
     name = admin.quote(column)
-    low, high, rows = key_bounds(admin, relation, column, with_rows=True)
+    low, high = key_bounds(admin, relation, column)
     if low is None:
         return ["1 = 1"]
     bounds = axis_of(low, high, admin.time_literal)
     if bounds is None or not bounds.is_integer:
         raise ExternalError(f"Balanced partitions need an integer column, '{column}' is not")
-    target = max(1, -(-rows // count))
-    pieces = _refine(admin, relation, name, bounds.low, bounds.high, "", target, count, 0)
+    counted = _bucket_counts(admin, relation, name, bounds.low, bounds.high, "", count)
+    target = max(1, -(-sum(counted.values()) // count))
+    pieces = _refine(admin, relation, name, bounds.low, bounds.high, "", target, count, 0, counted)
     predicates, start, held = [], None, 0
     for low, high, rows in pieces:
         if low == high and rows > 2 * target and tie_column:
@@ -130,17 +128,27 @@ def balanced_predicates(admin, relation: str, column: str, count: int, tie_colum
     return predicates + [f"{name} IS NULL OR {name} < {bounds.low} OR {name} > {bounds.high}"]
 
 
-def _refine(admin, relation, name, low, high, also, target, count, depth):
-    """(low, high, rows) pieces in key order that cover ``low..high`` without gaps."""
+def _bucket_width(low: int, high: int, count: int) -> int:
     span = high - low + 1
-    buckets = min(span, count * BUCKETS_PER_PARTITION)
-    width = -(-span // buckets)
-    rows = admin.rows(
-        f"SELECT b, COUNT(*) FROM (SELECT {admin.whole_quotient(f'{name} - ({low})', width)} AS b FROM {relation} "
-        f"WHERE {name} >= {low} AND {name} <= {high}{also}) counted GROUP BY b", "count rows per key range")
-    counts = {int(bucket): int(number) for bucket, number in rows}
+    return -(-span // min(span, count * BUCKETS_PER_PARTITION))
+
+
+def _bucket_counts(admin, relation, name, low, high, also, count) -> dict[int, int]:
+    """Rows per equal range of ``low..high``; ``also`` narrows the rows. One pass in the database."""
+    bucket = admin.whole_quotient(f"{name} - ({low})", _bucket_width(low, high, count))
+    rows = admin.rows(f"SELECT b, COUNT(*) FROM (SELECT {bucket} AS b FROM {relation} "
+                      f"WHERE {name} >= {low} AND {name} <= {high}{also}) counted GROUP BY b",
+                      "count rows per key range")
+    return {int(place): int(number) for place, number in rows}
+
+
+def _refine(admin, relation, name, low, high, also, target, count, depth, counts=None):
+    """(low, high, rows) pieces in key order that cover ``low..high`` without gaps."""
+    width = _bucket_width(low, high, count)
+    if counts is None:
+        counts = _bucket_counts(admin, relation, name, low, high, also, count)
     pieces = []
-    for bucket in range(-(-span // width)):
+    for bucket in range(-(-(high - low + 1) // width)):
         left = low + bucket * width
         right = min(left + width - 1, high)
         held = counts.get(bucket, 0)
