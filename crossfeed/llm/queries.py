@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossfeed.llm import decontam, merkle, mixing, toolcalls
+from crossfeed.llm import decontam, merkle, mixing, setsketch, toolcalls
 from crossfeed.llm.sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = turns.filter(~F.coalesce(asked, F.lit(False))).select(
         identifier(1).alias("call_id"), F.col("turn").alias("seq"), F.col("text").alias("content"))
     return toolcalls.link(calls, results, CHAT_TOOLS)
+
+
+@query
+def op9_setsketch_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
