@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossfeed.llm import decontam, merkle, mixing, setsketch, toolcalls
+from crossfeed.llm import decontam, langid, merkle, mixing, quality, setsketch, toolcalls
+from crossfeed.llm.common import remainder_is
 from crossfeed.llm.sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> dict:
+    """Learned from the labels of documents that are not held out."""
+    labels = table(spark, sf_dir, "labels")
+    return quality.train(docs, labels.filter(~remainder_is(F.col("doc_id"), 3, 1)))
+
+
+@query
+def op1_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = quality.score(docs, quality_model(spark, sf_dir, docs))
+    return scores.select("doc_id", remainder_is(F.col("doc_id"), 3, 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -42,6 +57,14 @@ def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(merkle.differing_sections(F.col("mark"), F.col("edited_mark"))).cast("long").alias("n_sections_changed"))
 
 
+@query
+def op6_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder_is(F.col("doc_id"), 4, 2)
+    found = langid.predict(docs, langid.train(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query
 def op7_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
