@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossfeed.llm import decontam, langid, merkle, mixing, quality, setsketch, toolcalls
+from crossfeed.llm import decontam, langid, merkle, mixing, quality, setsketch, toolcalls, urls
 from crossfeed.llm.common import remainder_is
 from crossfeed.llm.sql import SQL  # noqa: F401
 
@@ -57,6 +57,12 @@ def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(merkle.differing_sections(F.col("mark"), F.col("edited_mark"))).cast("long").alias("n_sections_changed"))
 
 
+@query
+def op5_segmented_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, urls.train(pages))
+
+
 @query
 def op6_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
