@@ -11,7 +11,7 @@ from crossfeed.operators.checkpoints import checkpointed
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: A side is broadcast only if it was counted to hold no more rows than this; rows are a few numbers wide.
-SMALL_ROWS = 500_000
+SMALL_ROWS = 200_000
 
 
 def word_count(text: Column) -> Column:

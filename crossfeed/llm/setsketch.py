@@ -9,11 +9,11 @@ similarity. Steps:
    at the threshold is missed with a chance below ``MISS``.
 3. In each bucket every node is paired with the bucket's most central node only, so pairs grow with the nodes. Pairs far
    below the threshold by the likelihood of their registers are dropped; the others are verified on their full sets.
-4. Links are joined into components. What still lies in one bucket but in different components is paired with further
-   pivots, and in the end completely, so that no link between two components is lost.
+4. Links are joined into components. Where the nodes around one pivot still span several components, sets that are too
+   much their own to have any link there are left out, and what remains is compared completely, in blocks of bounded
+   size, so that no link between two components is lost. Pairs that do not link are never written as rows.
 
-Only nodes of the same bucket and different components ever meet, no bucket is gathered in one task, and joins on hot
-keys can be split. Intermediate results go to the checkpoint folder.
+No bucket is gathered in one task, and joins on hot keys can be split. Intermediate results go to the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crossfeed.llm.common import measured, settled
+from crossfeed.llm.common import SMALL_ROWS, measured, settled
 
 BASE = 1.001
 REGISTERS = 128
@@ -38,8 +38,10 @@ OFFSET = 4096
 MISS = 1e-6
 #: A pair is verified unless its estimate is this far below the threshold: over five standard errors.
 MARGIN = 0.25
-#: Rounds in which a bucket is compared with one pivot; what is left then is compared completely.
-PIVOT_ROUNDS = 3
+#: Partitions of tables of no more than ``SMALL_ROWS`` rows in the rounds that find components.
+SMALL_PARTS = 8
+#: Sets on each side of a block in which sets are compared completely.
+BLOCK = 400
 
 _rng = np.random.default_rng(20260901)
 _MULTIPLY = (_rng.integers(1, 1 << 31, REGISTERS, dtype=np.uint32) * 2 + 1)[:, None]
@@ -107,7 +109,7 @@ def band_rows(threshold: float) -> int:
 
 
 def _sketched(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n, node, registers): node is a digest of the whole set, NULL for empty sets."""
+    """(doc_id, n, digest, registers): the digest is of the whole set, NULL for empty sets."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 512):
@@ -115,23 +117,25 @@ def _sketched(docs: DataFrame, words: int) -> DataFrame:
                 sets = [shingles(text, words) for text in part["text"]]
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].to_numpy(), "n": [len(s) for s in sets],
-                    "node": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+                    "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                     "registers": [registers(s).tobytes() if len(s) else None for s in sets]})
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(rows, f"doc_id {kind}, n long, node binary, registers binary")
+    return docs.mapInPandas(rows, f"doc_id {kind}, n long, digest binary, registers binary")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, items) of the given nodes, read again from one document each."""
+    """(node, items) of the given nodes (node, digest, rep), read again from one document each."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 256):
                 sets = [shingles(text, words) for text in batch["text"].iloc[at:at + 256]]
-                yield pd.DataFrame({"node": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
+                yield pd.DataFrame({"found": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
                                     "items": [s.view(np.int64) for s in sets]})
-    wanted = measured(settled(nodes.select(F.col("rep").alias("doc_id")).distinct()))
-    found = docs.join(wanted, "doc_id", "left_semi").select("text").mapInPandas(rows, "node binary, items array<long>")
-    return found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    wanted = measured(nodes.select(F.col("rep").alias("doc_id")).distinct())
+    found = docs.join(wanted, "doc_id", "left_semi").select("text").mapInPandas(rows, "found binary, items array<long>")
+    names = measured(nodes.select("node", "digest"))
+    found = found.join(names, F.col("found") == F.col("digest")).select("node", "items")
+    return found.dropDuplicates(["node"])
 
 
 @F.pandas_udf(T.DoubleType())
@@ -144,35 +148,42 @@ def _estimate(left: pd.Series, right: pd.Series, n_left: pd.Series, n_right: pd.
     return pd.Series(out)
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 x intersection >= percent x union."""
-    sides = [classes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"))
+    sides = [nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"))
              for s in "ab"]
-    near = pairs.join(sides[0], "a").join(sides[1], "b")
+    near = sides[0].join(measured(settled(pairs)), "a").join(sides[1], "b")
     fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     near = near.filter(fits).filter(_estimate("r_a", "r_b", "n_a", "n_b") >= percent / 100 - MARGIN)
     near = measured(settled(near.select("a", "b", "n_a", "n_b")))
     common = F.size(F.array_intersect("s_a", "s_b"))
-    return settled(near.join(sets.select(F.col("node").alias("a"), F.col("items").alias("s_a")), "a")
+    return settled(sets.select(F.col("node").alias("a"), F.col("items").alias("s_a")).join(near, "a")
                    .join(sets.select(F.col("node").alias("b"), F.col("items").alias("s_b")), "b")
                    .filter(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b"))
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) of every node of the links (a, b): the smallest node that links lead to."""
-    edges = settled(links.select("a", "b").union(links.select("b", "a")).distinct())
-    state = settled(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
-                    .select("node", F.least("node", "b").alias("label")))
+    """(node, label) of every node of the links (a, b): the smallest node that links lead to.
+
+    Every round takes the smallest label around a node and then that label's own label, so paths halve.
+    """
+    own = links.select("a", F.col("a").alias("b")).union(links.select("b", F.col("b").alias("a")))
+    edges = settled(links.select("a", "b").union(links.select("b", "a")).union(own).distinct())
+    small = edges.count() <= SMALL_ROWS
+    edges = edges.coalesce(SMALL_PARTS) if small else edges
+
+    def side(frame: DataFrame) -> DataFrame:
+        return F.broadcast(frame) if small else frame
+
+    state = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
     while True:
-        seen = (edges.join(state, edges["b"] == state["node"]).groupBy("a").agg(F.min("label").alias("near")))
-        moved = (state.join(seen, state["node"] == seen["a"])
-                 .select("node", F.col("label").alias("was"), F.least("label", "near").alias("label")))
-        jump = moved.select(F.col("node").alias("at"), F.col("label").alias("far"))
-        moved = settled(moved.join(jump, F.col("label") == F.col("at"))
-                        .select("node", "was", F.least("label", "far").alias("label")))
-        state = moved.select("node", "label")
-        if moved.filter("was <> label").isEmpty():
-            return state
+        was = F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("was")
+        seen = settled(edges.join(side(state), edges["b"] == F.col("node"))
+                       .groupBy("a").agg(F.min("label").alias("label"), was))
+        if seen.filter("was <> label").isEmpty():
+            return seen.select(F.col("a").alias("node"), "label")
+        far = side(seen.select(F.col("a").alias("at"), F.col("label").alias("far")))
+        state = seen.join(far, F.col("label") == F.col("at")).select(F.col("a").alias("node"), F.least("label", "far").alias("label"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -187,20 +198,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sketched = settled(_sketched(docs, words))
-    classes = settled(sketched.filter("doc_id IS NOT NULL AND n > 0").groupBy("node")
-                      .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers")))
+    classes = (sketched.filter("doc_id IS NOT NULL AND n > 0").groupBy("digest")
+               .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers")))
+    classes = settled(classes.withColumn("node", F.monotonically_increasing_id()))
     links = _links(docs, classes, words, percent)
-    if links is None:
-        merged = classes.select("node", F.col("rep").alias("component_id"))
-    else:
+    component = F.col("rep")
+    if links is not None:
         members = components(links).join(classes.select("node", "rep"), "node")
-        smallest = members.groupBy("label").agg(F.min("rep").alias("component_id"))
-        members = settled(members.join(smallest, "label").select(F.col("node").alias("member"), "component_id"))
-        merged = (classes.join(measured(members), F.col("node") == F.col("member"), "left")
-                  .select("node", F.coalesce("component_id", "rep").alias("component_id")))
-    merged = merged.withColumnRenamed("node", "class")
+        smallest = settled(members.groupBy("label").agg(F.min("rep").alias("component_id")))
+        members = settled(members.join(measured(smallest), "label").select(F.col("node").alias("member"), "component_id"))
+        classes = classes.join(measured(members), F.col("node") == F.col("member"), "left")
+        component = F.coalesce("component_id", "rep")
+    merged = settled(classes.select(F.col("digest").alias("class"), component.alias("component_id")))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return (sketched.join(merged, F.col("node") == F.col("class"), "left")
+    return (sketched.select("doc_id", "n", "digest").join(merged, F.col("digest") == F.col("class"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
@@ -210,8 +221,8 @@ def _buckets(classes: DataFrame, rows: int) -> DataFrame:
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", 2 * rows * i + 1, 2 * rows))
                      for i in range(REGISTERS // rows)])
     banded = classes.select("node", F.explode(keys).alias("key"))
-    full = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    return banded.join(full, "key")
+    full = settled(banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"))
+    return banded.join(measured(full), "key")
 
 
 def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame | None:
@@ -219,37 +230,104 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     buckets = settled(_buckets(classes, band_rows(percent / 100)))
     if buckets.isEmpty():
         return None
-    central = buckets.groupBy("node").agg(F.sum("size").alias("central"))
-    buckets = settled(buckets.join(central, "node").select("key", "node", "central"))
-    inside = buckets.select("node").distinct().join(classes.select("node", "rep"), "node")
-    sets = settled(_sets(docs, settled(inside), words))
-    links, tested, open_rows = None, None, buckets.withColumn("label", F.col("node"))
-    for turn in range(PIVOT_ROUNDS + 1):
-        if turn < PIVOT_ROUNDS:
-            best = F.col("central") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            pivot = (open_rows.groupBy("key").agg(F.max(F.struct(best.alias("rank"), "node", "label")).alias("p"))
-                     .select("key", F.col("p.node").alias("other"), F.col("p.label").alias("other_label")))
-            met = open_rows.join(pivot, "key").filter("label <> other_label")
-        else:
-            other = open_rows.select("key", F.col("node").alias("other"), F.col("label").alias("other_label"))
-            met = open_rows.join(other, "key").filter("label < other_label")
-        pairs = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settled(pairs)
-        found = _verified(pairs, classes, sets, percent)
-        links = found if links is None else settled(links.union(found))
-        if turn == PIVOT_ROUNDS:
-            break
-        tested = pairs if tested is None else settled(tested.union(pairs))
-        label = components(links)
-        open_rows = (buckets.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
-        mixed = (open_rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                 .filter("low <> high").select("key"))
-        open_rows = settled(open_rows.join(mixed, "key"))
-        if open_rows.isEmpty():
-            break
-    return links
+    central = settled(buckets.groupBy("node").agg(F.sum("size").alias("central")))
+    pivots = (buckets.join(measured(central), "node").groupBy("key")
+              .agg(F.max(F.struct("central", "node")).alias("p")).select("key", F.col("p.node").alias("pivot")))
+    groups = settled(buckets.join(measured(settled(pivots)), "key").select("pivot", "node").distinct())
+    nodes = settled(classes.join(measured(central.select("node")), "node", "left_semi"))
+    sets = settled(_sets(docs, nodes, words))
+    pairs = groups.filter("pivot <> node").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
+    links = _verified(pairs.distinct(), nodes, sets, percent)
+    rest = _open_groups(groups, links, sets, percent)
+    return links if rest is None else links.union(_blockwise(rest, percent))
+
+
+def _open_groups(groups: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """(pivot, node, label, home, items) of the groups that still span several components; NULL if none does.
+
+    A set of which more than 100 - ``percent`` percent is in no other set of its group can have no link in the group,
+    and is left out: that takes one count of each shingle, however large the group is.
+    """
+    label = measured(components(links))
+    home = label.select(F.col("node").alias("pivot"), F.col("label").alias("home"))
+    named = (groups.join(label, "node", "left").join(measured(home), "pivot", "left")
+             .select("pivot", "node", F.coalesce("label", "node").alias("label"), F.coalesce("home", "pivot").alias("home")))
+    named = _spanning(settled(named))
+    if named.isEmpty():
+        return None
+    parts = (sets.join(measured(named.select("pivot", "node")), "node")
+             .select("pivot", "node", F.size("items").alias("n"), F.explode("items").alias("item")))
+    shared = parts.groupBy("pivot", "item").agg(F.count("*").alias("times")).filter("times > 1").drop("times")
+    linkable = (parts.join(shared, ["pivot", "item"]).groupBy("pivot", "node", "n").agg(F.count("*").alias("common"))
+                .filter(100 * F.col("common") >= percent * F.col("n")).select("pivot", "node"))
+    named = _spanning(settled(named.join(measured(settled(linkable)), ["pivot", "node"], "left_semi")))
+    return None if named.isEmpty() else sets.join(measured(named), "node")
+
+
+def _spanning(named: DataFrame) -> DataFrame:
+    """The rows of the groups that have a node outside the pivot's component."""
+    mixed = settled(named.filter("label <> home").select("pivot").distinct())
+    return settled(named.join(measured(mixed), "pivot", "left_semi"))
+
+
+def _blockwise(rest: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different labels of a group.
+
+    The nodes outside the pivot's component meet all nodes of the group, block by block. A block holds about ``BLOCK``
+    nodes a side, and gives only the links that join labels in it.
+    """
+    sizes = rest.groupBy("pivot").agg(F.count("*").alias("nodes"), F.count_if(F.col("label") != F.col("home")).alias("out"))
+    sizes = sizes.select("pivot", F.ceil(F.col("nodes") / BLOCK).alias("n_all"), F.ceil(F.col("out") / BLOCK).alias("n_out"))
+    rows = rest.join(measured(settled(sizes.filter("n_out > 0"))), "pivot")
+    spot = F.xxhash64("node")
+    out = (rows.filter("label <> home").withColumn("i", F.pmod(spot, F.col("n_out")))
+           .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1))).withColumn("side", F.lit(0)))
+    everyone = (rows.withColumn("j", F.pmod(spot, F.col("n_all")))
+                .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_out") - 1))).withColumn("side", F.lit(1)))
+    names = ["pivot", "i", "j", "side", "node", "label", "items"]
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
+        common = _intersections(list(left["items"]), list(right["items"]))
+        n_left, n_right = (np.array([len(x) for x in side["items"]]) for side in (left, right))
+        union = n_left[:, None] + n_right[None, :] - common
+        root = {name: name for name in frame["label"]}
+
+        def top(name: int) -> int:
+            while root[name] != name:
+                root[name] = name = root[root[name]]
+            return name
+
+        found = []
+        for i, j in zip(*np.nonzero(100 * common >= percent * union)):
+            a, b = top(left["label"].iat[i]), top(right["label"].iat[j])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                found.append((left["node"].iat[i], right["node"].iat[j]))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    both = out.select(names).unionByName(everyone.select(names))
+    return both.groupBy("pivot", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of one list with all of the other, by matrix products over slices."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    if not left or not right:
+        return out
+    sides = [(np.concatenate(side), np.repeat(np.arange(len(side)), [len(x) for x in side])) for side in (left, right)]
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    for at in range(0, len(shared), 8192):
+        part = shared[at:at + 8192]
+        dense = []
+        for (items, owner), side in zip(sides, (left, right)):
+            place = np.minimum(np.searchsorted(part, items), len(part) - 1)
+            hit = part[place] == items
+            matrix = np.zeros((len(side), len(part)), np.float32)
+            matrix[owner[hit], place[hit]] = 1
+            dense.append(matrix)
+        out += (dense[0] @ dense[1].T).astype(np.int64)
+    return out
 
 
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
