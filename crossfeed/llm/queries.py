@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossfeed.llm import decontam, langid, merkle, mixing, quality, setsketch, toolcalls, urls
+from crossfeed.llm import decontam, langid, maxent, merkle, mixing, pii, quality, setsketch, toolcalls, urls
 from crossfeed.llm.common import remainder_is
 from crossfeed.llm.sql import SQL  # noqa: F401
 
@@ -57,6 +57,14 @@ def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(merkle.differing_sections(F.col("mark"), F.col("edited_mark"))).cast("long").alias("n_sections_changed"))
 
 
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 @query
 def op5_segmented_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
@@ -112,3 +120,11 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_setsketch_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query
+def op10_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder_is(F.col("doc_id"), 7, 2)
+    scores = maxent.score(docs, maxent.train(docs.filter(~held_out)))
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
