@@ -138,3 +138,17 @@ def _top_up(rows: DataFrame) -> DataFrame:
             .select(F.col("best.row").alias("best_row")))
     joined = rows.join(measured(settled(best)), rows["row"] == F.col("best_row"), "left")
     return joined.withColumn("picked", F.col("picked") | F.col("best_row").isNotNull()).drop("best_row")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with all their columns and ``copies`` (once or more).
+
+    Rows that share an id get the fewest copies that the mix gives one of them. A column ``copies`` of ``docs`` is
+    replaced.
+    """
+    plan = mix(docs, id_col, text_col, source_col, None, weights, limit)
+    plan = settled(plan.groupBy(F.col("doc_id").alias("__taken_id")).agg(F.min("copies").alias("__copies"))
+                   .filter("__copies > 0"))
+    joined = docs.join(measured(plan), docs[id_col].eqNullSafe(F.col("__taken_id")))
+    return joined.withColumn("copies", F.col("__copies")).drop("__taken_id", "__copies")

@@ -418,8 +418,11 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join(out) + text[done:]
 
 
-def mask(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, personal data in the text replaced by marks. NULL texts stay NULL."""
+def mask(docs: DataFrame, model: dict | None, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The rows of ``docs``, with all their columns, personal data in the text replaced by marks.
+
+    NULL texts stay NULL. A column ``length_col``, if there is one, follows the new text.
+    """
     def cleaned(texts: pd.Series) -> pd.Series:
         out: list[str | None] = []
         for at in range(0, len(texts), 1024):
@@ -427,4 +430,7 @@ def mask(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFra
             found = all_spans([t or "" for t in part], model)
             out += [None if t is None else masked(t, base + added) for t, (base, added) in zip(part, found)]
         return pd.Series(out, dtype=object)
-    return docs.withColumn(text_col, F.pandas_udf(cleaned, "string")(F.col(text_col)))
+    out = docs.withColumn(text_col, F.pandas_udf(cleaned, "string")(F.col(text_col)))
+    if length_col in docs.columns:
+        out = out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
+    return out
