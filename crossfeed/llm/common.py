@@ -13,6 +13,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A side is broadcast only if it was counted to hold no more rows than this; rows are a few numbers wide.
 SMALL_ROWS = 200_000
 
+#: Text goes to Python in batches of this many bytes at most; a longer text is a batch of its own.
+BATCH_BYTES = 16 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_small_batches(frame: DataFrame) -> DataFrame:
+    """The same frame, after lowering the session's limit of an Arrow batch to ``BATCH_BYTES`` if it is higher.
+
+    Python workers hold a batch several times over; the setting is the session's, so it stays lowered.
+    """
+    session = frame.sparkSession
+    if int(session.conf.get(BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+        session.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return frame
+
 
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for NULL."""
@@ -32,3 +47,29 @@ def settled(frame: DataFrame) -> DataFrame:
 def measured(frame: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """A settled frame, marked for broadcast if it was counted to be small; otherwise joins shuffle it."""
     return F.broadcast(frame) if frame.count() <= rows else frame
+
+
+def most_frequent(counts: DataFrame, size: int) -> DataFrame:
+    """The rows of a settled frame with the largest counts ``n``, ``size`` at most.
+
+    All rows whose count is in the classes of about one percent that fit as a whole; there are some thousand classes,
+    however many rows, so nothing is sorted and no task keeps ``size`` rows.
+    """
+    step = F.floor(F.log2(F.col("n")) * 64)
+    classes = sorted(((row["step"], row["rows"]) for row in counts.groupBy(step.alias("step"))
+                      .agg(F.count("*").alias("rows")).collect()), reverse=True)
+    total, least = 0, None
+    for name, rows in classes:
+        total += rows
+        if total > size:
+            break
+        least = name
+    return counts.filter(F.lit(False) if least is None else step >= least)
+
+
+def sampled(frame: DataFrame, key: str, rows: int) -> DataFrame:
+    """About ``rows`` rows of a frame, or all if there are fewer, by a hash of their key."""
+    total = frame.count()
+    if total <= rows:
+        return frame
+    return frame.filter(F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) < F.lit(int((1 << 30) * (rows / total))))

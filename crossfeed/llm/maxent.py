@@ -24,15 +24,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crossfeed.llm.common import settled
+from crossfeed.llm.common import in_small_batches, most_frequent, settled
 
 #: Words looked up in the workers; bounds what is sent there. The others are joined.
 TOP = 1 << 17
 #: Classes of single words (the last is the end of a text) and of endings.
-OWN_CLASSES, ENDING_CLASSES = 31, 17
+OWN_CLASSES, ENDING_CLASSES = 20, 12
 CLASSES = OWN_CLASSES + ENDING_CLASSES
 FEATURES, ORDERS = 1 << 14, 3
-ROUNDS, RATE, BATCH = 3, 0.4, 4096
+ROUNDS, RATE, BATCH = 2, 0.4, 8192
 #: Different words a task counts before it passes them on.
 FLUSH = 200_000
 #: The end of a text; no word is empty.
@@ -94,7 +94,7 @@ def context(code: np.ndarray) -> np.ndarray:
     two = np.concatenate([np.ones(min(2, len(code)), np.uint64), code[:-2]])[:len(code)]
     mix = np.uint64(0x9E3779B97F4A7C15)
     keys = np.stack([one * mix, (two + np.uint64(77)) * mix, (one ^ (two * mix)) * mix + np.uint64(5)], 1)
-    return ((keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(50)).astype(np.int64)
+    return ((keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(50)).astype(np.uint16)
 
 
 def log_chances(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -107,18 +107,23 @@ def log_chances(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
 
 
 def descend(weights: np.ndarray, gathered: np.ndarray, seen: np.ndarray, features: np.ndarray, kind: np.ndarray) -> None:
-    """One adaptive gradient step on a batch, in place; ``seen`` counts tokens per feature."""
+    """One adaptive gradient step on a batch, in place; ``gathered`` has the mean square per feature, ``seen`` its tokens."""
     slope = np.exp(log_chances(weights, features))
     slope[np.arange(len(kind)), kind] -= 1
     for k in range(ORDERS):
-        order = np.argsort(features[:, k], kind="stable")
-        rows, starts = np.unique(features[order, k], return_index=True)
+        column = features[:, k]
+        order = np.argsort(column, kind="stable")
+        ordered = column[order]
+        starts = np.append(0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1)
+        rows = ordered[starts]
         sums = np.add.reduceat(slope[order], starts, axis=0)
-        gathered[rows] += sums * sums
-        weights[rows] -= RATE * sums / np.sqrt(gathered[rows])
+        squares = gathered[rows] + np.einsum("ij,ij->i", sums, sums) / CLASSES
+        gathered[rows] = squares
+        sums *= (RATE / np.sqrt(squares))[:, None]
+        weights[rows] -= sums
         seen[rows] += np.diff(np.append(starts, len(order)))
     total = slope.sum(0)
-    gathered[-1] += total * total
+    gathered[-1] += (total * total).mean()
     weights[-1] -= RATE * total / np.sqrt(gathered[-1])
     seen[-1] += len(kind)
 
@@ -130,7 +135,7 @@ def _gradient_round(texts: DataFrame, lexicon, start: np.ndarray) -> np.ndarray:
 
     def passes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first, lex = shared.value, Lexicon(*lexicon.value)
-        weights, gathered = first.copy(), np.ones_like(first)
+        weights, gathered = first.copy(), np.ones(len(first), np.float32)
         seen = np.zeros(len(first))
         held, size = [], 0
 
@@ -173,10 +178,10 @@ def train(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> d
     NULL texts are empty ones: an end alone. An empty table gives a model that knows no word.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
+    texts = in_small_batches(docs).select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
     counts = settled(texts.select("text").mapInPandas(_counted, "word binary, n long")
                      .groupBy("word").agg(F.sum("n").alias("n")))
-    top = counts.orderBy(F.desc("n"), "word").limit(TOP).toPandas()
+    top = most_frequent(counts, TOP).toPandas().sort_values(["n", "word"], ascending=[False, True])
     known = ([bytes(w) for w in top["word"]], [int(n) for n in top["n"]])
     kind = F.lit(OWN_CLASSES) + F.crc32(F.substring("word", -2, 2)) % ENDING_CLASSES
     for i, word in [*enumerate(own_words(known[0])), (OWN_CLASSES - 1, END)]:
@@ -202,7 +207,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     empty. Repeated rows and ids stay apart. Other columns are not looked at.
     """
     lexicon, weights, class_size = model["lexicon"], model["weights"], model["class_size"]
-    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    named = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lex, w = Lexicon(*lexicon.value), weights.value
