@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crossfeed.llm.common import settled
+from crossfeed.llm.common import in_small_batches, settled
 
 DIMENSIONS = 4096
 ORDERS = 3
@@ -94,7 +94,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_c
 
     Rows without a language or a letter teach nothing. An empty table gives a model without languages.
     """
-    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
+    rows = in_small_batches(docs).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(key_col).cast("string").alias("key"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     found = (rows.select("text").mapInPandas(_document_frequencies, "place long, n long")
@@ -132,7 +132,7 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     and for all if nothing was learned. ``score`` is the cosine to the nearest centroid, 0 for ``und``. Equal cosines go
     to the first language by name. Repeated rows stay. Other columns are not looked at.
     """
-    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    named = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     names, centroids = model["names"], model["centroids"]
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

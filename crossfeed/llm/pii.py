@@ -18,8 +18,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crossfeed.llm.common import in_small_batches, sampled
+
 KINDS = ("email", "ip", "card", "phone")
-#: Documents at most whose spans the network is trained on.
+#: Documents, about, whose spans the network is trained on.
 SAMPLE_ROWS = 6_000
 #: Windows at most that one sampled document gives, and all of them.
 WINDOWS_PER_ROW, TRAINING_WINDOWS = 6, 4_000
@@ -289,14 +291,12 @@ def windows(text: str, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> dict | None:
-    """A network from a sample of the ``sample_rows`` ids with the smallest hashes; None if it holds no personal data.
+    """A network from a sample of about ``sample_rows`` ids, by a hash of the id; None if it holds no personal data.
 
     NULL ids and texts teach nothing.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    ids = (rows.filter("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id")
-           .limit(sample_rows))
-    sample = rows.join(F.broadcast(ids), "doc_id").select("text", F.xxhash64("doc_id").alias("seed"))
+    rows = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    sample = sampled(rows.filter("doc_id IS NOT NULL"), "doc_id", sample_rows).select("text", F.xxhash64("doc_id").alias("seed"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -392,7 +392,7 @@ def find(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col:
     Counts and ``base`` are of the patterns; ``spans`` also has what the network adds. Both list ``kind:start:end`` in
     code points, end exclusive, by kind and start. NULL texts count as empty and have none. Repeated rows stay.
     """
-    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    named = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -430,7 +430,7 @@ def mask(docs: DataFrame, model: dict | None, text_col: str = "text", length_col
             found = all_spans([t or "" for t in part], model)
             out += [None if t is None else masked(t, base + added) for t, (base, added) in zip(part, found)]
         return pd.Series(out, dtype=object)
-    out = docs.withColumn(text_col, F.pandas_udf(cleaned, "string")(F.col(text_col)))
+    out = in_small_batches(docs).withColumn(text_col, F.pandas_udf(cleaned, "string")(F.col(text_col)))
     if length_col in docs.columns:
         out = out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
     return out

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crossfeed.llm.common import SMALL_ROWS, measured, settled
+from crossfeed.llm.common import SMALL_ROWS, in_small_batches, measured, settled
 
 BASE = 1.001
 REGISTERS = 128
@@ -196,7 +196,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty texts have no shingle and stay alone. Rows with a NULL id stay alone too, have no component and are kept.
     Rows of one id are one document: each is in the component of its own text. An empty table gives an empty result.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sketched = settled(_sketched(docs, words))
     classes = (sketched.filter("doc_id IS NOT NULL AND n > 0").groupBy("digest")
                .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers")))

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crossfeed.llm.common import in_small_batches, most_frequent, settled
+
 #: Most frequent words of the unigram model; counted over all pages. Bounds what is sent to the workers.
 VOCABULARY = 50_000
 #: Longest word that a label is split into.
@@ -53,10 +55,10 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
 
 
 def vocabulary(texts: DataFrame, text_col: str, size: int = VOCABULARY) -> dict[str, float]:
-    """Costs of the ``size`` most frequent words (ties by name) of a column of HTML or plain text, counted over all rows."""
+    """Costs of the at most ``size`` most frequent words of a column of HTML or plain text, counted over all rows."""
     plain = F.lower(F.regexp_replace(F.col(text_col), r"(?s)<[^>]*>", " "))
     words = texts.select(F.explode(F.regexp_extract_all(plain, F.lit(r"\p{L}{2,%d}" % LONGEST), F.lit(0))).alias("word"))
-    top = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(size).collect()
+    top = most_frequent(settled(words.groupBy("word").agg(F.count("*").alias("n"))), size).collect()
     total = sum(row["n"] for row in top)
     return {row["word"]: math.log(total / row["n"]) for row in top}
 
@@ -114,7 +116,7 @@ def train(pages: DataFrame, url_col: str = "url", text_col: str = "html", rules:
     NULL urls and texts teach nothing. If the rules give only one verdict, or none, nothing speaks for ``block``.
     """
     costs = vocabulary(pages, text_col, vocabulary_size)
-    parts = pages.select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    parts = in_small_batches(pages).select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     known = parts.withColumn("verdict", rule_of(F.col("host"), F.col("path"), rules)[1]).filter("verdict IS NOT NULL")
     counted = (_tokenized(known, costs, "verdict").select("verdict", F.explode("places").alias("place"))
                .groupBy("verdict", "place").agg(F.count("*").alias("n")).toPandas())
@@ -143,7 +145,7 @@ def judge(pages: DataFrame, model: dict, id_col: str = "page_id", url_col: str =
         return pd.Series([prior + float(sum(weights[_place(t)] for t in tokens(h, p, costs, seen)))
                           for h, p in zip(hosts, paths)], dtype=float)
 
-    frame = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
+    frame = in_small_batches(pages).select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     frame = frame.withColumn("block_score", F.pandas_udf(odds, "double")("host", "path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), model["rules"])
     judged = F.when(F.col("block_score") > 0, "block").otherwise("allow")
