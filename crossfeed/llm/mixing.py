@@ -3,8 +3,8 @@
 Every source has a target number of words. A document is expected ``rate`` times in the mix (target over size of its
 source, tilted by an optional weight): the whole part of that is certain, the fraction is an inclusion probability p.
 Documents of a source are ranked by random odds over inclusion odds, (u / (1 - u)) / (p / (1 - p)), and are taken in
-that order as long as the words still fit. What the next document would overshoot is filled by at most ``TOP_UPS``
-single documents that fit it best. So the number of words is fixed, and the error is below the smallest sizes around.
+that order as long as the words still fit. What is then missing is filled by at most ``TOP_UPS`` single documents, each
+the one that brings the words nearest to the target. So the number of words is fixed, up to the sizes of single documents.
 
 No source is ranked in one task. The rank is cut into ``CELLS`` cells; the sums of the cells (one row per source and
 cell) show which cell the target falls into, its rows are cut once more, and only what is left there is sorted.
@@ -23,7 +23,7 @@ WEIGHTS = (5, 2, 1)
 LIMIT = 3
 #: Cells per level; two levels leave one row in about a million of a source to be sorted.
 CELLS = 1024
-TOP_UPS = 2
+TOP_UPS = 3
 
 
 def uniform(key: Column, seed: str) -> Column:
@@ -127,14 +127,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def _top_up(rows: DataFrame) -> DataFrame:
-    """Takes, per source, the largest open document that still fits what is missing to the target."""
+    """Takes, per source, the one open document that brings the words nearest to the target, if one brings them nearer."""
     words = (F.col("certain") + F.col("picked").cast("long")) * F.col("size")
     missing = rows.groupBy("source").agg((F.first("target") - F.sum(words)).alias("missing"))
     missing = measured(settled(missing.withColumnRenamed("source", "missing_source")))
     open_rows = rows.filter(~F.col("picked") & F.col("rank").isNotNull() & (F.col("size") > 0))
     best = (open_rows.join(missing, open_rows["source"].eqNullSafe(F.col("missing_source")))
-            .filter(F.col("size") <= F.col("missing")).groupBy("source")
-            .agg(F.min(F.struct((-F.col("size")).alias("size"), "rank", "doc_id", "row")).alias("best"))
+            .withColumn("off", F.abs(F.col("missing") - F.col("size"))).filter(F.col("off") < F.col("missing"))
+            .groupBy("source").agg(F.min(F.struct("off", "rank", "doc_id", "row")).alias("best"))
             .select(F.col("best.row").alias("best_row")))
     joined = rows.join(measured(settled(best)), rows["row"] == F.col("best_row"), "left")
     return joined.withColumn("picked", F.col("picked") | F.col("best_row").isNotNull()).drop("best_row")

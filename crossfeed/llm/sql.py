@@ -46,18 +46,25 @@ missing1 AS (
     SELECT *, target - sum((certain + picked::BIGINT) * size) OVER (PARTITION BY source) AS missing FROM taken0),
 taken1 AS (
     SELECT * REPLACE (picked OR (open AND 1 = row_number() OVER (
-               PARTITION BY source, open ORDER BY size DESC, rk, doc_id, rid)) AS picked)
-    FROM (SELECT *, NOT picked AND rk IS NOT NULL AND size > 0 AND size <= missing AS open FROM missing1)),
+               PARTITION BY source, open ORDER BY abs(missing - size), rk, doc_id, rid)) AS picked)
+    FROM (SELECT *, NOT picked AND rk IS NOT NULL AND size > 0 AND abs(missing - size) < missing AS open FROM missing1)),
 missing2 AS (
     SELECT * EXCLUDE (missing, open),
            target - sum((certain + picked::BIGINT) * size) OVER (PARTITION BY source) AS missing FROM taken1),
 taken2 AS (
     SELECT * REPLACE (picked OR (open AND 1 = row_number() OVER (
-               PARTITION BY source, open ORDER BY size DESC, rk, doc_id, rid)) AS picked)
-    FROM (SELECT *, NOT picked AND rk IS NOT NULL AND size > 0 AND size <= missing AS open FROM missing2))
+               PARTITION BY source, open ORDER BY abs(missing - size), rk, doc_id, rid)) AS picked)
+    FROM (SELECT *, NOT picked AND rk IS NOT NULL AND size > 0 AND abs(missing - size) < missing AS open FROM missing2)),
+missing3 AS (
+    SELECT * EXCLUDE (missing, open),
+           target - sum((certain + picked::BIGINT) * size) OVER (PARTITION BY source) AS missing FROM taken2),
+taken3 AS (
+    SELECT * REPLACE (picked OR (open AND 1 = row_number() OVER (
+               PARTITION BY source, open ORDER BY abs(missing - size), rk, doc_id, rid)) AS picked)
+    FROM (SELECT *, NOT picked AND rk IS NOT NULL AND size > 0 AND abs(missing - size) < missing AS open FROM missing3))
 SELECT doc_id, size, source_size, target, (certain + picked::BIGINT) * size AS taken,
        certain + picked::BIGINT AS copies, source
-FROM taken2
+FROM taken3
 """
 
 
