@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crossfeed.llm.common import in_small_batches, settled
+from crossfeed.llm.common import in_small_batches, measured, settled
 
 DIMENSIONS = 4096
 ORDERS = 3
@@ -105,7 +105,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_c
 
     many = settled(rows.groupBy("lang").agg(F.count("*").alias("many")))
     chance = (F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-    sample = rows.join(many, "lang").filter(chance * F.col("many") < per_language).select("lang", "text")
+    sample = rows.join(measured(many), "lang").filter(chance * F.col("many") < per_language).select("lang", "text")
 
     def centroids(frame: pd.DataFrame) -> pd.DataFrame:
         x = np.array([vector(counts(t), idf) for t in frame["text"] if has_letter(t)])
