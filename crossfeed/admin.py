@@ -86,8 +86,8 @@ class _Admin:
     def time_literal(self, value: dt.date) -> str:
         return f"TIMESTAMP '{value}'" if isinstance(value, dt.datetime) else f"DATE '{value}'"
 
-    def rename_sql(self, old: str, new: str) -> str:
-        return f"ALTER TABLE {self.quote(old)} RENAME TO {self.quote(new)}"
+    def rename_sql(self, old: str, new: str, schema: str | None = None) -> str:
+        return f"ALTER TABLE {self.path(schema, old)} RENAME TO {self.quote(new)}"
 
 
 class _JdbcAdmin(_Admin):
@@ -127,10 +127,10 @@ class _JdbcAdmin(_Admin):
         """The JDBC escape, which every driver puts into its own syntax."""
         return f"{{ts '{value}'}}" if isinstance(value, dt.datetime) else f"{{d '{value}'}}"
 
-    def rename_sql(self, old, new):
+    def rename_sql(self, old, new, schema=None):
         if self._target.startswith("jdbc:derby:"):
-            return f"RENAME TABLE {self.quote(old)} TO {self.quote(new)}"
-        return super().rename_sql(old, new)
+            return f"RENAME TABLE {self.path(schema, old)} TO {self.quote(new)}"
+        return super().rename_sql(old, new, schema)
 
     def _run(self, sql):
         self.update(sql)
@@ -174,35 +174,44 @@ class _JdbcAdmin(_Admin):
     def relations(self, kinds: tuple[str, ...]) -> list[Relation]:
         return self._listing(None, "%", kinds)
 
+    def home(self) -> str | None:
+        """The schema that unqualified names stand for."""
+        return self._raw.getSchema()
+
     def _named(self, name, schema):
-        """The arguments of the listing are LIKE patterns: wildcards are escaped here, equality is the caller's."""
-        escape = self._meta.getSearchStringEscape() or ""
+        """The arguments of the listing are LIKE patterns: wildcards are escaped here, equality is the caller's.
+
+        Whatever the database lists by that name counts: synonyms, system tables, foreign and partitioned tables too.
+        """
         found: dict[str, Relation] = {}
         for spelled in dict.fromkeys((name, name.upper(), name.lower())):
-            pattern = spelled
-            if escape:
-                for sign in (escape, "%", "_"):
-                    pattern = pattern.replace(sign, escape + sign)
-            for one in self._listing(schema, pattern, TABLE_KINDS + VIEW_KINDS):
+            pattern = self._escaped(spelled)
+            for one in self._listing(schema, pattern, None):
                 if not schema or one.schema.lower() == schema.lower():
                     found[one.path] = one
         return list(found.values())
 
+    def _escaped(self, name: str) -> str:
+        escape = self._meta.getSearchStringEscape() or ""
+        for sign in (escape, "%", "_") if escape else ():
+            name = name.replace(sign, escape + sign)
+        return name
+
     def _listing(self, schema, pattern, kinds):
-        result = self._meta.getTables(None, schema, pattern, _java_strings(self._spark, kinds))
+        result = self._meta.getTables(None, schema, pattern, _java_strings(self._spark, kinds) if kinds else None)
         return [Relation(space or "", name, kind, self.path(space, name))
                 for space, name, kind in _cursor(result, (2, 3, 4))]
 
-    def text_widths(self, name: str) -> dict[str, int]:
+    def text_widths(self, name: str, schema: str | None = None) -> dict[str, int]:
         """Declared widths of the VARCHAR and CHAR columns of a table."""
-        relation = self.find(name)
-        result = self._meta.getColumns(None, relation.schema or None, None, None)
+        relation = self.find(name, schema)
+        result = self._meta.getColumns(None, relation.schema or None, self._escaped(relation.name), None)
         listed = _cursor(result, ("TABLE_NAME", "COLUMN_NAME", "TYPE_NAME", "COLUMN_SIZE"))
         return {column: int(size) for table, column, kind, size in listed
                 if table == relation.name and kind in ("VARCHAR", "CHAR")}
 
     def not_null_columns(self, relation: Relation) -> list[str]:
-        result = self._meta.getColumns(None, relation.schema or None, None, None)
+        result = self._meta.getColumns(None, relation.schema or None, self._escaped(relation.name), None)
         return [column for table, column, _, nullable in sorted(
             _cursor(result, ("TABLE_NAME", "COLUMN_NAME", "ORDINAL_POSITION", "IS_NULLABLE")), key=lambda row: row[2])
             if table == relation.name and nullable == "NO"]
@@ -250,12 +259,15 @@ class _DbApiAdmin(_Admin):
 
     def _run(self, sql):
         self._session.run(sql)
-        if not self._session.is_sqlite:
+        if not self._session.is_sqlite and not self._session.guarded:
             self._session.commit()
 
     def _rows(self, sql):
         return self._session.cursor(sql).fetchall()
 
+    def home(self) -> str | None:
+        return None
+
     def relations(self, kinds: tuple[str, ...]) -> list[Relation]:
         if self._session.is_sqlite:
             listed = [("", name, kind.upper()) for name, kind in self._rows(

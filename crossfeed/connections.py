@@ -63,6 +63,7 @@ class Connection:
             "timeout": str(self.timeout),
             "read_only": str(self.read_only).lower(),
             "session_init": self.session_init,
+            "login_timeout_property": self.login_timeout_property,
             **{f"connect.{key}": value for key, value in self.properties},
         }
 

@@ -1,13 +1,14 @@
 """Character encodings: bytes or mis-declared text to proper text.
 
-UTF-8, Latin-1 and every cell that is plain ASCII are decoded inside the JVM; all known charsets agree on ASCII. Other
-cells go to a pandas UDF in Arrow batches, which measured four times faster than mapping characters with
-``translate``. Bytes that are not valid in the charset keep their original text, that is, each byte as the Latin-1
+UTF-8, Latin-1 and, for the charsets that agree on ASCII, every cell that is plain ASCII are handled inside the JVM.
+Other cells go to a pandas UDF in Arrow batches. Bytes that are not valid in the charset keep their original text, that is, each byte as the Latin-1
 character of the same number.
 """
 
 from __future__ import annotations
 
+import codecs
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,9 +46,29 @@ def charset(encoding: str) -> str:
     found = ALIASES.get(name)
     if found is None and name.isdigit():
         found = PAGE_NUMBERS.get(int(name), ALIASES.get(f"CP{name}"))
-    if found is None:
-        raise ExternalError(f"Unknown encoding '{encoding}'")
-    return found
+    return found or _codec(name) or _unknown(encoding)
+
+
+def _codec(name: str) -> str | None:
+    """Any other name or code page number that Python has a text codec for."""
+    for spelled in (f"cp{name}" if name.isdigit() else name, name.removeprefix("WINDOWS-")):
+        try:
+            known = codecs.lookup(spelled)
+        except (LookupError, ValueError):
+            continue
+        if known._is_text_encoding and known.name not in ("idna", "punycode", "unicode_escape", "raw_unicode_escape", "undefined"):
+            return known.name
+    return None
+
+
+def _unknown(encoding: str) -> str:
+    raise ExternalError(f"Unknown encoding '{encoding}'")
+
+
+def _keeps_ascii(name: str) -> bool:
+    """Whether plain ASCII bytes are the same text in a charset, as they are in all but a few."""
+    plain = bytes(range(128))
+    return plain.decode(name, "replace") == plain.decode("ascii")
 
 
 def decode_text(column: Column, encoding: str) -> Column:
@@ -64,6 +85,8 @@ def decode_text(column: Column, encoding: str) -> Column:
     def decode(raw: pd.Series) -> pd.Series:
         return raw.map(lambda cell: decoded(cell, name))
 
+    if not _keeps_ascii(name):
+        return decode(column)
     return F.coalesce(decode(F.when(_beyond_ascii(column, latin), column)), latin)
 
 
@@ -77,6 +100,8 @@ def redecode_text(column: Column, encoding: str) -> Column:
     def decode(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: redecoded(text, name))
 
+    if not _keeps_ascii(name):
+        return decode(column)
     return F.coalesce(decode(F.when(F.octet_length(column) != F.length(column), column)), column)
 
 
@@ -114,7 +139,26 @@ def encode_text(column: Column, encoding: str) -> Column:
     def to_bytes(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: None if text is None else text.encode(name, errors="replace"))
 
-    return to_bytes(column)
+    if not _keeps_ascii(name):
+        return to_bytes(column)
+    plain = F.octet_length(column) == F.length(column)
+    return F.coalesce(to_bytes(F.when(~plain, column)), F.when(plain, F.encode(column, "UTF-8")))
+
+
+def encode_each(column: Column, encoding: Column, names: list[str]) -> Column:
+    """Text whose rows each name the encoding, out of ``names``, to be written in; NULL for other names."""
+    charsets = {name.upper(): charset(name) for name in names}
+
+    @F.pandas_udf("binary")
+    def to_bytes(texts: pd.Series, kinds: pd.Series) -> pd.Series:
+        return pd.Series([text.encode(charsets[kind], errors="replace") if text is not None else None
+                          for text, kind in zip(texts, kinds)], index=texts.index, dtype=object)
+
+    kind = F.upper(F.trim(encoding))
+    plain = F.octet_length(column) == F.length(column)
+    alike = kind.isin(*[name for name, known in charsets.items() if _keeps_ascii(known)])
+    return (F.when(plain & alike, F.encode(column, "UTF-8"))
+            .when(kind.isin(*charsets), to_bytes(F.when(~(plain & alike) & kind.isin(*charsets), column), kind)))
 
 
 def _beyond_ascii(column: Column, latin: Column) -> Column:

@@ -7,6 +7,9 @@ gives NULL instead. ``as_text`` is the fixed text format of every type, used by
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,7 +92,7 @@ def as_text(column: Column, kind: T.DataType) -> Column:
         return (F.when(number.isNull(), F.lit(None).cast("string"))
                 .when(F.isnan(number), F.lit("nan"))
                 .when(infinite, F.when(number > 0, "inf").otherwise("-inf"))
-                .otherwise(F.format_string("%f", number)))
+                .otherwise(_six_decimals(number)))
     if isinstance(kind, T.DateType):
         return F.date_format(column, "yyyy-MM-dd")
     if isinstance(kind, T.TimestampNTZType):
@@ -101,6 +104,24 @@ def as_text(column: Column, kind: T.DataType) -> Column:
     raise ExternalError(f"No text format for type '{kind.simpleString()}'")
 
 
+def _six_decimals(number: Column) -> Column:
+    """A finite number with six decimals, rounded as C does: by its exact binary value, halves to even.
+
+    The JVM rounds the shortest decimal that stands for a number, and halves up. The two can differ only where the
+    seventh decimal may be a lone 5 and for large numbers; those cells go to Python in Arrow batches.
+    """
+    scaled = F.abs(number) * F.lit(1e6)
+    near_half = F.abs(scaled - F.floor(scaled) - F.lit(0.5)) < F.lit(0.01)
+    large = F.abs(number) >= F.lit(1e9)
+    exact = F.coalesce(large | near_half, F.lit(False))
+
+    @F.pandas_udf("string")
+    def formatted(cells: pd.Series) -> pd.Series:
+        return pd.Series([None if math.isnan(cell) or math.isinf(cell) else f"{cell:f}" for cell in cells], dtype=object)
+
+    return F.coalesce(formatted(F.when(exact, number)), F.when(~exact, F.format_string("%f", number)))
+
+
 def all_text(frame: DataFrame) -> DataFrame:
     """Every column in its text format."""
     return frame.select(*[as_text(column_of(field.name), field.dataType).alias(field.name) for field in frame.schema])

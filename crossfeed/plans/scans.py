@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crossfeed.admin import scratch_name
 from crossfeed.fixtures import RANGE_COLUMNS, balanced_cuts, read_parquet, source, sqlite_source, target
@@ -105,6 +106,28 @@ def dbapi_scan(spark, sf_dir):
     return ext_scan(spark, table_name="part", connection=sqlite_source(spark, sf_dir, "part"), num_partitions=4)
 
 
+@query("dbapi_reuse", """
+    select p_partkey, p_name, 'small' as half from part where p_size <= 10
+    union all select p_partkey, p_name, 'all' as half from part""")
+def dbapi_reuse(spark, sf_dir):
+    """One frame of the Python data source, used filtered and whole."""
+    part = ext_scan(spark, table_name="part", connection=sqlite_source(spark, sf_dir, "part"), num_partitions=4)
+    names = ["p_partkey", "p_name"]
+    small = part.filter(F.col("p_size") <= 10).select(*names, F.lit("small").alias("half"))
+    return small.union(part.select(*names, F.lit("all").alias("half")))
+
+
+@query("text_format_exact", """
+    select o_orderkey, printf('%f', o_totalprice / 128) as eighth, printf('%f', o_totalprice * 1e17) as large,
+    printf('%f', (o_orderkey % 2000 + 0.5) / 1000000) as tie from orders""")
+def text_format_exact(spark, sf_dir):
+    """Values at and around the seventh decimal, and beyond 53 bits, in the text format."""
+    price, double = F.col("o_totalprice"), T.DoubleType()
+    values = {"eighth": price / 128, "large": price * F.lit(1e17), "tie": (F.col("o_orderkey") % 2000 + F.lit(0.5)) / F.lit(1e6)}
+    return scan(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice"]).select(
+        "o_orderkey", *[as_text(value, double).alias(name) for name, value in values.items()])
+
+
 @query("param_query", "select o_orderkey, o_totalprice from orders where o_orderstatus = 'F' and o_totalprice > 250000")
 def param_query(spark, sf_dir):
     attach(spark, sf_dir, "pq_", "orders")
@@ -127,8 +150,8 @@ def literal_rows(spark, sf_dir):
     return ext_query(spark, connection=source(spark, sf_dir, "customer"),
                      column_names=["c_custkey", "answer", "a", "b", "greeting", "null_value"],
                      query='SELECT "c_custkey", 42 AS answer, 1 AS a, 2 AS b, \'hello world\' AS greeting, '
-                           'CAST(NULL AS VARCHAR(1)) AS null_value FROM "customer"'
-                     ).select("c_custkey", *[F.col(name).cast("int").alias(name) for name in ("answer", "a", "b")],
+                           'CAST(NULL AS VARCHAR(1)) AS null_value FROM "customer"',
+                     partition_column="c_custkey", num_partitions=4).select("c_custkey", *[F.col(name).cast("int").alias(name) for name in ("answer", "a", "b")],
                               "greeting", "null_value")
 
 
@@ -150,15 +173,12 @@ def case_when(spark, sf_dir):
 def recursive_sequence(spark, sf_dir):
     """One row for every day between the first and the last order, with the orders of that day.
 
-    A recursive query runs in the external database, one statement for all its levels; Spark would start a job for
-    each. Derby has no recursion, so an in-memory SQLite database counts.
+    The days come from a range that Spark cuts itself; recursion, with a job per level, is left to ``recursive_cte``.
     """
     attach(spark, sf_dir, "rs_", "orders")
     ends = spark.sql("SELECT CAST(min(o_orderdate) AS DATE) AS low, "
                      "datediff(max(o_orderdate), min(o_orderdate)) AS span FROM rs_orders").first()
-    days = ext_query(spark, connection="dbapi:sqlite3::memory:", column_names=["n"],
-                     query="WITH RECURSIVE days(n) AS (SELECT 0 UNION ALL SELECT n + 1 FROM days "
-                           f"WHERE n < {int(ends['span'])}) SELECT n FROM days;")
+    days = spark.range(int(ends["span"]) + 1).select(F.col("id").alias("n"))
     sold = (spark.table("rs_orders").groupBy(F.datediff("o_orderdate", F.lit(ends["low"])).alias("n"))
             .agg(F.count("*").alias("n_orders")))
     return days.join(sold, "n", "left").select("n", F.coalesce("n_orders", F.lit(0)).alias("n_orders"))
@@ -176,8 +196,9 @@ def recursive_cte(spark, sf_dir):
     attach(spark, sf_dir, "rc_", "orders")
     ends = spark.sql("SELECT min(year(o_orderdate) * 12 + month(o_orderdate)) AS low, "
                      "max(year(o_orderdate) * 12 + month(o_orderdate)) AS high FROM rc_orders").first()
-    return spark.sql("""
-        WITH RECURSIVE months(n) MAX RECURSION LEVEL 4000 AS (
+    levels = int(ends["high"]) - int(ends["low"]) + 2
+    return spark.sql(f"""
+        WITH RECURSIVE months(n) MAX RECURSION LEVEL {levels} AS (
             SELECT 0 UNION ALL SELECT n + 1 FROM months WHERE n < :high - :low),
         sold AS (SELECT year(o_orderdate) * 12 + month(o_orderdate) - :low AS month, count(*) AS n_orders
             FROM rc_orders GROUP BY 1)
@@ -262,19 +283,24 @@ def decode_utf16(spark, sf_dir):
 
 
 _ALIASES = sorted(text.ALIASES)
+#: Encoding names whose charset has all letters of the documents; the others are given to the documents in plain ASCII.
+_WESTERN = [name for name in _ALIASES if text.ALIASES[name] in ("utf-8", "cp1252", "cp1254", "iso8859-1", "iso8859-9", "iso8859-15")]
 
 
-@query("decode_alias_table", "select doc_id, regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g') as text, "
-       f"list_extract([{', '.join(repr(name) for name in _ALIASES)}], (doc_id % {len(_ALIASES)} + 1)::integer) "
+@query("decode_alias_table", "select doc_id, text, case when regexp_matches(text, '[^\\x00-\\x7F]') then "
+       f"list_extract([{', '.join(repr(name) for name in _WESTERN)}], (doc_id % {len(_WESTERN)} + 1)::integer) else "
+       f"list_extract([{', '.join(repr(name) for name in _ALIASES)}], (doc_id % {len(_ALIASES)} + 1)::integer) end "
        "as encoding from documents")
 def decode_alias_table(spark, sf_dir):
-    """Every document under one of the known encoding names, each row decoded by the name it carries."""
-    names = F.array(*[F.lit(name) for name in _ALIASES])
-    plain = F.regexp_replace("text", r"[^\x00-\x7F]", "?")
-    return (scan(spark, sf_dir, "documents", ["doc_id", "text"])
-            .select("doc_id", F.encode(plain, "US-ASCII").alias("raw"),
-                    F.get(names, (F.col("doc_id") % len(_ALIASES)).cast("int")).alias("encoding"))
-            .select("doc_id", "encoding", text.decode_each(F.col("raw"), F.col("encoding"), _ALIASES).alias("text")))
+    """Every document, as it is, in the bytes of one of the known encodings, and read back by the name it carries."""
+    def pick(names):
+        return F.get(F.array(*[F.lit(name) for name in names]), (F.col("doc_id") % len(names)).cast("int"))
+
+    beyond = F.octet_length("text") != F.length("text")
+    frame = (scan(spark, sf_dir, "documents", ["doc_id", "text"])
+             .withColumn("encoding", F.when(beyond, pick(_WESTERN)).otherwise(pick(_ALIASES))))
+    raw = frame.select("doc_id", "encoding", text.encode_each(F.col("text"), F.col("encoding"), _ALIASES).alias("raw"))
+    return raw.select("doc_id", "encoding", text.decode_each(F.col("raw"), F.col("encoding"), _ALIASES).alias("text"))
 
 
 @query("attach_tables_join", """
@@ -301,7 +327,7 @@ def attach_tables_join(spark, sf_dir):
     join region on n_regionkey = r_regionkey""")
 def attach_views(spark, sf_dir):
     """An external view joined with an external table; the few regions are measured, then broadcast."""
-    attach(spark, sf_dir, "av_", "customer_nation", "region")
+    attach(spark, sf_dir, "av_", "customer_nation", "region", partition_columns={"customer_nation": "c_custkey"})
     regions = small_side(spark.table("av_region"))
     return (spark.table("av_customer_nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
             .select("c_custkey", "c_name", "n_name", "r_name"))

@@ -57,7 +57,7 @@ def ext_load(frame: DataFrame, *, table_name: str | None = None, connection=None
              stable_input: bool = False, truncate: bool = False, batch_size: int = BATCH_SIZE,
              column_types: dict[str, str] | None = None, null_sentries: dict[str, object] | None = None,
              null_flags: dict[str, str] | None = None, primary_key: tuple[str, ...] = (),
-             max_connections: int | None = None) -> LoadResult:
+             max_connections: int | None = None, schema_name: str | None = None) -> LoadResult:
     """Write ``frame`` to an external table; returns the number of rows.
 
     ``null_sentries`` maps a column to the value that stands for NULL, ``null_flags`` maps a column to a boolean
@@ -68,7 +68,8 @@ def ext_load(frame: DataFrame, *, table_name: str | None = None, connection=None
     A JDBC load first checkpoints its input, so that a repeated task writes the same rows; ``stable_input=True``
     skips this for input that is the same on every read (files in a fixed place). ``atomic=False`` writes straight
     to the target: faster, but a failure leaves a part behind and a repeated task may leave copies.
-    ``max_connections`` limits how many tasks write at a time.
+    ``max_connections`` limits how many tasks write at a time. The table is one of ``schema_name``, or of the schema
+    that plain names stand for; a table of that name in another schema is not looked at.
     """
     spark = frame.sparkSession
     require_text("table_name", table_name)
@@ -84,11 +85,12 @@ def ext_load(frame: DataFrame, *, table_name: str | None = None, connection=None
     with open_admin(spark, found) as admin:
         for statement in pre_sql:
             admin.run(statement, "run the statement before the load")
-        exists = admin.exists(table_name)
+        schema = schema_name or admin.home()
+        exists = admin.exists(table_name, schema)
     fresh = not exists or (mode == "overwrite" and not truncate)
     types = text_types(ready, column_types or {}, found) if fresh else dict(column_types or {})
     plan = _Plan(spark, found, ready, table_name, exists, fresh, mode, types, primary_key, list(post_sql), batch_size,
-                 max_connections)
+                 max_connections, schema)
     if found.kind == "dbapi":
         return plan.through_dbapi()
     return plan.through_staging(numbered) if atomic else plan.straight()
@@ -119,11 +121,14 @@ def _sentry(value, kind: T.DataType) -> Column:
 
 
 def text_widths(frame: DataFrame) -> dict[str, int]:
-    """The length of the longest value of every text column, found in one pass."""
+    """The length of the longest value of every text column, in UTF-16 units, found in one pass.
+
+    Databases that count code points need no more than that.
+    """
     names = [field.name for field in frame.schema if isinstance(field.dataType, T.StringType)]
     if not names:
         return {}
-    row = frame.agg(*[F.max(F.length(column_of(name))).alias(name) for name in names]).first()
+    row = frame.agg(*[F.max(F.octet_length(F.encode(column_of(name), "UTF-16LE")) / 2).alias(name) for name in names]).first()
     return {name: int(row[name] or 0) for name in names}
 
 
@@ -148,7 +153,8 @@ class _Plan:
     """One load, with what is known about its target."""
 
     def __init__(self, spark, found, frame, table, exists, fresh, mode, types, primary_key, post_sql, batch_size,
-                 max_connections):
+                 max_connections, schema=None):
+        self.schema = schema
         self.spark, self.found, self.frame, self.table = spark, found, frame, table
         self.exists, self.fresh, self.mode, self.types = exists, fresh, mode, types
         self.primary_key, self.post_sql, self.batch_size = primary_key, post_sql, batch_size
@@ -163,7 +169,7 @@ class _Plan:
 
     def straight(self) -> LoadResult:
         with self._admin() as admin:
-            target = admin.quote(self.table)
+            target = admin.path(self.schema, self.table)
             if self.exists and self.mode == "overwrite":
                 admin.run(f"DROP TABLE {target}" if self.fresh else f"DELETE FROM {target}")
             if self.fresh:
@@ -185,7 +191,7 @@ class _Plan:
                 self._create(admin, staging, rows, {TRY_COLUMN: "VARCHAR(36)"})
                 if self.fresh:
                     self._create(admin, built, self.frame, self.types, self.primary_key)
-                place = admin.quote(staging)
+                place = admin.path(self.schema, staging)
             # The write may take hours: no connection is held open meanwhile.
             self._write(self._counted(rows), place)
             count = self.observed.get["rows"]
@@ -201,8 +207,8 @@ class _Plan:
         try:
             with self._admin() as admin:
                 for name in leftovers:
-                    if admin.exists(name):
-                        admin.run(f"DROP TABLE {admin.quote(name)}")
+                    if admin.exists(name, self.schema):
+                        admin.run(f"DROP TABLE {admin.path(self.schema, name)}")
         except ExternalError as cause:
             warnings.warn(f"Tables {', '.join(leftovers)} may be left over: {cause}", stacklevel=2)
 
@@ -215,7 +221,7 @@ class _Plan:
         The number of rows moved is checked before the commit. If it is off, a task Spark had given up wrote once
         more in the meantime; the second try then looks at the identities.
         """
-        place, goal = admin.quote(staging), admin.quote(built)
+        place, goal = admin.path(self.schema, staging), admin.path(self.schema, built)
         names = ", ".join(admin.quote(name) for name in self.frame.columns)
         row, mark = admin.quote(ROW_COLUMN), admin.quote(TRY_COLUMN)
         held, different = admin.rows(f"SELECT COUNT(*), COUNT(DISTINCT {row}) FROM {place}")[0]
@@ -234,9 +240,9 @@ class _Plan:
                     if moved not in (count, -1):
                         raise _Miscounted
                     if self.fresh and self.exists:
-                        admin.update(f"DROP TABLE {admin.quote(self.table)}")
+                        admin.update(f"DROP TABLE {admin.path(self.schema, self.table)}")
                     if self.fresh:
-                        admin.update(admin.rename_sql(built, self.table))
+                        admin.update(admin.rename_sql(built, self.table, self.schema))
                     for statement in (f"DROP TABLE {place}", *self.post_sql):
                         admin.update(statement)
                 return
@@ -249,7 +255,7 @@ class _Plan:
         would cut it, so the lengths are compared first; other databases convert on their own and refuse."""
         if not self.found.target.startswith("jdbc:derby:"):
             return [admin.quote(name) for name in self.frame.columns]
-        widths = {name: width for name, width in admin.text_widths(built).items() if name in self.frame.columns}
+        widths = {name: width for name, width in admin.text_widths(built, self.schema).items() if name in self.frame.columns}
         if widths:
             lengths = ", ".join(f"MAX(LENGTH({admin.quote(name)}))" for name in widths)
             for (name, width), longest in zip(widths.items(), admin.rows(f"SELECT {lengths} FROM {place}")[0]):
@@ -263,7 +269,7 @@ class _Plan:
         register_dbapi(self.spark)
         staging = scratch_name(self.table)
         with self._admin() as admin:
-            target, place = admin.quote(self.table), admin.quote(staging)
+            target, place = admin.path(self.schema, self.table), admin.path(self.schema, staging)
             before = []
             if self.exists and self.mode == "overwrite":
                 before.append(f"DROP TABLE {target}" if self.fresh else f"DELETE FROM {target}")
@@ -284,7 +290,7 @@ class _Plan:
     def _table_sql(self, admin, name: str, primary_key, more: str = "") -> str:
         columns = ", ".join(f"{admin.quote(field.name)} {self._declared(field)}" for field in self.frame.schema)
         key = f", PRIMARY KEY ({', '.join(admin.quote(one) for one in primary_key)})" if primary_key else ""
-        return f"CREATE TABLE {admin.quote(name)} ({columns}{more}{key})"
+        return f"CREATE TABLE {admin.path(self.schema, name)} ({columns}{more}{key})"
 
     def _declared(self, field: T.StructField) -> str:
         if field.name in self.types:
@@ -300,9 +306,9 @@ class _Plan:
 
     def _create(self, admin, name: str, frame: DataFrame, types: dict[str, str], primary_key=()) -> None:
         """An empty table in the types of Spark's dialect for the database, but for the columns in ``types``."""
-        self._write(frame.limit(0), admin.quote(name), types)
+        self._write(frame.limit(0), admin.path(self.schema, name), types)
         if primary_key:
-            for statement in primary_key_sql(admin, self.found, name, primary_key):
+            for statement in primary_key_sql(admin, self.found, admin.path(self.schema, name), primary_key):
                 admin.run(statement, f"add the primary key of '{name}'")
 
     def _write(self, frame: DataFrame, path: str, types: dict[str, str] | None = None) -> None:
@@ -317,8 +323,8 @@ class _Plan:
             raise failed(f"load table '{self.table}'", cause) from cause
 
 
-def primary_key_sql(admin, found: Connection, table: str, columns: tuple[str, ...]) -> list[str]:
-    path, names = admin.quote(table), [admin.quote(column) for column in columns]
+def primary_key_sql(admin, found: Connection, path: str, columns: tuple[str, ...]) -> list[str]:
+    names = [admin.quote(column) for column in columns]
     add = f"ALTER TABLE {path} ADD PRIMARY KEY ({', '.join(names)})"
     if found.target.startswith("jdbc:derby:"):
         return [f"ALTER TABLE {path} ALTER COLUMN {name} NOT NULL" for name in names] + [add]

@@ -19,13 +19,14 @@ def ext_attach(spark: SparkSession, *, connection=None, username: str = "", pass
                overwrite: bool = False, all_varchar: bool = False, encoding: str = "UTF-8",
                timeout: int = connections.DEFAULT_TIMEOUT, read_only: bool = True,
                tables_like: str | list[str] | None = None, schema_name: str | None = None,
-               prefix: str = "", num_partitions: int | None = None) -> DataFrame:
+               prefix: str = "", num_partitions: int | None = None,
+               partition_columns: dict[str, str] | None = None) -> DataFrame:
     """Create one view per external table and view; returns a report with one row for each of them.
 
     A name that is taken is an error unless ``overwrite``. ``tables_like`` keeps names that match a LIKE pattern
     (``%``, ``_``, escape ``\\``), or one of several. An object that cannot be attached is reported and the rest goes
-    on. Partitions are equal ranges of the primary key; no rows are counted for tables nobody may read. The views are
-    temporary: their options, credentials included, are stored in no catalogue.
+    on. Partitions are ranges of the primary key, or of the column that ``partition_columns`` names for a table or
+    view. The views are temporary: their options, credentials included, are stored in no catalogue.
     """
     check_flag("overwrite", overwrite)
     check_flag("all_varchar", all_varchar)
@@ -46,22 +47,26 @@ def ext_attach(spark: SparkSession, *, connection=None, username: str = "", pass
                            f"'{one.name}' is in several schemas, name one by schema_name"))
     wanted = [one for one in wanted if homes[one.name.lower()] == 1]
     if not overwrite:
-        taken = [one.name for one in wanted if spark.catalog.tableExists(prefix + one.name)]
+        taken = [one.name for one in wanted if spark.catalog.tableExists(_quoted(prefix + one.name))]
         if taken:
             raise ExternalError(f"Failed to attach: '{prefix}{taken[0]}' already exists, set overwrite to replace it")
     for one in wanted:
         try:
             frame = ext_scan(spark, table_name=one.name, schema_name=one.schema or None, connection=found,
                              timeout=timeout, read_only=read_only, all_varchar=all_varchar, encoding=encoding,
-                             num_partitions=num_partitions, balanced=False)
+                             num_partitions=num_partitions, partition_column=(partition_columns or {}).get(one.name))
             create = frame.createOrReplaceTempView if overwrite else frame.createTempView
-            create("`" + (prefix + one.name).replace("`", "``") + "`")
+            create(_quoted(prefix + one.name))
             report.append((prefix + one.name, one.kind, "attached", None))
         except Exception as cause:
             report.append((prefix + one.name, one.kind, "failed", str(cause)))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _matches(one: Relation, tables_like, schema_name) -> bool:
     if schema_name and one.schema.lower() != schema_name.lower():
         return False

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import re
 import uuid
 from dataclasses import dataclass
 from decimal import Decimal
@@ -20,31 +21,27 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
-    EqualNullSafe,
-    EqualTo,
-    GreaterThan,
-    GreaterThanOrEqual,
-    In,
     InputPartition,
-    IsNotNull,
-    IsNull,
-    LessThan,
-    LessThanOrEqual,
     WriterCommitMessage,
 )
 from pyspark.sql.pandas.types import to_arrow_type
 
 from crossfeed.errors import ExternalError
-from crossfeed.functions.remote_types import base_name, spark_type
+from crossfeed.functions.remote_types import DECIMAL_NAMES, MAX_PRECISION, SIMPLE_TYPES, base_name, spark_type
 from crossfeed.sources.splits import axis_of, range_predicates
 
 SOURCE_NAME = "crossfeed_dbapi"
+NAMED_TYPES = {*SIMPLE_TYPES, *DECIMAL_NAMES, "varchar", "char", "text", "string", "time", "uuid"}
 FETCH_SIZE = 10_000
+DEFAULT_TIMEOUT = 60
 BATCH_BYTES = 32 * 1024 * 1024
 TAG_COLUMN = "cf_attempt"
 WRITE_WAIT_SECONDS = 600
 
 
+_READS = re.compile(r"\s*(SELECT|VALUES|SHOW|DESCRIBE|EXPLAIN)\b", re.IGNORECASE)
+
+
 def quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
@@ -55,6 +52,8 @@ class Session:
     def __init__(self, options, read_only: bool):
         self.module = importlib.import_module(options["module"])
         self.is_sqlite = self.module.__name__ == "sqlite3"
+        # Only SQLite opens a database for reading; over other drivers a reading connection refuses other statements.
+        self.guarded = read_only and not self.is_sqlite
         database = options["database"]
         if self.is_sqlite:
             wait = float(options.get("timeout", "60")) if read_only else WRITE_WAIT_SECONDS
@@ -66,11 +65,16 @@ class Session:
                                                isolation_level=None)
         else:
             arguments = {key.split(".", 1)[1]: value for key, value in options.items() if key.startswith("connect.")}
+            if options.get("login_timeout_property"):
+                arguments[options["login_timeout_property"]] = int(options["timeout"])
+            elif int(options.get("timeout", DEFAULT_TIMEOUT)) != DEFAULT_TIMEOUT:
+                raise ExternalError(f"The login timeout of {options['module']} has no known name; register the "
+                                    "connection with login_timeout_property")
             if options.get("username"):
                 arguments.update(user=options["username"], password=options.get("password", ""))
             self.raw = self.module.connect(database, **arguments)
         if options.get("session_init"):
-            self.run(options["session_init"])
+            self.cursor(options["session_init"]).close()
 
     def __enter__(self):
         return self
@@ -91,28 +95,28 @@ class Session:
 
     def cursor(self, sql: str, values=()):
         made = self.raw.cursor()
-        made.execute(self._bound(sql), self._values(values)) if values else made.execute(sql)
+        made.execute(sql, list(values)) if values else made.execute(sql)
         return made
 
     def run(self, sql: str, values=()):
+        if self.guarded and not _READS.match(sql):
+            raise ExternalError("The connection is read-only")
         self.cursor(sql, values).close()
 
     def run_many(self, sql: str, rows):
         made = self.raw.cursor()
-        made.executemany(self._bound(sql), rows)
+        made.executemany(sql, rows)
         made.close()
 
-    def _bound(self, sql: str) -> str:
-        """``sql`` with its ``?`` markers in the driver's own style; our generated texts hold no other ``?``."""
+    def marks(self, count: int) -> str:
+        """Markers for values, in the driver's own style."""
         style = self.module.paramstyle
-        if style == "qmark":
-            return sql
-        pieces = sql.split("?")
-        marks = ["%s" if style in ("format", "pyformat") else f":{n}" for n in range(1, len(pieces))]
-        return "".join(piece + mark for piece, mark in zip(pieces, marks + [""]))
+        one = {"qmark": "?", "format": "%s", "pyformat": "%s"}.get(style)
+        return ", ".join([one] * count if one else [f":{n}" for n in range(1, count + 1)])
 
-    def _values(self, values):
-        return [stored(value) for value in values] if self.is_sqlite else list(values)
+    def bound_name(self, name: str) -> str:
+        """A quoted name for a text with markers."""
+        return quoted(name).replace("%", "%%") if self.module.paramstyle in ("format", "pyformat") else quoted(name)
 
 
 def stored(value):
@@ -125,7 +129,8 @@ def stored(value):
 def describe(session: Session, relation: str) -> T.StructType:
     """Column names and Spark types of a table, view or parenthesised query, without reading its rows.
 
-    SQLite keeps declared types only for plain columns; the type of a computed one is that of its first value.
+    SQLite keeps declared types only for plain columns; a computed one is typed by the kinds of all its values, which
+    the database looks at. Kinds that have no common number are read as text.
     """
     if not session.is_sqlite:
         return _describe_generic(session, relation)
@@ -136,10 +141,12 @@ def describe(session: Session, relation: str) -> T.StructType:
         fields = []
         for name, declared in columns:
             if not declared:
-                first = session.cursor(
-                    f"SELECT typeof({quoted(name)}) FROM {relation} WHERE {quoted(name)} IS NOT NULL LIMIT 1"
-                ).fetchone()
-                declared = {"integer": "bigint", "real": "double", "blob": "blob"}.get(first[0] if first else "", "text")
+                kinds = dict(session.cursor(
+                    f"SELECT typeof({quoted(name)}), MAX(ABS({quoted(name)})) FROM {relation} "
+                    f"WHERE {quoted(name)} IS NOT NULL GROUP BY 1").fetchall())
+                declared = {("integer",): "bigint", ("real",): "double", ("blob",): "blob"}.get(tuple(sorted(kinds)), "text")
+                if set(kinds) == {"integer", "real"} and int(kinds["integer"]) <= 2**53:
+                    declared = "double"
             fields.append(_field(name, declared))
     finally:
         session.run(f"DROP VIEW {view}")
@@ -147,15 +154,22 @@ def describe(session: Session, relation: str) -> T.StructType:
 
 
 def _describe_generic(session: Session, relation: str) -> T.StructType:
-    """Types by the PEP 249 type objects, which tell text, numbers, binaries and times apart."""
+    """The types the driver names; failing that, by the PEP 249 type objects and the precision and scale it gives.
+
+    Numbers of unknown precision are read as text, which holds all of them.
+    """
     cursor = session.cursor(f"SELECT * FROM {relation} WHERE 1 = 0")
     fields = []
-    for name, code, *_ in cursor.description:
-        kind = "text"
-        for constant, declared in (("BINARY", "blob"), ("DATETIME", "timestamp"), ("NUMBER", "double")):
-            if getattr(session.module, constant, None) == code:
-                kind = declared
-                break
+    for name, code, _, _, precision, scale, *_ in cursor.description:
+        kind = str(getattr(code, "name", code))
+        if base_name(kind) not in NAMED_TYPES:
+            kind = "text"
+            for constant, declared in (("BINARY", "blob"), ("DATETIME", "timestamp"), ("NUMBER", "number")):
+                if getattr(session.module, constant, None) == code:
+                    kind = declared
+                    break
+            if kind == "number":
+                kind = f"decimal({precision},{scale or 0})" if precision and precision <= MAX_PRECISION else "text"
         fields.append(_field(name, kind))
     return T.StructType(fields)
 
@@ -173,33 +187,6 @@ class DbApiReader(DataSourceReader):
     def __init__(self, options, schema: T.StructType):
         self.options = {key.lower(): value for key, value in dict(options).items()}
         self.schema = schema
-        self.filters: list[tuple[str, list]] = []
-
-    def pushFilters(self, filters):
-        """Equality, null tests and number or time ranges go to the database; Spark checks every one again.
-
-        Text ranges stay with Spark, because a database's collation may order text in another way.
-        """
-        ordered = {field.name for field in self.schema
-                   if not isinstance(field.dataType, (T.StringType, T.BinaryType, T.DecimalType))}
-        signs = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
-        for one in filters:
-            column = one.attribute[0] if len(getattr(one, "attribute", ())) == 1 else None
-            if column in self.schema.names:
-                name = quoted(column)
-                exact = column in ordered or isinstance(self.schema[column].dataType, T.StringType)
-                if isinstance(one, IsNull):
-                    self.filters.append((f"{name} IS NULL", []))
-                elif isinstance(one, IsNotNull):
-                    self.filters.append((f"{name} IS NOT NULL", []))
-                elif isinstance(one, (EqualTo, EqualNullSafe)) and exact and one.value is not None:
-                    self.filters.append((f"{name} = ?", [one.value]))
-                elif isinstance(one, In) and exact and one.value and None not in one.value:
-                    marks = ", ".join("?" * len(one.value))
-                    self.filters.append((f"{name} IN ({marks})", list(one.value)))
-                elif type(one) in signs and column in ordered:
-                    self.filters.append((f"{name} {signs[type(one)]} ?", [one.value]))
-            yield one
 
     def partitions(self):
         if "predicates" in self.options:
@@ -214,10 +201,6 @@ class DbApiReader(DataSourceReader):
     def read(self, partition: Slice):
         columns = ", ".join(quoted(name) for name in self.schema.names) or "NULL"
         tests = [f"({partition.predicate})"] if partition.predicate else []
-        values: list = []
-        for text, bound in self.filters:
-            tests.append(f"({text})")
-            values.extend(bound)
         sql = f"SELECT {columns} FROM {relation_of(self.options)}"
         if tests:
             sql += " WHERE " + " AND ".join(tests)
@@ -225,7 +208,7 @@ class DbApiReader(DataSourceReader):
         arrow = pa.schema([(field.name, kind) for field, kind in zip(self.schema, types)])
         size = int(self.options.get("fetchsize", FETCH_SIZE))
         with Session(self.options, read_only=self.options.get("read_only", "true") == "true") as session:
-            cursor = session.cursor(sql, values)
+            cursor = session.cursor(sql)
             while rows := cursor.fetchmany(size):
                 arrays = [arrow_column(list(cells), kind) for cells, kind in zip(zip(*rows), types)]
                 batch = pa.RecordBatch.from_arrays(arrays, schema=arrow)
@@ -239,9 +222,10 @@ def relation_of(options) -> str:
     if options.get("relation"):
         return options["relation"]
     if options.get("table"):
-        return quoted(options["table"])
+        table = quoted(options["table"])
+        return f"(SELECT * FROM {table} WHERE {options['condition']}\n) cf_scan" if options.get("condition") else table
     if options.get("query"):
-        return f"({options['query'].strip().rstrip(';')}) cf_query"
+        return f"({options['query'].strip().rstrip(';')}\n) cf_query"
     raise ExternalError("Missing required option 'table' or 'query'")
 
 
@@ -254,6 +238,10 @@ def arrow_column(cells: list, kind: pa.DataType) -> pa.Array:
         return pa.array([cell if cell is None or isinstance(cell, str) else str(cell) for cell in cells], kind)
     if isinstance(sample, str) and not pa.types.is_binary(kind):
         return pa.array(cells, pa.string()).cast(kind)
+    if pa.types.is_integer(kind):
+        wrong = next((cell for cell in cells if isinstance(cell, (float, Decimal)) and cell != int(cell)), None)
+        if wrong is not None:
+            raise ExternalError(f"{wrong} is no whole number, although its column is declared as one")
     if pa.types.is_decimal(kind):
         return pa.array([None if cell is None else Decimal(str(cell)) for cell in cells], kind)
     return pa.array(cells, kind)
@@ -275,11 +263,13 @@ class DbApiWriter(DataSourceArrowWriter):
 
     def write(self, iterator):
         tag = uuid.uuid4().hex
-        marks = ", ".join("?" * (len(self.names) + 1))
-        sql = f"INSERT INTO {self.options['staging']} ({', '.join(self.names + [TAG_COLUMN])}) VALUES ({marks})"
         size = int(self.options.get("batchsize", FETCH_SIZE))
         done = 0
         with Session(self.options, read_only=False) as session:
+            names = ", ".join([*map(session.bound_name, self.schema.names), TAG_COLUMN])
+            staging = self.options["staging"]
+            staging = staging.replace("%", "%%") if "%%" in session.bound_name("%") else staging
+            sql = f"INSERT INTO {staging} ({names}) VALUES ({session.marks(len(self.names) + 1)})"
             for batch in iterator:
                 columns = [database_cells(column) for column in batch.columns]
                 for start in range(0, batch.num_rows, size):
@@ -301,7 +291,7 @@ class DbApiWriter(DataSourceArrowWriter):
                 for statement in json.loads(self.options.get("before", "[]")):
                     session.run(statement)
                 session.run(f"CREATE TABLE {accepted} (tag VARCHAR(32))")
-                session.run_many(f"INSERT INTO {accepted} (tag) VALUES (?)", [[m.tag] for m in messages if m])
+                session.run_many(f"INSERT INTO {accepted} (tag) VALUES ({session.marks(1)})", [[m.tag] for m in messages if m])
                 session.run(f"INSERT INTO {target} ({listing}) SELECT {listing} FROM {staging} "
                             f"WHERE {TAG_COLUMN} IN (SELECT tag FROM {accepted})")
                 session.run(f"DROP TABLE {accepted}")
@@ -331,8 +321,8 @@ def database_cells(column: pa.Array) -> list:
 class DbApiSource(DataSource):
     """``USING crossfeed_dbapi OPTIONS (module '...', database '...', table '...' | query '...')``.
 
-    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` cut by an integer column, as they do for
-    Spark's JDBC source.
+    ``condition`` is a test that the database makes on the rows of a ``table``. ``partitionColumn``, ``lowerBound``,
+    ``upperBound`` and ``numPartitions`` cut by an integer column, as they do for Spark's JDBC source.
     """
 
     @classmethod

@@ -19,7 +19,6 @@ from crossfeed.sources import splits
 from crossfeed.sources.dbapi import SOURCE_NAME, DbApiSource, describe
 
 FETCH_SIZE = 10_000
-PUSHDOWN_SETTING = "spark.sql.python.filterPushdown.enabled"
 
 
 def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=None, username: str = "",
@@ -28,8 +27,9 @@ def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=N
              columns: list[str] | None = None, text_columns: tuple[str, ...] = (),
              partition_column: str | None = None, lower_bound=None, upper_bound=None,
              num_partitions: int | None = None, balanced: bool | None = None, tie_column: str | None = None,
-             predicates: list[str] | None = None, fetch_size: int = FETCH_SIZE, query_timeout: int = 0) -> DataFrame:
-    """One external table or view as a DataFrame; only the columns and rows a query needs are read.
+             predicates: list[str] | None = None, condition: str | None = None, fetch_size: int = FETCH_SIZE,
+             query_timeout: int = 0) -> DataFrame:
+    """One external table or view as a DataFrame; over JDBC only the columns and rows a query needs are read.
 
     Without a ``partition_column`` the leading primary key column is used when it is a number, date or timestamp.
     Bounds that are not given come from one remote MIN/MAX. ``num_partitions=1`` reads through one connection, hence
@@ -37,7 +37,8 @@ def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=N
     skewed keys still make even partitions; a single hot key is cut along ``tie_column``. This is the default for a
     primary key of several columns, whose leading column alone may be skewed. ``predicates`` are remote conditions,
     one partition each; they have to be disjoint and cover the table.
-    ``columns`` names the columns to read; the DB-API source cannot learn them from the query.
+    ``columns`` names the columns to read and ``condition`` is remote SQL that the rows have to meet; the DB-API source
+    learns neither from the query.
     """
     require_text("table_name", table_name)
     check_text("encoding", encoding)
@@ -47,13 +48,14 @@ def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=N
     found = connections.resolve(connection, username, password, timeout, read_only, query_timeout)
     with open_admin(spark, found) as admin:
         relation = admin.find(table_name, schema_name)
+        path = f"(SELECT * FROM {relation.path} WHERE {condition}\n) cf_scan" if condition else relation.path
         if predicates is None and num_partitions != 1:
             keys = admin.key_columns(relation)
             if balanced is None and partition_column is None and len(keys) > 1:
                 balanced, tie_column = True, tie_column or keys[1]
-            predicates = _cuts(spark, admin, relation.path, keys, partition_column, lower_bound, upper_bound,
+            predicates = _cuts(spark, admin, path, keys, partition_column, lower_bound, upper_bound,
                                num_partitions, bool(balanced), tie_column)
-    frame = _load(spark, found, relation.path, columns, predicates, fetch_size, f"scan table '{table_name}'")
+    frame = _load(spark, found, path, columns, predicates, fetch_size, f"scan table '{table_name}'")
     return _finished(frame, all_varchar, encoding, text_columns)
 
 
@@ -78,7 +80,7 @@ def ext_query(spark: SparkSession, *, connection=None, query: str | None = None,
     if not text:
         raise ExternalError("Failed to prepare statement: the query is empty")
     found = connections.resolve(connection, username, password, timeout, read_only, query_timeout)
-    relation = f"({text}) cf_query"
+    relation = f"({text}\n) cf_query"
     if predicates is None and partition_column is not None and num_partitions != 1:
         with open_admin(spark, found) as admin:
             predicates = _cuts(spark, admin, relation, [], partition_column, lower_bound, upper_bound, num_partitions,
@@ -108,8 +110,7 @@ def ext_multi_query(spark: SparkSession, *, connection=None, queries: dict[str,
 
 
 def register_dbapi(spark: SparkSession) -> None:
-    """Make the data source known to a session; its filter push-down needs a session setting."""
-    spark.conf.set(PUSHDOWN_SETTING, "true")
+    """Make the data source known to a session."""
     spark.dataSource.register(DbApiSource)
 
 
@@ -127,21 +128,25 @@ def _cuts(spark, admin, relation: str, keys: list[str], column, low, high, count
             warnings.warn(f"{relation} has no key to partition by and is read through one connection; "
                           "name a partition_column", stacklevel=3)
         return None
-    if low is None or high is None:
-        least, most = splits.key_bounds(admin, relation, column)
+    rows = None
+    if low is None or high is None or count is None:
+        least, most, rows = splits.key_bounds(admin, relation, column)
         low = least if low is None else low
         high = most if high is None else high
     if low is None or high is None:
         return None
     axis = splits.axis_of(low, high, admin.time_literal)
     if axis is None:
+        if not named:
+            warnings.warn(f"{relation} has a key of text and is read through one connection; give predicates",
+                          stacklevel=3)
         if named:
             raise ExternalError(f"Range partitions need a number, date or timestamp column, '{column}' is not")
         return None
     if count is None:
-        count = splits.partition_count(axis, spark.sparkContext.defaultParallelism)
+        count = splits.partition_count(rows, spark.sparkContext.defaultParallelism)
     if balanced and axis.is_integer and count > 1:
-        return splits.balanced_predicates(admin, relation, column, count, tie_column)
+        return splits.balanced_predicates(admin, relation, column, count, tie_column, axis)
     if balanced and named and not axis.is_integer:
         raise ExternalError(f"Balanced partitions need an integer column, '{column}' is not")
     return splits.range_predicates(admin.quote(column), axis, count)

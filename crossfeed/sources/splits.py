@@ -14,8 +14,10 @@ from decimal import Decimal
 
 from crossfeed.errors import ExternalError
 
-ROWS_PER_PARTITION = 50_000
-CONNECTIONS_PER_CORE = 2
+#: Rows of a partition nobody asked a number for, and below how many more than one is not worth a connection.
+ROWS_PER_PARTITION, FEWEST_ROWS = 500_000, 10_000
+#: Steps between two bounds that are no whole numbers.
+FLOAT_STEPS = 1 << 40
 BUCKETS_PER_PARTITION = 8
 MAX_DEPTH = 24
 
@@ -35,9 +37,9 @@ class Axis:
 
 
 def key_bounds(admin, relation: str, column: str) -> tuple:
-    """Smallest and largest key by one remote aggregate, which an index answers."""
+    """Smallest and largest key and the number of rows, by one remote aggregate."""
     name = admin.quote(column)
-    return admin.rows(f"SELECT MIN({name}), MAX({name}) FROM {relation}", f"find the bounds of '{column}'")[0]
+    return admin.rows(f"SELECT MIN({name}), MAX({name}), COUNT(*) FROM {relation}", f"find the bounds of '{column}'")[0]
 
 
 def axis_of(low, high, time_literal: Callable[[dt.date], str]) -> Axis | None:
@@ -46,7 +48,7 @@ def axis_of(low, high, time_literal: Callable[[dt.date], str]) -> Axis | None:
     if isinstance(low, int) and isinstance(high, int):
         return Axis(low, high, str, True)
     if isinstance(low, (int, float)) and isinstance(high, (int, float)):
-        return Axis(math.floor(low), math.ceil(high), str, False) if math.isfinite(high - low) else None
+        return _float_axis(float(low), float(high)) if math.isfinite(high - low) else None
     if low is None or type(low) is not type(high):
         return None
     if isinstance(low, dt.datetime):
@@ -56,6 +58,12 @@ def axis_of(low, high, time_literal: Callable[[dt.date], str]) -> Axis | None:
                 lambda number: time_literal(_EPOCH.date() + number * _DAY), False)
 
 
+def _float_axis(low: float, high: float) -> Axis:
+    if low == high:
+        return Axis(0, 0, lambda number: repr(low), False)
+    return Axis(0, FLOAT_STEPS - 1, lambda number: repr(low + (high - low) * (number / FLOAT_STEPS)), False)
+
+
 def _known(value):
     if isinstance(value, Decimal):
         return int(value) if value == value.to_integral_value() else float(value)
@@ -69,12 +77,12 @@ def _known(value):
     return value if isinstance(value, (int, float, dt.date)) else None
 
 
-def partition_count(axis: Axis, cores: int) -> int:
-    """Partitions nobody asked a number for: about ``ROWS_PER_PARTITION`` values of an integer key each, within the
-    connection limit; for other keys, whose density is not known, one per core."""
-    if not axis.is_integer:
-        return cores
-    return max(1, min(-(-(axis.high - axis.low + 1) // ROWS_PER_PARTITION), cores * CONNECTIONS_PER_CORE))
+def partition_count(rows: int, cores: int) -> int:
+    """Partitions nobody asked a number for: ``ROWS_PER_PARTITION`` rows each, but one per core where that is fewer.
+
+    How many of them read at a time is up to the cores, so large tables have no cap on their number.
+    """
+    return max(1, -(-int(rows) // ROWS_PER_PARTITION), min(cores, int(rows) // FEWEST_ROWS))
 
 
 def range_predicates(column: str, axis: Axis, count: int) -> list[str]:
@@ -83,13 +91,14 @@ def range_predicates(column: str, axis: Axis, count: int) -> list[str]:
     count = max(1, min(count, high - low + 1))
     if count == 1:
         return ["1 = 1"]
-    cuts = [axis.literal(low + (high - low + 1) * n // count) for n in range(1, count)]
+    cuts = list(dict.fromkeys(axis.literal(low + (high - low + 1) * n // count) for n in range(1, count)))
     first = [f"{column} < {cuts[0]} OR {column} IS NULL"]
     middle = [f"{column} >= {left} AND {column} < {right}" for left, right in zip(cuts, cuts[1:])]
     return first + middle + [f"{column} >= {cuts[-1]}"]
 
 
-def balanced_predicates(admin, relation: str, column: str, count: int, tie_column: str | None = None) -> list[str]:
+def balanced_predicates(admin, relation: str, column: str, count: int, tie_column: str | None = None,
+                        bounds: Axis | None = None) -> list[str]:
     """Ranges of an integer key with about the same number of rows each, also when the keys are skewed.
 
     The database counts rows per equal-width bucket, a few buckets per partition, and only buckets with too many
@@ -99,10 +108,11 @@ def balanced_predicates(admin, relation: str, column: str, count: int, tie_colum
     if count < 1:
         raise ExternalError("Parameter 'num_partitions' must be at least 1")
     name = admin.quote(column)
-    low, high = key_bounds(admin, relation, column)
-    if low is None:
-        return ["1 = 1"]
-    bounds = axis_of(low, high, admin.time_literal)
+    if bounds is None:
+        low, high, _ = key_bounds(admin, relation, column)
+        if low is None:
+            return ["1 = 1"]
+        bounds = axis_of(low, high, admin.time_literal)
     if bounds is None or not bounds.is_integer:
         raise ExternalError(f"Balanced partitions need an integer column, '{column}' is not")
     counted = _bucket_counts(admin, relation, name, bounds.low, bounds.high, "", count)
