@@ -10,10 +10,13 @@ are computed again.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crossfeed.functions.types import column_of
 from crossfeed.operators.checkpoints import checkpointed
@@ -57,8 +60,11 @@ def with_position(frame: DataFrame, order: list[str], name: str = "position",
 def row_at(frame: DataFrame, order: list[str], position: int, num_partitions: int | None = None) -> DataFrame:
     """The row at a one-based position, with that position.
 
-    Only the order columns and a hash of the row are sorted; the row itself is found by them, as they are broadcast.
+    A row near the start is found without a shuffle of all. For another one only the order columns and a hash of the
+    row are sorted; the row itself is found by them, as they are broadcast.
     """
+    if 1 <= position <= KEPT_PER_TASK:
+        return skip_rows(frame, order, position - 1, 1).withColumn("position", F.lit(position).cast("bigint"))
     keys = frame.select(*[column_of(name).alias(f"cf_key_{n}") for n, name in enumerate(order)],
                         _row_hash(frame).alias("cf_hash"))
     placed = with_position(keys, [f"cf_key_{n}" for n in range(len(order))], "position", num_partitions)
@@ -89,28 +95,46 @@ def skip_rows(frame: DataFrame, order: list[str], skip: int, take: int | None =
 
 def prior_row(frame: DataFrame, order: list[str], columns: list[str], prefix: str = "prior_",
               num_partitions: int | None = None) -> DataFrame:
-    """Every row with values of the row before it. Only the first row of a partition looks at another partition."""
-    numbered = _numbered(frame, order, num_partitions)
+    """Every row with values of the row before it. Only the first row of a partition looks at another partition.
+
+    Inside a sorted partition the values move on by one row in a single pass over its Arrow batches.
+    """
+    priors = [T.StructField(f"cf_prior_{n}", frame.schema[name].dataType) for n, name in enumerate(columns)]
+
+    def shifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = [batch.column(batch.schema.get_field_index(name)) for name in columns]
+            before = held or [pa.nulls(1, column.type) for column in own]
+            moved = [pa.concat_arrays([first, column.slice(0, batch.num_rows - 1)]) for first, column in zip(before, own)]
+            held = [column.slice(batch.num_rows - 1) for column in own]
+            yield pa.RecordBatch.from_arrays(batch.columns + moved, batch.schema.names + [f.name for f in priors])
+
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in frame.schema.fields] + priors)
+    numbered = _numbered(frame, order, num_partitions, lambda ordered: ordered.mapInArrow(shifted, schema))
     values = F.struct(*[column_of(name) for name in columns])
-    window = Window.partitionBy(_PART).orderBy(_PLACE)
     # One row per non-empty partition: its last values, handed to the next non-empty partition.
     edges = numbered.groupBy(_PART).agg(F.max_by(values, _PLACE).alias("cf_edge"))
     handed = edges.select(_PART, F.lag("cf_edge").over(Window.orderBy(_PART)).alias("cf_handed"))
-    joined = (numbered.withColumn("cf_prior", F.lag(values).over(window))
-              .join(F.broadcast(handed), _PART)
-              .withColumn("cf_prior", F.coalesce("cf_prior", "cf_handed")))
+    joined = numbered.join(F.broadcast(handed), _PART)
     return joined.select(*[column_of(name) for name in frame.columns],
-                         *[F.col("cf_prior")[name].alias(prefix + name) for name in columns])
+                         *[F.when(F.col(_PLACE) == 0, F.col("cf_handed")[name]).otherwise(F.col(f"cf_prior_{n}"))
+                           .alias(prefix + name) for n, name in enumerate(columns)])
 
 
-def _numbered(frame: DataFrame, order: list[str], num_partitions: int | None) -> DataFrame:
-    """Sorted range partitions with partition number and place; both come with the generated row id."""
+def _numbered(frame: DataFrame, order: list[str], num_partitions: int | None, also=lambda ordered: ordered) -> DataFrame:
+    """Sorted range partitions with partition number and place; both come with the generated row id.
+
+    ``also`` is done to the sorted partitions before they are numbered, and keeps their rows in order.
+    """
     spark = frame.sparkSession
     parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                   spark.sparkContext.defaultParallelism)
     # Rows that the order does not tell apart are cut by their content, so that they too fill several partitions.
     by = [*[column_of(name) for name in order], _row_hash(frame)]
-    ordered = frame.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    ordered = also(frame.repartitionByRange(parts, *by).sortWithinPartitions(*by))
     row_id = F.monotonically_increasing_id()
     return checkpointed(ordered.withColumn("cf_id", row_id)
                         .withColumn(_PART, F.shiftright("cf_id", _PART_BITS))

@@ -37,7 +37,8 @@ def filter_between(spark, sf_dir):
 def filter_like(spark, sf_dir):
     """Non-ASCII LIKE over whole texts, run by the external database."""
     return ext_query(spark, connection=source(spark, sf_dir, "documents"), column_names=["doc_id"],
-                     query='SELECT "doc_id" FROM "documents" WHERE "text" LIKE \'%ü%\'')
+                     query='SELECT "doc_id" FROM "documents" WHERE "text" LIKE \'%ü%\'',
+                     partition_column="doc_id", num_partitions=4)
 
 
 @query("join_two", "select n_name, count(*) as n from customer join nation on c_nationkey = n_nationkey group by n_name")

@@ -224,11 +224,13 @@ def scan_typed_schema(spark, sf_dir):
 @query("typeof_columns", """
     select 'p_partkey' as column_name, 'bigint' as type_name, count(*) as n from part
     union all select 'p_name', 'string', count(*) from part
+    union all select 'p_brand', 'string', count(*) from part
+    union all select 'p_type', 'string', count(*) from part
     union all select 'p_size', 'int', count(*) from part
     union all select 'p_retailprice', 'double', count(*) from part
     union all select 'p_retailprice as text', 'string', count(*) from part""")
 def typeof_columns(spark, sf_dir):
-    frame = scan(spark, sf_dir, "part", ["p_partkey", "p_name", "p_size", "p_retailprice"])
+    frame = scan(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
     pairs = [(name, F.typeof(name)) for name in frame.columns]
     pairs.append(("p_retailprice as text", F.typeof(as_text(F.col("p_retailprice"), frame.schema[-1].dataType))))
     kinds = frame.agg(F.count(F.lit(1)).alias("n"), *[F.max(kind).alias(f"k{place}")

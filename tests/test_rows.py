@@ -139,3 +139,22 @@ def test_profile_of_external_tables(spark, external):
     found = profile.profile_tables(spark, connection=external, tables_like="profiled")
     assert [tuple(row) for row in found.collect()] == [("profiled", "TABLE", 5)]
     assert profile.profile_tables(spark, connection=external, tables_like="nothing%").count() == 0
+
+
+def test_positions_beyond_what_tasks_keep(spark, monkeypatch):
+    """Deep positions take the range-partitioned way and give the same rows."""
+    frame = spark.range(0, 3000, 1, 6).select((F.col("id") * 7919 % 3001).alias("k"), F.col("id").cast("string").alias("s"))
+    near = (rows.row_at(frame, ["k"], 700).first(), rows.skip_rows(frame, ["k"], 700, 3).collect())
+    monkeypatch.setattr(rows, "KEPT_PER_TASK", 0)
+    assert (rows.row_at(frame, ["k"], 700).first(), rows.skip_rows(frame, ["k"], 700, 3).collect()) == near
+
+
+def test_prior_rows_move_on_without_a_second_shuffle(spark):
+    frame = spark.range(0, 500, 1, 5).select((F.col("id") * 31 % 501).alias("k"), F.array("id").alias("a"),
+                                             F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).alias("s"))
+    made = rows.prior_row(frame, ["k"], ["a", "s"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(cf_part" not in plan.split("BroadcastExchange")[0]
+    ordered = sorted(frame.collect(), key=lambda r: r["k"])
+    expected = {b["k"]: (a["a"], a["s"]) if a else (None, None) for a, b in zip([None, *ordered], ordered)}
+    assert {r["k"]: (r["prior_a"], r["prior_s"]) for r in made.collect()} == expected
