@@ -41,7 +41,7 @@ MARGIN = 0.25
 #: Partitions of tables of no more than ``SMALL_ROWS`` rows in the rounds that find components.
 SMALL_PARTS = 8
 #: Sets on each side of a block in which sets are compared completely.
-BLOCK = 400
+BLOCK = 128
 
 _rng = np.random.default_rng(20260901)
 _MULTIPLY = (_rng.integers(1, 1 << 31, REGISTERS, dtype=np.uint32) * 2 + 1)[:, None]
