@@ -86,6 +86,14 @@ class _Admin:
     def time_literal(self, value: dt.date) -> str:
         return f"TIMESTAMP '{value}'" if isinstance(value, dt.datetime) else f"DATE '{value}'"
 
+    def text_literal(self, value: str) -> str | None:
+        """None for text that databases read in different ways."""
+        return None if "\\" in value or "\0" in value else "'" + value.replace("'", "''") + "'"
+
+    def one_row_after(self, skipped: int) -> str:
+        """What ends a sorted query for one row, the first after ``skipped`` others."""
+        return f"LIMIT 1 OFFSET {skipped}"
+
     def rename_sql(self, old: str, new: str, schema: str | None = None) -> str:
         return f"ALTER TABLE {self.path(schema, old)} RENAME TO {self.quote(new)}"
 
@@ -127,6 +135,11 @@ class _JdbcAdmin(_Admin):
         """The JDBC escape, which every driver puts into its own syntax."""
         return f"{{ts '{value}'}}" if isinstance(value, dt.datetime) else f"{{d '{value}'}}"
 
+    def one_row_after(self, skipped):
+        if self._target.startswith(("jdbc:mysql:", "jdbc:mariadb:", "jdbc:sqlite:")):
+            return super().one_row_after(skipped)
+        return f"OFFSET {skipped} ROWS FETCH NEXT 1 ROWS ONLY"
+
     def rename_sql(self, old, new, schema=None):
         if self._target.startswith("jdbc:derby:"):
             return f"RENAME TABLE {self.path(schema, old)} TO {self.quote(new)}"

@@ -95,9 +95,11 @@ def scan_partitioned_time(spark, sf_dir):
 @query("multi_query_union", "select 'customer' as source, c_name as name from customer "
                             "union all select 'supplier' as source, s_name as name from supplier")
 def multi_query_union(spark, sf_dir):
-    return ext_multi_query(spark, connection=source(spark, sf_dir, "customer", "supplier"), column_names=["name"],
-                           queries={"customer": 'SELECT "c_name" AS name FROM "customer"',
-                                    "supplier": 'SELECT "s_name" AS name FROM "supplier"'})
+    return ext_multi_query(spark, connection=source(spark, sf_dir, "customer", "supplier"),
+                           partition_column="id", num_partitions=4,
+                           queries={"customer": 'SELECT "c_custkey" AS "id", "c_name" AS "name" FROM "customer"',
+                                    "supplier": 'SELECT "s_suppkey" AS "id", "s_name" AS "name" FROM "supplier"'}
+                           ).select("source", "name")
 
 
 @query("dbapi_scan", "select * from part")
@@ -361,7 +363,7 @@ _REPORTED = ("region", "nation", "customer", "supplier", "customer_nation")
        else f"count(*) as n_rows from {name}") for name in _REPORTED))
 def attach_report(spark, sf_dir):
     prefix = "ar_"
-    report = attach(spark, sf_dir, prefix, *_REPORTED)
+    report = attach(spark, sf_dir, prefix, *_REPORTED, partition_columns={"customer_nation": "c_custkey"})
     counts = reduce(DataFrame.unionByName, [
         spark.table(prefix + name).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("name", F.lit(prefix + name))
         for name in _REPORTED])

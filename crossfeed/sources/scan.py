@@ -31,7 +31,8 @@ def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=N
              query_timeout: int = 0) -> DataFrame:
     """One external table or view as a DataFrame; over JDBC only the columns and rows a query needs are read.
 
-    Without a ``partition_column`` the leading primary key column is used when it is a number, date or timestamp.
+    Without a ``partition_column`` the leading primary key column is used when it is a number, date, timestamp or text.
+    Text is cut where the database's own order puts even numbers of rows, whatever bounds are given.
     Bounds that are not given come from one remote MIN/MAX. ``num_partitions=1`` reads through one connection, hence
     one snapshot; several partitions see no common snapshot. ``balanced=True`` has the database count rows per key range, so that
     skewed keys still make even partitions; a single hot key is cut along ``tie_column``. This is the default for a
@@ -136,12 +137,16 @@ def _cuts(spark, admin, relation: str, keys: list[str], column, low, high, count
     if low is None or high is None:
         return None
     axis = splits.axis_of(low, high, admin.time_literal)
+    if axis is None and isinstance(low, str) and isinstance(high, str):
+        rows = splits.key_bounds(admin, relation, column)[2] if rows is None else rows
+        count = count or splits.partition_count(rows, spark.sparkContext.defaultParallelism)
+        return splits.text_predicates(admin, relation, column, count, rows, tie_column)
     if axis is None:
         if not named:
-            warnings.warn(f"{relation} has a key of text and is read through one connection; give predicates",
+            warnings.warn(f"{relation} has a key that can't be cut and is read through one connection; give predicates",
                           stacklevel=3)
         if named:
-            raise ExternalError(f"Range partitions need a number, date or timestamp column, '{column}' is not")
+            raise ExternalError(f"Range partitions need a number, date, timestamp or text column, '{column}' is not")
         return None
     if count is None:
         count = splits.partition_count(rows, spark.sparkContext.defaultParallelism)

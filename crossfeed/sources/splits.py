@@ -123,7 +123,7 @@ def balanced_predicates(admin, relation: str, column: str, count: int, tie_colum
         if low == high and rows > 2 * target and tie_column:
             if start is not None:
                 predicates.append(f"{name} >= {start} AND {name} < {low}")
-            predicates += _tied(admin, relation, name, low, tie_column, rows, target, count)
+            predicates += _tied(admin, relation, f"{name} = {low}", tie_column, target, count)
             start, held = None, 0
             continue
         if start is None:
@@ -138,6 +138,43 @@ def balanced_predicates(admin, relation: str, column: str, count: int, tie_colum
     return predicates + [f"{name} IS NULL OR {name} < {bounds.low} OR {name} > {bounds.high}"]
 
 
+def text_predicates(admin, relation: str, column: str, count: int, rows: int, tie_column: str | None = None) -> list[str]:
+    """Ranges of a text key with about the same number of rows each, in the database's own order.
+
+    Every cut is the key ``rows / count`` rows after the cut before it, so over an index the database passes the key
+    once. A key that fills more than a range is one of its own, cut by ``tie_column`` if there is one. The database
+    makes and compares the cuts, so they hold under any collation; NULL keys join the first range.
+    """
+    name, step = admin.quote(column), max(1, -(-rows // max(1, count)))
+    predicates, opened, last, skipped = [], "", "", 0
+    for _ in range(count - 1):
+        since = f"{name} >= {last}" if last else f"{name} IS NOT NULL"
+        found = admin.rows(f"SELECT {name} FROM {relation} WHERE {since} ORDER BY {name} "
+                           f"{admin.one_row_after(step * (1 + skipped))}", f"find cuts of '{column}'")
+        if not found:
+            break
+        cut = admin.text_literal(found[0][0])
+        if cut is None:
+            skipped += 1
+            continue
+        skipped = 0
+        if cut != last:
+            predicates.append(f"{opened} AND {name} < {cut}" if opened else f"{name} < {cut} OR {name} IS NULL")
+            opened = f"{name} >= {cut}"
+        else:
+            if opened != f"{name} >= {last}":
+                predicates.append(f"{opened} AND {name} < {last}")
+            only = f"{name} = {last}"
+            predicates += _tied(admin, relation, only, tie_column, step, count) if tie_column else [only]
+            opened = f"{name} > {last}"
+            after = admin.rows(f"SELECT MIN({name}) FROM {relation} WHERE {opened}", f"find cuts of '{column}'")[0][0]
+            cut = admin.text_literal(after) if after is not None else None
+            if cut is None:
+                break
+        last = cut
+    return [*predicates, opened] if opened else ["1 = 1"]
+
+
 def _bucket_width(low: int, high: int, count: int) -> int:
     span = high - low + 1
     return -(-span // min(span, count * BUCKETS_PER_PARTITION))
@@ -169,10 +206,10 @@ def _refine(admin, relation, name, low, high, also, target, count, depth, counts
     return pieces
 
 
-def _tied(admin, relation, name, key, tie_column, rows, target, count):
-    """One hot key, cut along a second integer column; its NULLs are a piece of their own."""
+def _tied(admin, relation, only, tie_column, target, count):
+    """One hot key, which the condition ``only`` picks, cut along a second integer column; its NULLs are a piece of
+    their own."""
     tie = admin.quote(tie_column)
-    only = f"{name} = {key}"
     axis = axis_of(*admin.rows(f"SELECT MIN({tie}), MAX({tie}) FROM {relation} WHERE {only}")[0], admin.time_literal)
     if axis is None or not axis.is_integer or axis.low == axis.high:
         return [only]
