@@ -24,7 +24,8 @@ def in_small_batches(frame: DataFrame) -> DataFrame:
     Python workers hold a batch several times over; the setting is the session's, so it stays lowered.
     """
     session = frame.sparkSession
-    if int(session.conf.get(BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+    limit = session._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(session.conf.get(BATCH_SETTING))
+    if not 0 < limit <= BATCH_BYTES:
         session.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     return frame
 

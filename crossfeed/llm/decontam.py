@@ -104,9 +104,13 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
 
     ids = measured(settled(hits.select("doc_id").distinct()))
     found = documents.join(ids, "doc_id", "left_semi").select("doc_id", _hashes(F.col("text")).alias("h"))
-    laid = (found.join(hits, "doc_id").join(queries.withColumnRenamed("h", "q"), "item_id"))
+    # of a document only the part that an item can cover goes on with each hit
+    longest = queries.agg(F.coalesce(F.max(F.size("h")), F.lit(0)).alias("n")).first()["n"]
+    first = F.greatest(F.col("shift"), F.lit(0))
+    covered = found.join(hits, "doc_id").select("doc_id", "item_id", "shift", F.slice("h", first + 1, F.lit(longest)).alias("h"))
+    laid = covered.join(queries.withColumnRenamed("h", "q"), "item_id")
     equal = F.transform(F.col("q"), lambda token, i: F.coalesce(
-        F.when(i + F.col("shift") >= 0, F.get(F.col("h"), i + F.col("shift")) == token), F.lit(False)))
+        F.when(i + F.col("shift") >= 0, F.get(F.col("h"), i + F.col("shift") - first) == token), F.lit(False)))
     laid = laid.select("doc_id", "item_id", "shift", F.size("q").alias("n"), _best_stretch(equal).alias("b"))
     enough = ((F.col("b.length") >= F.least(F.lit(MIN_TOKENS), F.col("n")))
               & (F.col("b.best_matched") >= MIN_EQUAL * F.col("b.length")))

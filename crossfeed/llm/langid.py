@@ -36,7 +36,7 @@ _PRIMES = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and re.search(r"[^\W\d_]", text) is not None
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def counts(text: str | None) -> np.ndarray:

@@ -40,8 +40,8 @@ MISS = 1e-6
 MARGIN = 0.25
 #: Partitions of tables of no more than ``SMALL_ROWS`` rows in the rounds that find components.
 SMALL_PARTS = 8
-#: Sets on each side of a block in which sets are compared completely.
-BLOCK = 128
+#: Sets, and shingles in them, on each side of a block in which sets are compared completely.
+BLOCK, BLOCK_ITEMS = 128, 1 << 20
 
 _rng = np.random.default_rng(20260901)
 _MULTIPLY = (_rng.integers(1, 1 << 31, REGISTERS, dtype=np.uint32) * 2 + 1)[:, None]
@@ -274,10 +274,12 @@ def _blockwise(rest: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different labels of a group.
 
     The nodes outside the pivot's component meet all nodes of the group, block by block. A block holds about ``BLOCK``
-    nodes a side, and gives only the links that join labels in it.
+    nodes a side, fewer if they have more than ``BLOCK_ITEMS`` shingles, and gives only the links that join labels in it.
     """
-    sizes = rest.groupBy("pivot").agg(F.count("*").alias("nodes"), F.count_if(F.col("label") != F.col("home")).alias("out"))
-    sizes = sizes.select("pivot", F.ceil(F.col("nodes") / BLOCK).alias("n_all"), F.ceil(F.col("out") / BLOCK).alias("n_out"))
+    held = F.greatest(F.lit(1 / BLOCK), F.size("items") / F.lit(BLOCK_ITEMS))
+    sizes = rest.groupBy("pivot").agg(F.sum(held).alias("nodes"),
+                                      F.sum(F.when(F.col("label") != F.col("home"), held).otherwise(0.0)).alias("out"))
+    sizes = sizes.select("pivot", F.ceil("nodes").alias("n_all"), F.ceil("out").alias("n_out"))
     rows = rest.join(measured(settled(sizes.filter("n_out > 0"))), "pivot")
     spot = F.xxhash64("node")
     out = (rows.filter("label <> home").withColumn("i", F.pmod(spot, F.col("n_out")))

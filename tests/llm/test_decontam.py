@@ -30,6 +30,13 @@ def test_substitutions_are_tolerated(spark, items):
     assert hits[5, 1]["length"] == 14
 
 
+def test_documents_that_begin_or_end_inside_an_item(spark, items):
+    words = ITEM.split()
+    hits = found(spark, items, " ".join(words[3:]), f"{' '.join(words[5:])} {NOISE}", f"{NOISE} {' '.join(words[:15])}")
+    places = {k: tuple(hits[k, 1][c] for c in ("doc_start", "item_start", "length", "matched")) for k in range(3)}
+    assert places == {0: (0, 3, 17, 17), 1: (0, 5, 15, 15), 2: (300, 0, 15, 15)}
+
+
 def test_odd_rows(spark, items, odd_docs, no_docs):
     assert decontam.overlaps(odd_docs, items).count() == 0
     assert decontam.overlaps(no_docs, items).count() == 0

@@ -61,6 +61,22 @@ def test_language_odd_rows(spark, odd_docs, no_docs):
     assert {r["lang_pred"] for r in langid.predict(odd_docs, langid.train(no_docs)).collect()} == {"und"}
 
 
+def test_letters():
+    assert all(map(langid.has_letter, ["a", "1é", "雨", "ª"])) and not any(map(langid.has_letter, [None, "", "²", "1_2", "Ⅳ ½ !"]))
+
+
+def test_batches_are_made_smaller(spark):
+    from crossfeed.llm import common
+    before = spark.conf.get(common.BATCH_SETTING)
+    try:
+        for given, kept in (("64m", str(common.BATCH_BYTES)), ("1m", "1m"), ("100", "100"), ("1g", str(common.BATCH_BYTES))):
+            spark.conf.set(common.BATCH_SETTING, given)
+            common.in_small_batches(spark.range(1))
+            assert spark.conf.get(common.BATCH_SETTING) == kept
+    finally:
+        spark.conf.set(common.BATCH_SETTING, before)
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 

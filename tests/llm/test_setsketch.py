@@ -41,8 +41,11 @@ def test_given_documents(spark, words, percent):
     compared(spark.read.parquet(f"{SF_DIR}/documents.parquet"), words, percent)
 
 
-def test_families_around_the_threshold(spark):
-    """Chains and stars of edited copies: links between members that are no pivot decide the components."""
+@pytest.mark.parametrize("block, items", [(setsketch.BLOCK, setsketch.BLOCK_ITEMS), (2, 1 << 20), (64, 100)])
+def test_families_around_the_threshold(spark, monkeypatch, block, items):
+    """Chains and stars of edited copies: links between members that are no pivot decide the components, in blocks of any size."""
+    monkeypatch.setattr(setsketch, "BLOCK", block)
+    monkeypatch.setattr(setsketch, "BLOCK_ITEMS", items)
     rng = np.random.default_rng(1)
     docs, base = [], [f"w{i}" for i in range(60)]
     for family in range(4):
