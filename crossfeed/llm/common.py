@@ -14,7 +14,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SMALL_ROWS = 200_000
 
 #: Text goes to Python in batches of this many bytes at most; a longer text is a batch of its own.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
