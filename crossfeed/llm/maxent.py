@@ -29,10 +29,10 @@ from crossfeed.llm.common import in_small_batches, most_frequent, settled
 #: Words looked up in the workers; bounds what is sent there. The others are joined.
 TOP = 1 << 17
 #: Classes of single words (the last is the end of a text) and of endings.
-OWN_CLASSES, ENDING_CLASSES = 20, 12
+OWN_CLASSES, ENDING_CLASSES = 31, 17
 CLASSES = OWN_CLASSES + ENDING_CLASSES
 FEATURES, ORDERS = 1 << 14, 3
-ROUNDS, RATE, BATCH = 2, 0.4, 8192
+ROUNDS, RATE, BATCH = 3, 0.4, 4096
 #: Different words a task counts before it passes them on.
 FLUSH = 200_000
 #: The end of a text; no word is empty.
@@ -107,7 +107,7 @@ def log_chances(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
 
 
 def descend(weights: np.ndarray, gathered: np.ndarray, seen: np.ndarray, features: np.ndarray, kind: np.ndarray) -> None:
-    """One adaptive gradient step on a batch, in place; ``gathered`` has the mean square per feature, ``seen`` its tokens."""
+    """One adaptive gradient step on a batch, in place; ``gathered`` has the squares per weight, ``seen`` the tokens per feature."""
     slope = np.exp(log_chances(weights, features))
     slope[np.arange(len(kind)), kind] -= 1
     for k in range(ORDERS):
@@ -117,13 +117,12 @@ def descend(weights: np.ndarray, gathered: np.ndarray, seen: np.ndarray, feature
         starts = np.append(0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1)
         rows = ordered[starts]
         sums = np.add.reduceat(slope[order], starts, axis=0)
-        squares = gathered[rows] + np.einsum("ij,ij->i", sums, sums) / CLASSES
+        squares = gathered[rows] + sums * sums
         gathered[rows] = squares
-        sums *= (RATE / np.sqrt(squares))[:, None]
-        weights[rows] -= sums
+        weights[rows] -= RATE * sums / np.sqrt(squares)
         seen[rows] += np.diff(np.append(starts, len(order)))
     total = slope.sum(0)
-    gathered[-1] += (total * total).mean()
+    gathered[-1] += total * total
     weights[-1] -= RATE * total / np.sqrt(gathered[-1])
     seen[-1] += len(kind)
 
@@ -135,7 +134,7 @@ def _gradient_round(texts: DataFrame, lexicon, start: np.ndarray) -> np.ndarray:
 
     def passes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first, lex = shared.value, Lexicon(*lexicon.value)
-        weights, gathered = first.copy(), np.ones(len(first), np.float32)
+        weights, gathered = first.copy(), np.ones_like(first)
         seen = np.zeros(len(first))
         held, size = [], 0
 
