@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossfeed.operators.checkpoints import checkpointed
@@ -74,3 +74,9 @@ def sampled(frame: DataFrame, key: str, rows: int) -> DataFrame:
     if total <= rows:
         return frame
     return frame.filter(F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) < F.lit(int((1 << 30) * (rows / total))))
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store that this session wrote."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossfeed.llm import decontam, langid, maxent, merkle, mixing, pii, quality, setsketch, toolcalls, urls
+from crossfeed.llm import (
+    codes,
+    decontam,
+    infill,
+    langid,
+    maxent,
+    merkle,
+    mixing,
+    pii,
+    quality,
+    setsketch,
+    toolcalls,
+    toxicity,
+    urls,
+)
 from crossfeed.llm.common import remainder_is
 from crossfeed.llm.sql import SQL  # noqa: F401
 
@@ -128,3 +142,29 @@ def op10_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder_is(F.col("doc_id"), 7, 2)
     scores = maxent.score(docs, maxent.train(docs.filter(~held_out)))
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the labels of documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    scores = toxicity.score(docs, toxicity.train(docs, labels.filter(~remainder_is(F.col("doc_id"), 3, 1))))
+    return scores.select("doc_id", remainder_is(F.col("doc_id"), 3, 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = infill.transform(table(spark, sf_dir, "documents"))
+    moved = moved.withColumn("restored", infill.restored(F.col("output"), F.col("form")))
+
+    def digest(name: str):
+        return F.sha2(F.col(name).cast("binary"), 256).alias(f"{name}_sha256")
+    return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))

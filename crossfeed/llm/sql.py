@@ -179,3 +179,69 @@ SELECT call_id, name, root_id, depth, status, array_to_string(e, '; ') AS errors
                            result := content, status := status))::VARCHAR AS json
 FROM joined
 """
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Every round as steps of their own: nearest entries, means, next codebook."""
+    steps = [f"""
+kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+           list_transform(embedding, lambda x: floor({scale}::DOUBLE * x::DOUBLE)) AS v
+    FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS MATERIALIZED (
+    SELECT rid, p, list_slice(v, p * len(v) // {parts} + 1, (p + 1) * len(v) // {parts}) AS x
+    FROM kept, (SELECT unnest(range({parts})) AS p)),
+c0 AS (SELECT p, rid - 1 AS e, x AS c FROM pieces WHERE rid <= {entries})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} AS MATERIALIZED (
+    SELECT rid, p, any_value(x) AS x,
+           min((list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c))::BIGINT * {entries} + e) AS best
+    FROM pieces JOIN c{n} USING (p) GROUP BY rid, p)""")
+        if n < rounds:
+            steps.append(f"""
+m{n} AS (
+    SELECT p, e, list(m ORDER BY i) AS c
+    FROM (SELECT p, best % {entries} AS e, i, floor(sum(x[i]) / count(*)) AS m
+          FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS i FROM a{n}) GROUP BY ALL) GROUP BY p, e),
+c{n + 1} AS (SELECT p, e, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{n} USING (p, e))""")
+    return f"""
+WITH {",".join(steps)},
+coded AS (
+    SELECT rid, string_agg(printf('%02x', best % {entries}), '' ORDER BY p) AS code, sum(best // {entries})::BIGINT AS error
+    FROM a{rounds} GROUP BY rid),
+books AS (
+    SELECT sha256(string_agg(y::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+    FROM (SELECT p, e, unnest(c) AS y, unnest(range(len(c))) AS i FROM c{rounds}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (rid), books
+"""
+
+
+SQL["op12_vector_codes"] = _vector_codes()
+
+
+SQL["op13_fill_in_middle"] = r"""
+WITH lines AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+           sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents),
+numbers AS (
+    SELECT doc_id, t, u, len(u)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+           ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+    FROM lines),
+pieces AS (
+    SELECT doc_id, t, n,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+           array_to_string(list_slice(u, 1, least(h1 % (n + 1), h2 % (n + 1))), '') AS p,
+           array_to_string(list_slice(u, least(h1 % (n + 1), h2 % (n + 1)) + 1, greatest(h1 % (n + 1), h2 % (n + 1))), '') AS m,
+           array_to_string(list_slice(u, greatest(h1 % (n + 1), h2 % (n + 1)) + 1, n), '') AS s
+    FROM numbers)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
+FROM pieces
+"""

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 KEYS = sorted(k for k in entry.oracle_sql() if re.match(r"op\d+_", k))
 
 
@@ -34,4 +34,4 @@ def test_query_equals_its_sql(spark, key):
 
 def test_all_operators_are_registered():
     numbers = sorted(int(m[1]) for k in entry.queries() if (m := re.match(r"op(\d+)_", k)))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
