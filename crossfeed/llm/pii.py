@@ -21,13 +21,20 @@ from pyspark.sql import functions as F
 from crossfeed.llm.common import in_small_batches, sampled
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents, about, whose spans the network is trained on.
-SAMPLE_ROWS = 6_000
+#: Documents, about, whose spans the network is trained on: so many with something that looks like personal data, and
+#: others besides.
+SAMPLE_ROWS, OTHER_ROWS = 6_000, 2_000
+#: What a text with a span of the patterns has; it lets more texts through than hold one.
+LOOKS_PERSONAL = r"@[A-Za-z0-9-]+\.|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|[0-9]([ -]?[0-9]){12}|\+[0-9][ ().0-9-]+[0-9]"
 #: Windows at most that one sampled document gives, and all of them.
 WINDOWS_PER_ROW, TRAINING_WINDOWS = 6, 4_000
 HIDDEN, TRAINING_WIDTH, BATCH, EPOCHS, RATE = 12, 96, 64, 14, 0.02
 #: Width of the windows of whole texts, and how much of each end is left to the neighbour.
 WIDTH, MARGIN, LANES = 512, 32, 512
+#: Windows are computed in multiples of so many, so that a window's numbers do not depend on how many there are.
+LANE_BLOCK = 16
+#: Score of a label behind the end of a text.
+NEVER = np.float32(1e6)
 #: Mean lead of a label over none, per character, and length that an added span needs.
 LEAD, SHORTEST = 2.0, 7
 
@@ -280,7 +287,7 @@ def windows(text: str, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]
             stop = len(head) + len(value)
             after = [(k, s - end + stop, e - end + stop) for k, s, e in spans if s >= end and s - end + stop < TRAINING_WIDTH]
             out.append((piece, near + [(kind, len(head), stop)] + after))
-    numbers = [m.start() for m in re.finditer(r"[0-9@]", text)][:200]
+    numbers = [m.start() for m in re.finditer(r"[0-9@]", text)]
     for _ in range(2):
         at = int(rng.integers(0, max(1, len(text) - TRAINING_WIDTH)))
         if numbers and rng.integers(2):
@@ -290,13 +297,18 @@ def windows(text: str, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]
     return out
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> dict | None:
-    """A network from a sample of about ``sample_rows`` ids, by a hash of the id; None if it holds no personal data.
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
+          other_rows: int = OTHER_ROWS) -> dict | None:
+    """A network from a sample by a hash of the id; None if no text has personal data that the patterns find.
 
-    NULL ids and texts teach nothing.
+    About ``sample_rows`` ids are drawn from the texts that look as if they held some, so rare data is learned too, and
+    ``other_rows`` from all. NULL ids and texts teach nothing.
     """
-    rows = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sample = sampled(rows.filter("doc_id IS NOT NULL"), "doc_id", sample_rows).select("text", F.xxhash64("doc_id").alias("seed"))
+    rows = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
+        .filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    looks = F.col("text").rlike(LOOKS_PERSONAL)
+    sample = sampled(rows.filter(looks), "doc_id", sample_rows).unionByName(sampled(rows, "doc_id", other_rows).filter(~looks)) \
+        .select("text", F.xxhash64("doc_id").alias("seed"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -327,12 +339,16 @@ def added_spans(texts: list[str], known: list[list[tuple[int, int]]], model: dic
     reach = max(0.0, float((model["t"] - model["t"][0, 0]).max()))
     for group in range(0, len(places), LANES):
         part = places[group:group + LANES]
-        width = max(min(WIDTH, len(coded[d]) - at) for d, at in part)
-        x = np.zeros((width, len(part)), np.intp)
+        ends = np.array([min(WIDTH, len(coded[d]) - at) for d, at in part])
+        # a text that ends inside its window is followed by "no label" at least once, whatever else shares the group
+        width = min(WIDTH, int(ends.max()) + 1)
+        x = np.zeros((width, -(-len(part) // LANE_BLOCK) * LANE_BLOCK), np.intp)
         for lane, (d, at) in enumerate(part):
-            piece = coded[d][at:at + width]
-            x[:len(piece), lane] = piece
-        e = emissions(model, x)[0]
+            x[:ends[lane], lane] = coded[d][at:at + ends[lane]]
+        e = emissions(model, x)[0][:, :, :len(part)].copy()
+        behind = np.arange(width)[:, None] >= ends
+        e[:, 1:] = np.where(behind[:, None], -NEVER, e[:, 1:])
+        e[:, 0] = np.where(behind, 0, e[:, 0])
         lead = e[:, 1:] - e[:, :1]
         # a path that leaves "no label" gains at most its leads and two transitions per character
         lanes = np.flatnonzero((lead.max(1) + 2 * reach > 0).any(0))
