@@ -334,7 +334,17 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
 
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
            percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps."""
-    gone = near_duplicates(docs, id_col, text_col, words, percent).filter(~F.col("kept"))
-    gone = measured(settled(gone.select(F.col("doc_id").alias("__gone")).distinct()))
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    """The rows of ``docs``, with all their columns: of each component of near duplicates the one with the smallest id.
+
+    Decided row by row, so rows that share an id, or have none, are compared like others; NULL ids come last, and of equal
+    ids the first in the table stays. Rows without words all stay. An empty table gives an empty result.
+    """
+    keyed = settled(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = near_duplicates(keyed, "__row", text_col, words, percent).filter("n_shingles > 0")
+    ids = keyed.select("__row", F.col(id_col).alias("__id"))
+    rows = settled(found.select(F.col("doc_id").alias("row"), "component_id").join(ids, F.col("row") == F.col("__row"))
+                   .select("component_id", F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), "row").alias("at")))
+    groups = rows.groupBy("component_id").agg(F.min("at").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    gone = (rows.join(measured(settled(groups)), "component_id").filter(F.col("at") != F.col("first"))
+            .select(F.col("at.row").alias("__gone")))
+    return keyed.join(measured(settled(gone)), F.col("__row") == F.col("__gone"), "left_anti").drop("__row")

@@ -70,7 +70,16 @@ def test_odd_rows(odd_docs, no_docs):
     assert setsketch.near_duplicates(no_docs).count() == 0
     kept = setsketch.dedupe(odd_docs, words=3, percent=85)
     assert kept.columns == odd_docs.columns and kept.filter("doc_id IN (6, 12)").isEmpty()
-    assert kept.filter("doc_id = 5").count() == 3 and kept.filter("doc_id IS NULL").count() == 2
+    assert kept.filter("doc_id = 5").count() == 1 and kept.filter("doc_id IS NULL").collect()[0]["text"] is None
+
+
+def test_one_row_of_each_component(spark):
+    a, b = ("first " * 3 + "text of %d words that go on and on " * 4) % (1, 2, 3, 4), "another text with other words in it " * 5
+    near = a + "end"
+    rows = [(3, b), (7, a), (7, b), (9, near), (5, "x y z"), (5, "x y z"), (None, "p q r"), (None, "p q r"), (None, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    kept = sorted(((r["doc_id"], r["text"]) for r in setsketch.dedupe(docs, words=3, percent=80).collect()), key=repr)
+    assert kept == sorted([(3, b), (7, a), (5, "x y z"), (None, "p q r"), (None, ""), (None, "")], key=repr)
 
 
 def test_registers_merge_and_estimate():
