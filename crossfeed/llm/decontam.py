@@ -5,7 +5,7 @@ replaced. Seeds of the test items and of the documents are joined by hash. A hit
 over each other; there all their tokens are compared and the best stretch is found, with ``MISMATCH`` taken off for
 each differing token. A document is contaminated by an item if that stretch has ``MIN_TOKENS`` tokens or the whole item,
 and enough of them are equal; or, as that stretch leaves out ends that do not pay, if any stretch of that many tokens has
-enough equal ones. The masks miss no such stretch.
+enough equal ones. The masks miss no such stretch. Items too short for that are found as they are.
 
 The items are a stated set of queries: their seeds are counted, and broadcast if they are few, so that documents are not
 shuffled; if they are many, the joins shuffle. All masks begin with two selected tokens. Positions whose two tokens
@@ -23,8 +23,10 @@ from crossfeed.llm.common import measured, settled
 #: of 9 to 20 tokens with four fifths equal; longer stretches contain such a one.
 MASKS = ((0, 1, 3, 6, 7, 8), (0, 1, 2, 5, 7, 8), (0, 1, 4, 5, 6, 8), (0, 1, 3, 4, 5), (0, 1, 2, 3, 4))
 SHORTEST = min(mask[-1] + 1 for mask in MASKS)
-#: Texts with fewer tokens are not looked at.
-SPAN = 9
+#: Texts with fewer tokens are not looked at, as they tell nothing apart from chance.
+SPAN = 5
+#: Items with fewer tokens count only where the whole of them is in a document, token by token.
+VERBATIM = 9
 #: A stretch has to be this long, or as long as the item if that is shorter.
 MIN_TOKENS = 13
 MIN_EQUAL = 0.8
@@ -111,7 +113,7 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     """(doc_id, item_id, doc_start, item_start, length, matched): the best stretch of each document and item that overlap.
 
     Starts and lengths are in tokens. NULL and empty texts overlap with nothing, nor do texts with fewer than ``SPAN``
-    tokens, which tell nothing apart from chance. Rows with a NULL id are left out. Repeated rows count once per id;
+    tokens. Items with fewer than ``VERBATIM`` tokens are found only as a whole and without a difference. Rows with a NULL id are left out. Repeated rows count once per id;
     of several best stretches the one with most equal tokens, then the shortest, then the first is given; one that holds
     only with its ends comes after the others. Empty tables give an empty result. Other columns are not looked at.
     """
@@ -145,11 +147,12 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     laid = laid.select("doc_id", "item_id", "shift", F.least(F.lit(MIN_TOKENS), F.size("q")).alias("least"),
                        equal.alias("equal"))
     laid = laid.withColumn("b", _best_stretch(F.col("equal")))
-    enough = (F.col("b.length") >= F.col("least")) & (F.col("b.best_matched") >= MIN_EQUAL * F.col("b.length"))
+    enough = ((F.col("b.length") >= F.col("least")) & (F.col("b.best_matched") >= MIN_EQUAL * F.col("b.length"))
+              & ((F.col("least") >= VERBATIM) | (F.col("b.best_matched") == F.col("least"))))
     laid = laid.withColumn("whole", F.when(~enough, _even_stretch(F.col("equal"), F.col("least"))))
     taken = F.when(enough, F.struct(F.lit(0).alias("by"), F.col("b.best_matched").alias("matched"),
                                     F.col("b.length").alias("length"), F.col("b.best_start").alias("start")))
-    taken = taken.when(F.col("whole.score") >= 0, F.struct(
+    taken = taken.when((F.col("whole.score") >= 0) & (F.col("least") >= VERBATIM), F.struct(
         F.lit(1).alias("by"), ((F.col("whole.score") + EVEN * F.col("whole.length")) / (EVEN + 1)).cast("int").alias("matched"),
         F.col("whole.length").alias("length"), F.col("whole.start").alias("start")))
     laid = laid.select("doc_id", "item_id", "shift", taken.alias("t"))

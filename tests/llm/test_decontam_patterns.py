@@ -2,6 +2,9 @@
 
 from itertools import combinations
 
+import duckdb
+
+import __spark_entry__ as entry
 from crossfeed.llm import decontam
 
 WORDS = [f"word{chr(97 + i)}" for i in range(15)]
@@ -29,3 +32,21 @@ def test_fewer_than_four_fifths_are_not_found(spark):
     docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
     items = spark.createDataFrame([(1, " ".join(WORDS))], "item_id long, text string")
     assert decontam.overlaps(docs, items).count() == 0
+
+
+def test_sql_finds_the_same_patterns(spark, tmp_path):
+    cases = [(1, t) for t in texts(WORDS, 0, 2, 3)] + [(2, t.replace("word", "short")) for t in texts(WORDS[:10], 0, 1, 2, 3)]
+    cases += [(3, "tiny a b c d e f"), (3, "tiny a b c x e f")]
+    docs = [(i, f"before{i} {t} after{i}") for i, (_, t) in enumerate(cases)] + [(None, "x"), (9000, None), (9001, "")]
+    items = [(1, " ".join(WORDS)), (2, " ".join(WORDS[:10]).replace("word", "short")), (3, "tiny a b c d e f"), (4, "a b c"), (5, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = entry.queries()["op7_benchmark_overlaps"](spark, str(tmp_path))
+    with duckdb.connect() as con:
+        for table in ("documents", "benchmark"):
+            con.sql(f"CREATE VIEW {table} AS FROM '{tmp_path}/{table}.parquet/*.parquet'")
+        expected = con.sql(entry.oracle_sql()["op7_benchmark_overlaps"]).fetchall()
+    found = [tuple(row) for row in frame.collect()]
+    assert sorted(found) == sorted(expected)
+    assert [row[1] for row in sorted(found) if row[1] == 3] == [3], "a short item is found as it is and not otherwise"
+    assert sum(row[1] == 1 for row in found) == 1 + 105 + 455
