@@ -113,12 +113,12 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn of a conversation as a tool call or a result.
 
     A user's turn calls ``reply``, after the user's turn two before it; a system turn calls ``instruct``. An assistant's
-    turn is the result of the call one turn before. Identifiers are ``conversation:turn``.
+    turn is the result of the call one turn before. Identifiers are ``conversation:turn``, NULL if either is.
     """
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
 
     def identifier(shift: int):
-        return F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - shift).cast("string"))
+        return F.concat(F.col("conv_id").cast("string"), F.lit(":"), (F.col("turn") - shift).cast("string"))
 
     asked = F.col("role").isin("user", "system")
     calls = turns.filter(asked).select(

@@ -101,35 +101,56 @@ def depths(calls: DataFrame) -> DataFrame:
     return state.select("call_id", "root_id", F.when(F.col("hop").isNull(), F.col("depth")).alias("depth"))
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row per identifier that calls (call_id, seq, name, arguments, parent_id) or results (call_id, seq, content) name.
+def _first_of_each(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Settled rows (key, call_id, ...), with ``first`` and ``n``: whether a row stands for its identifier, and its count.
+
+    The first row by ``order`` stands for an identifier; rows without one stand for nothing. Both by a combined minimum,
+    so rows that share an identifier are not brought together.
+    """
+    lowest = F.min(F.struct(*[part for name in order for part in (F.col(name).isNull(), F.col(name))], "key"))
+    firsts = (rows.filter("call_id IS NOT NULL").groupBy("call_id").agg(lowest["key"].alias("first_key"), F.count("*").alias("n"))
+              .select("first_key", "n"))
+    joined = rows.join(firsts, F.col("key") == F.col("first_key"), "left")
+    return joined.withColumn("first", F.col("first_key").isNotNull()).drop("first_key")
 
-    call_id, name, root_id, depth, status, errors, n_calls, n_results, json. ``status`` is ``answered``, ``open`` (no
-    result), ``orphan`` (a result of no call) or ``cycle``. Where an identifier comes several times the call and the
-    result with the lowest seq, then the smallest content, stand for it, and the counts tell. NULL identifiers are left
-    out. Empty texts are content like others; NULL content is a result without content. ``json`` has sorted keys,
-    canonical arguments and explicit nulls.
+
+def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    """Every call (call_id, seq, name, arguments, parent_id) and every result (call_id, seq, content), linked by identifier.
+
+    call_id, name, root_id, depth, status, errors, n_calls, n_results, json. There is one row per identifier with its
+    call and its result: ``answered``, ``open`` (no result), ``orphan`` (a result of no call) or ``cycle``. Where an
+    identifier comes several times the call and the result with the lowest seq, then the smallest content, stand for it and
+    the counts tell how many there are; each of the others is a row of its own, ``repeated``. So is every call or result
+    without an identifier: ``open`` or ``orphan``, linked to nothing; as is a call whose parent is NULL or unknown to the
+    top. Empty texts are content like others; NULL content is a result without content. Equal rows stay rows. ``json`` has
+    sorted keys, canonical arguments and explicit nulls. Empty tables give an empty result.
     """
-    called = (calls.filter("call_id IS NOT NULL").groupBy("call_id")
-              .agg(F.min(F.struct(F.col("seq").isNull(), "seq", "name", "arguments", "parent_id")).alias("c"),
-                   F.count("*").alias("n_calls"))
-              .select("call_id", "c.name", "c.arguments", "c.parent_id", "n_calls"))
-    called = settled(called)
-    answered = (results.filter("call_id IS NOT NULL").groupBy(F.col("call_id").alias("result_id"))
-                .agg(F.min(F.struct(F.col("seq").isNull(), "seq", "content")).alias("r"), F.count("*").alias("n_results"))
-                .select("result_id", F.col("r.content").alias("content"), "n_results"))
-    order = depths(called).withColumnRenamed("call_id", "order_id")
-    both = (called.join(order, F.col("call_id") == F.col("order_id"), "left")
-            .join(answered, F.col("call_id") == F.col("result_id"), "full"))
+    called = settled(calls.select("call_id", "seq", "name", "arguments", "parent_id").withColumn("key", F.monotonically_increasing_id()))
+    called = settled(_first_of_each(called, ["seq", "name", "arguments", "parent_id"]))
+    answered = settled(results.select("call_id", "seq", "content").withColumn("key", F.monotonically_increasing_id()))
+    answered = settled(_first_of_each(answered, ["seq", "content"]))
+    first = called.filter("first").select("call_id", "name", "arguments", "parent_id", F.col("n").alias("n_calls"))
+    replies = answered.filter("first").select(F.col("call_id").alias("result_id"), "content", F.col("n").alias("n_results"))
+    order = depths(first.select("call_id", "parent_id")).withColumnRenamed("call_id", "order_id")
+    both = (first.join(order, F.col("call_id") == F.col("order_id"), "left")
+            .join(replies, F.col("call_id") == F.col("result_id"), "full"))
     status = (F.when(F.col("call_id").isNull(), "orphan").when(F.col("depth").isNull(), "cycle")
               .when(F.col("result_id").isNull(), "open").otherwise("answered"))
-    errors = F.when(F.col("call_id").isNotNull(), validate(F.col("name"), F.col("arguments"), schemas))
-    both = (both.withColumn("status", status).withColumn("errors", errors)
+    both = (both.withColumn("status", status).withColumn("is_call", F.col("call_id").isNotNull())
             .withColumn("call_id", F.coalesce("call_id", "result_id")))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    more_calls = called.filter("NOT first").select(
+        "call_id", "name", "arguments", "parent_id", one.alias("n_calls"), none.alias("n_results"), F.lit(True).alias("is_call"),
+        F.when(F.col("call_id").isNull(), "open").otherwise("repeated").alias("status"))
+    more_results = answered.filter("NOT first").select(
+        "call_id", "content", none.alias("n_calls"), one.alias("n_results"), F.lit(False).alias("is_call"),
+        F.when(F.col("call_id").isNull(), "orphan").otherwise("repeated").alias("status"))
+    rows = (both.drop("order_id", "result_id").unionByName(more_calls, allowMissingColumns=True)
+            .unionByName(more_results, allowMissingColumns=True))
+    rows = rows.withColumn("errors", F.when(F.col("is_call"), validate(F.col("name"), F.col("arguments"), schemas)))
     record = F.struct(F.try_parse_json("arguments").alias("arguments"), "depth", "errors", F.col("call_id").alias("id"),
                       "name", F.col("parent_id").alias("parent"), F.col("content").alias("result"), "status")
-    return both.select(
+    return rows.select(
         "call_id", "name", "root_id", "depth", "status", F.array_join("errors", "; ").alias("errors"),
-        F.coalesce("n_calls", F.lit(0)).cast("long").alias("n_calls"),
-        F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"),
+        F.coalesce("n_calls", none).alias("n_calls"), F.coalesce("n_results", none).alias("n_results"),
         F.to_json(record, {"ignoreNullFields": "false"}).alias("json"))
