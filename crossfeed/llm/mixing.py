@@ -3,11 +3,14 @@
 Every source has a target number of words. A document is expected ``rate`` times in the mix (target over size of its
 source, tilted by an optional weight): the whole part of that is certain, the fraction is an inclusion probability p.
 Documents of a source are ranked by random odds over inclusion odds, (u / (1 - u)) / (p / (1 - p)), and are taken in
-that order as long as the words still fit. What is then missing is filled by at most ``TOP_UPS`` single documents, each
-the one that brings the words nearest to the target. So the number of words is fixed, up to the sizes of single documents.
+that order up to the first that does not fit. What is then missing is filled in the same order by documents of at most
+half of what is missing, again and again: a pass ends when the next one does not fit, and then less than half is missing
+still, or when they are used up, and then at most one of the others fits. So the passes are as many as the target has
+binary digits at most. At last each source takes the one document that brings its words nearest to the target, if one does.
 
 No source is ranked in one task. The rank is cut into ``CELLS`` cells; the sums of the cells (one row per source and
-cell) show which cell the target falls into, its rows are cut once more, and only what is left there is sorted.
+cell) show which cell the target falls into, its rows are cut once more, and what is left there is summed by equal rank.
+Rows that agree in rank have the same id and text; the one that does not fit is then found by the rows of each partition.
 """
 
 from __future__ import annotations
@@ -23,12 +26,15 @@ WEIGHTS = (5, 2, 1)
 LIMIT = 3
 #: Cells per level; two levels leave one row in about a million of a source to be sorted.
 CELLS = 1024
-TOP_UPS = 3
 
 
-def uniform(key: Column, seed: str) -> Column:
-    """A number in (0, 1) that depends on the key and the seed only; 52 bits of an MD5 digest."""
-    digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+def uniform(key: Column, text: Column, seed: str) -> Column:
+    """A number in (0, 1) that depends on the key, the text and the seed only; 52 bits of an MD5 digest.
+
+    The text counts so that rows which share an id, or have none, still differ.
+    """
+    own = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(key.cast("string"), F.lit("")), F.lit("|"), own).cast("binary"))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
@@ -57,25 +63,71 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit
     return frame.withColumn("target", target).drop("cap", "ratio", "level", "capped", "source_weight")
 
 
-def _descend(rows: DataFrame, cell: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows (source, size, room, taken null where open) with those in whole cells decided, and the open rest.
+def _narrowed(rows: DataFrame, keys: list[str], words: Column, more: tuple[str, ...] = ()) -> DataFrame:
+    """(source, ``keys``, left): of each source the first group by ``keys`` at which the running sum exceeds ``room``.
 
-    ``room`` is what is left for the open rows of a source. Returns (decided rows, rows of the cell that is cut).
+    ``left`` is what the groups before leave of the room. Sources whose rows all fit are not in the result.
+    """
+    groups = rows.groupBy("source", *keys).agg(F.sum(words).alias("words"), F.first("room").alias("room"),
+                                               *[F.first(name).alias(name) for name in more])
+    upto = Window.partitionBy("source").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    groups = groups.withColumn("upto", F.sum("words").over(upto)).filter(F.col("upto") > F.col("room"))
+    left = (F.col("room") - (F.col("upto") - F.col("words"))).alias("left")
+    return (groups.groupBy("source").agg(F.min(F.struct(*keys, left, *more)).alias("cut"))
+            .select(F.col("source").alias("cut_source"), *[F.col(f"cut.{name}").alias(f"cut_{name}") for name in keys],
+                    F.col("cut.left").alias("left"), *[F.col(f"cut.{name}").alias(f"cut_{name}") for name in more]))
+
+
+def _inside(rows: DataFrame, cut: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of the groups that were cut, with what is left for them as ``room``."""
+    cut = measured(settled(cut))
+    same = rows["source"].eqNullSafe(F.col("cut_source"))
+    for key in keys:
+        same = same & rows[key].eqNullSafe(F.col(f"cut_{key}"))
+    return (rows.join(cut, same).withColumn("room", F.col("left"))
+            .drop("cut_source", "left", *[f"cut_{key}" for key in keys]))
+
+
+def first_not_fitting(rows: DataFrame) -> DataFrame:
+    """(cut_source, cut) of rows (source, rank, doc_id, size, row, room): of each source the first row that does not fit.
+
+    ``cut`` is its struct(rank, id_null, doc_id, size, row); rows before it, in that order, fit into the room. Sources
+    whose rows all fit are not in the result.
+    """
+    place = F.col("rank") / (1 + F.col("rank"))
+    for cells in (CELLS, CELLS * CELLS):
+        rows = rows.withColumn("cell", F.floor(place * cells))
+        rows = _inside(rows, _narrowed(rows, ["cell"], F.col("size")), ["cell"]).drop("cell")
+    # rows of equal rank are alike: how many of them fit tells which of them does not
+    alike = ["rank", "id_null", "doc_id", "size"]
+    rows = _inside(rows, _narrowed(rows, alike, F.col("size")), alike)
+    rows = rows.withColumn("room", F.floor(F.col("room") / F.col("size"))).withColumn("part", F.shiftright("row", 33))
+    rows = _inside(rows, _narrowed(rows, ["part"], F.lit(1)), ["part"])
+    # what is left lies in one partition of the input
+    cut = _narrowed(rows.withColumn("one", F.lit(1)), ["row"], F.col("one"), tuple(alike))
+    return cut.select("cut_source", F.struct(*[F.col(f"cut_{name}").alias(name) for name in (*alike, "row")]).alias("cut"))
+
+
+def _taken_up_to(rows: DataFrame, candidates: DataFrame, limit: DataFrame | None = None) -> DataFrame:
+    """``rows`` with ``picked`` also where a row is a candidate and comes before the first that does not fit.
+
+    ``limit`` (limit_source, most) has the largest size of a candidate per source; without it all rows are candidates.
     """
-    rows = rows.withColumn("cell", cell)
-    cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("words"), F.first("room").alias("room"))
-    upto = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = cells.withColumn("upto", F.sum("words").over(upto))
-    cut = (cells.filter(F.col("upto") > F.col("room")).groupBy("source")
-           .agg(F.min(F.struct("cell", (F.col("room") - (F.col("upto") - F.col("words"))).alias("left"))).alias("cut"))
-           .select(F.col("source").alias("cut_source"), "cut.cell", "cut.left")
-           .withColumnRenamed("cell", "cut_cell"))
-    joined = rows.join(measured(settled(cut)), rows["source"].eqNullSafe(F.col("cut_source")), "left")
-    decided = (joined.filter(F.col("cut_cell").isNull() | (F.col("cell") != F.col("cut_cell")))
-               .withColumn("picked", F.coalesce(F.col("cell") < F.col("cut_cell"), F.lit(True))))
-    rest = joined.filter(F.col("cell") == F.col("cut_cell")).withColumn("room", F.col("left"))
-    gone = ("cell", "cut_source", "cut_cell", "left")
-    return decided.drop(*gone), rest.drop(*gone)
+    cut = measured(settled(first_not_fitting(candidates)))
+    joined = rows.join(cut, rows["source"].eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
+    order = F.struct("rank", "id_null", "doc_id", "size", "row")
+    fits = F.col("rank").isNotNull() & (F.col("cut").isNull() | (order < F.col("cut")))
+    if limit is not None:
+        joined = joined.join(limit, joined["source"].eqNullSafe(F.col("limit_source")), "left").drop("limit_source")
+        fits = fits & (F.col("size") > 0) & F.coalesce(F.col("size") <= F.col("most"), F.lit(False))
+    return settled(joined.withColumn("picked", F.col("picked") | fits).drop("cut", "most"))
+
+
+def _missing(rows: DataFrame) -> DataFrame:
+    """(missing_source, missing): the words that each source still lacks."""
+    words = (F.col("certain") + F.col("picked").cast("long")) * F.col("size")
+    return measured(settled(rows.groupBy(F.col("source").alias("missing_source"))
+                            .agg((F.first("target") - F.sum(words)).alias("missing"))))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -85,14 +137,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     ``weight_col`` tilts the expected copies of the documents inside a source; without it all are alike. NULL texts
     have size 0; documents of size 0 get copies like others, for no words. NULL is a source of its own, after the
-    others; a NULL or negative weight counts as 0. Repeated rows are separate documents; ties of the rank go by doc_id
-    and size. An empty table gives an empty result. Other columns of ``docs`` are not looked at.
+    others; a NULL or negative weight counts as 0. Repeated rows are separate documents; ties of the rank go by doc_id,
+    size and place in the table. An empty table gives an empty result. Other columns of ``docs`` are not looked at.
     """
     weight = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     sizes = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        F.greatest(F.coalesce(weight, F.lit(0.0)), F.lit(0.0)).alias("weight"), uniform(F.col(id_col), seed).alias("u"))
-    sizes = settled(sizes.withColumn("row", F.monotonically_increasing_id()))
+        F.greatest(F.coalesce(weight, F.lit(0.0)), F.lit(0.0)).alias("weight"), uniform(F.col(id_col), F.col(text_col), seed).alias("u"))
+    sizes = settled(sizes.withColumn("row", F.monotonically_increasing_id()).withColumn("id_null", F.col("doc_id").isNull()))
 
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"),
                                           F.sum(F.col("weight") * F.col("size")).alias("weighted"))
@@ -111,26 +163,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = (rows.join(certain, rows["source"].eqNullSafe(F.col("sure_source")))
             .withColumn("room", F.col("target") - F.col("sure")).drop("sure_source", "sure"))
 
-    never = rows.filter(F.col("rank").isNull()).withColumn("picked", F.lit(False))
-    place = F.col("rank") / (1 + F.col("rank"))
-    first, rest = _descend(rows.filter(F.col("rank").isNotNull()), F.floor(place * CELLS))
-    second, rest = _descend(rest, F.floor(place * CELLS * CELLS))
-    in_order = (Window.partitionBy("source").orderBy("rank", "doc_id", "size", "row")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rest = rest.withColumn("picked", F.sum("size").over(in_order) <= F.col("room"))
-    picked = settled(never.unionByName(first).unionByName(second).unionByName(rest).drop("room"))
-    for _ in range(TOP_UPS):
-        picked = _top_up(picked)
+    rows = settled(rows.withColumn("picked", F.lit(False)))
+    rows = _taken_up_to(rows, rows.filter("rank IS NOT NULL")).drop("room")
+    while True:
+        missing = _missing(rows)
+        half = missing.select(F.col("missing_source").alias("limit_source"), (F.col("missing") / 2).alias("most"),
+                              F.col("missing").alias("room"))
+        small = rows.filter("NOT picked AND rank IS NOT NULL AND size > 0")
+        small = (small.join(F.broadcast(half), small["source"].eqNullSafe(F.col("limit_source")))
+                 .filter(F.col("size") <= F.col("most")).drop("limit_source", "most"))
+        if small.isEmpty():
+            break
+        rows = _taken_up_to(rows, small, half.drop("room"))
+    picked = _top_up(rows, missing)
     copies = F.col("certain") + F.col("picked").cast("long")
     return picked.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
                          (copies * F.col("size")).alias("taken"))
 
 
-def _top_up(rows: DataFrame) -> DataFrame:
+def _top_up(rows: DataFrame, missing: DataFrame) -> DataFrame:
     """Takes, per source, the one open document that brings the words nearest to the target, if one brings them nearer."""
-    words = (F.col("certain") + F.col("picked").cast("long")) * F.col("size")
-    missing = rows.groupBy("source").agg((F.first("target") - F.sum(words)).alias("missing"))
-    missing = measured(settled(missing.withColumnRenamed("source", "missing_source")))
     open_rows = rows.filter(~F.col("picked") & F.col("rank").isNotNull() & (F.col("size") > 0))
     best = (open_rows.join(missing, open_rows["source"].eqNullSafe(F.col("missing_source")))
             .withColumn("off", F.abs(F.col("missing") - F.col("size"))).filter(F.col("off") < F.col("missing"))

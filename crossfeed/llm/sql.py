@@ -7,10 +7,30 @@ SQL: dict[str, str] = {}
 #: Words of a text.
 WORDS = r"'[^\x20\x09-\x0D]+'"
 
-SQL["op2_pareto_mix"] = rf"""
+#: Halvings that bring any number of words below one.
+HALVINGS = 24
+
+
+def _pareto_mix() -> str:
+    """Each pass as steps of its own; passes in which no document is small enough change nothing."""
+    order = "rk, doc_id NULLS LAST, size, rid"
+    steps = [f"""
+taken0 AS MATERIALIZED (
+    SELECT * EXCLUDE (room), rk IS NOT NULL AND sum(size) OVER (PARTITION BY source, rk IS NULL ORDER BY {order}
+                                                ROWS UNBOUNDED PRECEDING) <= room AS picked
+    FROM ranked)"""]
+    for n in range(1, HALVINGS + 1):
+        steps.append(f"""
+small{n} AS (
+    SELECT *, coalesce(NOT picked AND rk IS NOT NULL AND size > 0 AND size <= missing / 2, false) AS open
+    FROM (SELECT *, target - sum((certain + picked::BIGINT) * size) OVER (PARTITION BY source) AS missing FROM taken{n - 1})),
+taken{n} AS MATERIALIZED (
+    SELECT * EXCLUDE (missing, open) REPLACE (picked OR (open AND sum(size) OVER (
+               PARTITION BY source, open ORDER BY {order} ROWS UNBOUNDED PRECEDING) <= missing) AS picked) FROM small{n})""")
+    return rf"""
 WITH docs AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {WORDS}))::BIGINT AS size,
-           (('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE)
+           (('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 13))::BIGINT + 0.5::DOUBLE)
              / 4503599627370496::DOUBLE AS u,
            row_number() OVER () AS rid
     FROM documents),
@@ -37,37 +57,22 @@ rated AS (
 ranked AS (
     SELECT *, floor(rate)::BIGINT AS certain, target - sum(floor(rate)::BIGINT * size) OVER (PARTITION BY source) AS room,
            CASE WHEN rate > floor(rate) THEN (u / (1 - u)) / ((rate - floor(rate)) / (1 - (rate - floor(rate)))) END AS rk
-    FROM rated),
-taken0 AS (
-    SELECT *, rk IS NOT NULL AND sum(size) OVER (PARTITION BY source, rk IS NULL ORDER BY rk, doc_id, size, rid
-                                                ROWS UNBOUNDED PRECEDING) <= room AS picked
-    FROM ranked),
-missing1 AS (
-    SELECT *, target - sum((certain + picked::BIGINT) * size) OVER (PARTITION BY source) AS missing FROM taken0),
-taken1 AS (
-    SELECT * REPLACE (picked OR (open AND 1 = row_number() OVER (
-               PARTITION BY source, open ORDER BY abs(missing - size), rk, doc_id, rid)) AS picked)
-    FROM (SELECT *, NOT picked AND rk IS NOT NULL AND size > 0 AND abs(missing - size) < missing AS open FROM missing1)),
-missing2 AS (
-    SELECT * EXCLUDE (missing, open),
-           target - sum((certain + picked::BIGINT) * size) OVER (PARTITION BY source) AS missing FROM taken1),
-taken2 AS (
-    SELECT * REPLACE (picked OR (open AND 1 = row_number() OVER (
-               PARTITION BY source, open ORDER BY abs(missing - size), rk, doc_id, rid)) AS picked)
-    FROM (SELECT *, NOT picked AND rk IS NOT NULL AND size > 0 AND abs(missing - size) < missing AS open FROM missing2)),
-missing3 AS (
-    SELECT * EXCLUDE (missing, open),
-           target - sum((certain + picked::BIGINT) * size) OVER (PARTITION BY source) AS missing FROM taken2),
-taken3 AS (
+    FROM rated),{",".join(steps)},
+nearer AS (
+    SELECT *, NOT picked AND rk IS NOT NULL AND size > 0 AND abs(missing - size) < missing AS open
+    FROM (SELECT *, target - sum((certain + picked::BIGINT) * size) OVER (PARTITION BY source) AS missing FROM taken{HALVINGS})),
+done AS (
     SELECT * REPLACE (picked OR (open AND 1 = row_number() OVER (
-               PARTITION BY source, open ORDER BY abs(missing - size), rk, doc_id, rid)) AS picked)
-    FROM (SELECT *, NOT picked AND rk IS NOT NULL AND size > 0 AND abs(missing - size) < missing AS open FROM missing3))
+               PARTITION BY source, open ORDER BY abs(missing - size), rk, doc_id, rid)) AS picked) FROM nearer)
 SELECT doc_id, size, source_size, target, (certain + picked::BIGINT) * size AS taken,
        certain + picked::BIGINT AS copies, source
-FROM taken3
+FROM done
 """
 
 
+SQL["op2_pareto_mix"] = _pareto_mix()
+
+
 #: Macros and common steps of the Merkle tree: texts with their fingerprints.
 MERKLE = r"""
     SELECT *, sha256(list_aggregate(list_transform(string_split(body, ';'), lambda s: sha256(list_aggregate(
@@ -112,17 +117,22 @@ FROM leaves
 
 #: Lower-cased tokens, for the query's texts.
 TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '')"
-MASKS = ((0, 1, 3, 6, 7, 8), (0, 1, 2, 5, 7, 8), (0, 1, 4, 5, 6, 8))
-SEEDS = "[" + ", ".join("'" + str(m) + " ' || " + " || ' ' || ".join(f"t[k + {p + 1}]" for p in mask)
-                        for m, mask in enumerate(MASKS)) + "]"
+MASKS = ((0, 1, 3, 6, 7, 8), (0, 1, 2, 5, 7, 8), (0, 1, 4, 5, 6, 8), (0, 1, 3, 4, 5), (0, 1, 2, 3, 4))
+
+
+def _seeds(texts: str, key: str) -> str:
+    """(key, k, seed) for every place that a mask fits at."""
+    return " UNION ALL ".join(
+        f"SELECT {key}, k, '{m} ' || " + " || ' ' || ".join(f"t[k + {place + 1}]" for place in mask)
+        + f" AS seed FROM (SELECT {key}, t, unnest(range(0, len(t) - {mask[-1]})) AS k FROM {texts})"
+        for m, mask in enumerate(MASKS))
+
 
 SQL["op7_benchmark_overlaps"] = f"""
 WITH docs AS (SELECT DISTINCT doc_id, {TOKENS} AS t FROM documents WHERE doc_id IS NOT NULL),
 items AS (SELECT DISTINCT item_id, {TOKENS} AS t FROM benchmark WHERE item_id IS NOT NULL),
-doc_seeds AS (
-    SELECT doc_id, k, unnest({SEEDS}) AS seed FROM (SELECT doc_id, t, unnest(range(0, len(t) - 8)) AS k FROM docs)),
-item_seeds AS (
-    SELECT item_id, k, unnest({SEEDS}) AS seed FROM (SELECT item_id, t, unnest(range(0, len(t) - 8)) AS k FROM items)),
+doc_seeds AS ({_seeds('docs', 'doc_id')}),
+item_seeds AS ({_seeds('(SELECT * FROM items WHERE len(t) >= 5)', 'item_id')}),
 hits AS (SELECT DISTINCT doc_id, item_id, d.k - i.k AS shift FROM doc_seeds d JOIN item_seeds i USING (seed)),
 places AS (
     SELECT doc_id, item_id, shift, i.t AS q, d.t AS h, unnest(range(0, len(i.t))) AS j
@@ -131,19 +141,29 @@ same AS (
     SELECT doc_id, item_id, shift, j, len(q) AS n,
            (j + shift >= 0 AND coalesce(h[j + shift + 1] = q[j + 1], false))::INT AS e FROM places),
 sums AS (
-    SELECT *, sum(e) OVER w AS m, sum(CASE e WHEN 1 THEN 1 ELSE -3 END) OVER w AS s FROM same
+    SELECT *, sum(e) OVER w AS m, sum(CASE e WHEN 1 THEN 1 ELSE -3 END) OVER w AS s,
+           sum(CASE e WHEN 1 THEN 1 ELSE -4 END) OVER w AS even FROM same
     WINDOW w AS (PARTITION BY doc_id, item_id, shift ORDER BY j)),
 stretches AS (
-    SELECT z.doc_id, z.item_id, z.shift, z.n, a.j AS start, z.j - a.j + 1 AS length, z.m - a.m + a.e AS matched,
-           row_number() OVER (PARTITION BY z.doc_id, z.item_id, z.shift
-               ORDER BY z.s - a.s + CASE a.e WHEN 1 THEN 1 ELSE -3 END DESC, z.j, a.j DESC) AS r
+    SELECT z.doc_id, z.item_id, z.shift, z.n, a.j AS start, z.j AS stop, z.j - a.j + 1 AS length, z.m - a.m + a.e AS matched,
+           z.s - a.s + CASE a.e WHEN 1 THEN 1 ELSE -3 END AS s, z.even - a.even + CASE a.e WHEN 1 THEN 1 ELSE -4 END AS even
     FROM sums a JOIN sums z ON a.doc_id = z.doc_id AND a.item_id = z.item_id AND a.shift = z.shift AND a.j <= z.j),
 best AS (
-    SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, length, start + shift, start) AS p
-    FROM stretches WHERE r = 1 AND length >= least(13, n) AND matched >= 0.8 * length)
+    SELECT * FROM stretches
+    QUALIFY 1 = row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY s DESC, stop, start DESC)),
+enough AS (
+    SELECT * FROM best WHERE length >= least(13, n) AND matched >= 0.8 * length AND (n >= 9 OR matched = n)),
+whole AS (
+    SELECT * FROM stretches
+    WHERE length >= least(13, n) AND even >= 0 AND (n >= 9 OR matched = n)
+      AND NOT EXISTS (SELECT 1 FROM enough g WHERE g.doc_id = stretches.doc_id AND g.item_id = stretches.item_id
+                      AND g.shift = stretches.shift)
+    QUALIFY 1 = row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY even DESC, stop, start DESC)),
+taken AS (SELECT *, 0 AS way FROM enough UNION ALL SELECT *, 1 AS way FROM whole)
 SELECT doc_id, item_id, (start + shift)::BIGINT AS doc_start, start::BIGINT AS item_start, length::BIGINT AS length,
        matched::BIGINT AS matched
-FROM best WHERE p = 1
+FROM taken
+QUALIFY 1 = row_number() OVER (PARTITION BY doc_id, item_id ORDER BY way, matched DESC, length, start + shift, start)
 """
 
 
@@ -151,33 +171,48 @@ SQL["op8_tool_calls"] = """
 WITH RECURSIVE calls AS (
     SELECT conv_id || ':' || turn AS call_id, turn, CASE role WHEN 'user' THEN 'reply' ELSE 'instruct' END AS name, text,
            CASE WHEN role = 'user' AND turn >= 2 THEN conv_id || ':' || (turn - 2) END AS parent_id,
-           count(*) OVER (PARTITION BY conv_id, turn) AS n_calls,
-           row_number() OVER (PARTITION BY conv_id, turn ORDER BY CASE role WHEN 'user' THEN 'reply' ELSE 'instruct' END, text) AS r
+           count(*) OVER (PARTITION BY conv_id, turn) AS n,
+           row_number() OVER (PARTITION BY conv_id, turn ORDER BY CASE role WHEN 'user' THEN 'reply' ELSE 'instruct' END,
+                              to_json(struct_pack(text := text, turn := turn)) NULLS LAST) AS r
     FROM conversations WHERE role IN ('user', 'system')),
-called AS (SELECT * FROM calls WHERE r = 1),
+called AS (SELECT * FROM calls WHERE r = 1 AND call_id IS NOT NULL),
 answers AS (
-    SELECT conv_id || ':' || (turn - 1) AS result_id, text AS content, count(*) OVER (PARTITION BY conv_id, turn) AS n_results,
-           row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) AS r
-    FROM conversations WHERE role NOT IN ('user', 'system')),
-answered AS (SELECT * FROM answers WHERE r = 1),
+    SELECT conv_id || ':' || (turn - 1) AS result_id, text AS content, count(*) OVER (PARTITION BY conv_id, turn) AS n,
+           row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS LAST) AS r
+    FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'system')),
+answered AS (SELECT * FROM answers WHERE r = 1 AND result_id IS NOT NULL),
 tree AS (
-    SELECT call_id, call_id AS root_id, 0::BIGINT AS depth FROM called
-    WHERE parent_id IS NULL OR parent_id NOT IN (SELECT call_id FROM called)
+    SELECT call_id, call_id AS root_id, 0::BIGINT AS depth FROM called c
+    WHERE NOT EXISTS (SELECT 1 FROM called p WHERE p.call_id = c.parent_id)
     UNION ALL
     SELECT c.call_id, t.root_id, t.depth + 1 FROM called c JOIN tree t ON c.parent_id = t.call_id),
 joined AS (
-    SELECT coalesce(c.call_id, a.result_id) AS call_id, c.name, t.root_id, t.depth, c.parent_id, c.text, c.turn, a.content,
+    SELECT coalesce(c.call_id, a.result_id) AS call_id, c.call_id IS NOT NULL AS is_call, c.name, t.root_id, t.depth, c.parent_id,
+           c.text, c.turn, a.content,
            CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN t.depth IS NULL THEN 'cycle'
                 WHEN a.result_id IS NULL THEN 'open' ELSE 'answered' END AS status,
-           CASE WHEN c.call_id IS NULL THEN NULL WHEN c.name = 'reply' AND length(c.text) < 1 THEN ['text: minLength']
-                WHEN c.name = 'reply' AND length(c.text) > 400 THEN ['text: maxLength'] ELSE []::VARCHAR[] END AS e,
-           coalesce(c.n_calls, 0)::BIGINT AS n_calls, coalesce(a.n_results, 0)::BIGINT AS n_results
-    FROM called c LEFT JOIN tree t USING (call_id) FULL JOIN answered a ON c.call_id = a.result_id)
+           coalesce(c.n, 0)::BIGINT AS n_calls, coalesce(a.n, 0)::BIGINT AS n_results
+    FROM called c LEFT JOIN tree t USING (call_id) FULL JOIN answered a ON c.call_id = a.result_id
+    UNION ALL
+    SELECT call_id, true, name, NULL, NULL, parent_id, text, turn, NULL,
+           CASE WHEN call_id IS NULL THEN 'open' ELSE 'repeated' END, 1, 0 FROM calls WHERE r > 1 OR call_id IS NULL
+    UNION ALL
+    SELECT result_id, false, NULL, NULL, NULL, NULL, NULL, NULL, content,
+           CASE WHEN result_id IS NULL THEN 'orphan' ELSE 'repeated' END, 0, 1 FROM answers WHERE r > 1 OR result_id IS NULL),
+checked AS (
+    SELECT *, CASE WHEN is_call THEN list_filter([
+               CASE WHEN text IS NULL THEN 'text: required' END,
+               CASE WHEN name = 'reply' AND turn IS NULL THEN 'turn: required' END,
+               CASE WHEN name = 'reply' AND length(text) < 1 THEN 'text: minLength'
+                    WHEN name = 'reply' AND length(text) > 400 THEN 'text: maxLength' END,
+               CASE WHEN name = 'reply' AND turn < 0 THEN 'turn: minimum' END], lambda x: x IS NOT NULL) END AS e
+    FROM joined)
 SELECT call_id, name, root_id, depth, status, array_to_string(e, '; ') AS errors, n_calls, n_results,
-       to_json(struct_pack(arguments := CASE WHEN name IS NOT NULL THEN struct_pack(text := text, turn := turn) END,
-                           depth := depth, errors := e, id := call_id, name := name, parent := parent_id,
-                           result := content, status := status))::VARCHAR AS json
-FROM joined
+       '{"arguments":' || CASE WHEN is_call THEN '{' || concat_ws(',', '"text":' || to_json(text), '"turn":' || to_json(turn)) || '}'
+                          ELSE 'null' END
+       || ',' || substr(to_json(struct_pack(depth := depth, errors := e, id := call_id, name := name, parent := parent_id,
+                                            result := content, status := status))::VARCHAR, 2) AS json
+FROM checked
 """
 
 
