@@ -80,8 +80,20 @@ class _Admin:
     def exists(self, name: str, schema: str | None = None) -> bool:
         return any(one.name == name for one in self._named(name, schema))
 
-    def whole_quotient(self, expression: str, divisor: int) -> str:
-        return f"FLOOR(({expression}) / {divisor})"
+    def remainder(self, expression: str, divisor: int) -> str:
+        return f"MOD({expression}, {divisor})"
+
+    def numbered(self, relation: str, columns: list[str]) -> str:
+        """The columns of a relation and ``cf_n``, the place of each row in their order; NULLs of the first are left out."""
+        names = ", ".join(columns)
+        return (f"SELECT {names}, ROW_NUMBER() OVER (ORDER BY {names}) AS cf_n FROM {relation} "
+                f"WHERE {columns[0]} IS NOT NULL")
+
+    def every_nth(self, relation: str, columns: list[str], step: int) -> str:
+        """A statement for the columns of every ``step``-th row but the first, sorted by them."""
+        names = ", ".join(columns)
+        return (f"SELECT {names} FROM ({self.numbered(relation, columns)}) cf_numbered "
+                f"WHERE {self.remainder('cf_n - 1', step)} = 0 AND cf_n > 1 ORDER BY {names}")
 
     def time_literal(self, value: dt.date) -> str:
         return f"TIMESTAMP '{value}'" if isinstance(value, dt.datetime) else f"DATE '{value}'"
@@ -90,9 +102,8 @@ class _Admin:
         """None for text that databases read in different ways."""
         return None if "\\" in value or "\0" in value else "'" + value.replace("'", "''") + "'"
 
-    def one_row_after(self, skipped: int) -> str:
-        """What ends a sorted query for one row, the first after ``skipped`` others."""
-        return f"LIMIT 1 OFFSET {skipped}"
+    def bytes_literal(self, value: bytes) -> str:
+        return f"X'{value.hex().upper()}'"
 
     def rename_sql(self, old: str, new: str, schema: str | None = None) -> str:
         return f"ALTER TABLE {self.path(schema, old)} RENAME TO {self.quote(new)}"
@@ -135,10 +146,22 @@ class _JdbcAdmin(_Admin):
         """The JDBC escape, which every driver puts into its own syntax."""
         return f"{{ts '{value}'}}" if isinstance(value, dt.datetime) else f"{{d '{value}'}}"
 
-    def one_row_after(self, skipped):
-        if self._target.startswith(("jdbc:mysql:", "jdbc:mariadb:", "jdbc:sqlite:")):
-            return super().one_row_after(skipped)
-        return f"OFFSET {skipped} ROWS FETCH NEXT 1 ROWS ONLY"
+    def bytes_literal(self, value):
+        if self._target.startswith("jdbc:postgresql:"):
+            return f"'\\x{value.hex()}'::bytea"
+        return f"0x{value.hex()}" if self._target.startswith("jdbc:sqlserver:") else super().bytes_literal(value)
+
+    def remainder(self, expression, divisor):
+        operator = self._target.startswith(("jdbc:sqlserver:", "jdbc:sqlite:"))
+        return f"({expression}) % {divisor}" if operator else super().remainder(expression, divisor)
+
+    def numbered(self, relation, columns):
+        """Derby numbers rows in the order of an inner query only."""
+        if not self._target.startswith("jdbc:derby:"):
+            return super().numbered(relation, columns)
+        names = ", ".join(columns)
+        return (f"SELECT {names}, ROW_NUMBER() OVER () AS cf_n FROM (SELECT {names} FROM {relation} "
+                f"WHERE {columns[0]} IS NOT NULL ORDER BY {names}) cf_sorted")
 
     def rename_sql(self, old, new, schema=None):
         if self._target.startswith("jdbc:derby:"):
@@ -247,6 +270,8 @@ def _python(cell):
     kind = cell.getClass().getName() if hasattr(cell, "getClass") else ""
     if kind == "java.sql.Timestamp":
         return dt.datetime.fromisoformat(cell.toString())
+    if kind == "java.util.UUID":
+        return cell.toString()
     return dt.date.fromisoformat(cell.toString()) if kind == "java.sql.Date" else cell
 
 
@@ -291,9 +316,15 @@ class _DbApiAdmin(_Admin):
                 "SELECT table_schema, table_name, table_type FROM information_schema.tables ORDER BY 1, 2")]
         return [Relation(schema, name, kind, self.path(schema, name)) for schema, name, kind in listed if kind in kinds]
 
-    def whole_quotient(self, expression, divisor):
-        """SQLite may lack FLOOR; it divides integers to an integer."""
-        return f"({expression}) / {divisor}" if self._session.is_sqlite else super().whole_quotient(expression, divisor)
+    def remainder(self, expression, divisor):
+        """SQLite may lack MOD."""
+        return f"({expression}) % {divisor}" if self._session.is_sqlite else super().remainder(expression, divisor)
+
+    def bytes_literal(self, value):
+        """DuckDB writes bytes as escapes in a text."""
+        if self._session.module.__name__ == "duckdb":
+            return "'" + "".join(f"\\x{byte:02X}" for byte in value) + "'::BLOB"
+        return super().bytes_literal(value)
 
     def time_literal(self, value):
         """SQLite keeps times as ISO text."""
@@ -313,10 +344,27 @@ class _DbApiAdmin(_Admin):
 
     def key_columns(self, relation: Relation) -> list[str]:
         if not self._session.is_sqlite:
-            return []
+            return self._declared_key(relation)
         rows = self._rows(f"PRAGMA table_info({self.quote(relation.name)})")
         return [row[1] for row in sorted(rows, key=lambda row: row[5]) if row[5]]
 
 
+    def _declared_key(self, relation: Relation) -> list[str]:
+        """The primary key by the information schema; none where the database has no such tables."""
+        def text(value: str) -> str:
+            return "'" + value.replace("'", "''") + "'"
+        where = f"c.table_name = {text(relation.name)} AND c.constraint_type = 'PRIMARY KEY'"
+        if relation.schema:
+            where += f" AND c.table_schema = {text(relation.schema)}"
+        try:
+            return [name for name, _ in self._rows(
+                "SELECT k.column_name, k.ordinal_position FROM information_schema.table_constraints c "
+                "JOIN information_schema.key_column_usage k ON k.constraint_name = c.constraint_name "
+                f"AND k.table_schema = c.table_schema AND k.table_name = c.table_name WHERE {where} ORDER BY 2")]
+        except Exception:
+            self._session.rollback()
+            return []
+
+
 def scratch_name(base: str) -> str:
     return f"{base}_cf_{uuid.uuid4().hex[:10]}"

@@ -26,7 +26,7 @@ def ext_attach(spark: SparkSession, *, connection=None, username: str = "", pass
     A name that is taken is an error unless ``overwrite``. ``tables_like`` keeps names that match a LIKE pattern
     (``%``, ``_``, escape ``\\``), or one of several. An object that cannot be attached is reported and the rest goes
     on. Partitions are ranges of the primary key, or of the column that ``partition_columns`` names for a table or
-    view. The views are temporary: their options, credentials included, are stored in no catalogue.
+    view; no rows are counted for them. The views are temporary: their options, credentials included, are stored in no catalogue.
     """
     check_flag("overwrite", overwrite)
     check_flag("all_varchar", all_varchar)
@@ -54,7 +54,8 @@ def ext_attach(spark: SparkSession, *, connection=None, username: str = "", pass
         try:
             frame = ext_scan(spark, table_name=one.name, schema_name=one.schema or None, connection=found,
                              timeout=timeout, read_only=read_only, all_varchar=all_varchar, encoding=encoding,
-                             num_partitions=num_partitions, partition_column=(partition_columns or {}).get(one.name))
+                             num_partitions=num_partitions, partition_column=(partition_columns or {}).get(one.name),
+                             count_rows=False)
             create = frame.createOrReplaceTempView if overwrite else frame.createTempView
             create(_quoted(prefix + one.name))
             report.append((prefix + one.name, one.kind, "attached", None))

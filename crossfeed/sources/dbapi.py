@@ -138,21 +138,32 @@ def describe(session: Session, relation: str) -> T.StructType:
     session.run(f"CREATE TEMP VIEW {view} AS SELECT * FROM {relation}")
     try:
         columns = session.cursor("SELECT name, type FROM pragma_table_info(?)", [view.strip('"')]).fetchall()
-        fields = []
-        for name, declared in columns:
-            if not declared:
-                kinds = dict(session.cursor(
-                    f"SELECT typeof({quoted(name)}), MAX(ABS({quoted(name)})) FROM {relation} "
-                    f"WHERE {quoted(name)} IS NOT NULL GROUP BY 1").fetchall())
-                declared = {("integer",): "bigint", ("real",): "double", ("blob",): "blob"}.get(tuple(sorted(kinds)), "text")
-                if set(kinds) == {"integer", "real"} and int(kinds["integer"]) <= 2**53:
-                    declared = "double"
-            fields.append(_field(name, declared))
+        computed = _computed_types(session, relation, [name for name, declared in columns if not declared])
+        fields = [_field(name, declared or computed[name]) for name, declared in columns]
     finally:
         session.run(f"DROP VIEW {view}")
     return T.StructType(fields)
 
 
+def _computed_types(session: Session, relation: str, names: list[str]) -> dict[str, str]:
+    """Types of computed columns by the kinds of their values; one pass for all of them."""
+    types = {}
+    for start in range(0, len(names), 300):  # a statement returns 2,000 columns at most
+        part = names[start:start + 300]
+        kinds = ("integer", "real", "blob", "text")
+        listing = ", ".join(
+            [f"MAX(typeof({quoted(name)}) = '{kind}')" for name in part for kind in kinds]
+            + [f"{end}(CASE WHEN typeof({quoted(name)}) = 'integer' THEN {quoted(name)} END)" for name in part for end in ("MIN", "MAX")])
+        found = session.cursor(f"SELECT {listing} FROM {relation}").fetchone()
+        for number, name in enumerate(part):
+            seen = {kind for kind, flag in zip(kinds, found[4 * number:]) if flag}
+            ends = found[4 * len(part) + 2 * number:][:2]
+            if seen == {"integer", "real"} and max(abs(end) for end in ends) <= 2**53:
+                seen = {"real"}
+            types[name] = {"integer": "bigint", "real": "double", "blob": "blob"}.get("".join(seen), "text")
+    return types
+
+
 def _describe_generic(session: Session, relation: str) -> T.StructType:
     """The types the driver names; failing that, by the PEP 249 type objects and the precision and scale it gives.
 

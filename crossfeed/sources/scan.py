@@ -28,16 +28,19 @@ def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=N
              partition_column: str | None = None, lower_bound=None, upper_bound=None,
              num_partitions: int | None = None, balanced: bool | None = None, tie_column: str | None = None,
              predicates: list[str] | None = None, condition: str | None = None, fetch_size: int = FETCH_SIZE,
-             query_timeout: int = 0) -> DataFrame:
+             query_timeout: int = 0, count_rows: bool = True) -> DataFrame:
     """One external table or view as a DataFrame; over JDBC only the columns and rows a query needs are read.
 
-    Without a ``partition_column`` the leading primary key column is used when it is a number, date, timestamp or text.
-    Text is cut where the database's own order puts even numbers of rows, whatever bounds are given.
+    Without a ``partition_column`` the leading primary key column is used. Numbers, dates and timestamps are cut in equal
+    steps between two bounds; keys of other kinds (text, bytes, UUIDs) where the database's own order puts even numbers of
+    rows, whatever bounds are given.
     Bounds that are not given come from one remote MIN/MAX. ``num_partitions=1`` reads through one connection, hence
-    one snapshot; several partitions see no common snapshot. ``balanced=True`` has the database count rows per key range, so that
-    skewed keys still make even partitions; a single hot key is cut along ``tie_column``. This is the default for a
+    one snapshot; several partitions see no common snapshot. ``balanced=True`` has the database make a histogram of the key, so that
+    skewed keys of any kind make even partitions; a single hot key is cut along ``tie_column``. This is the default for a
     primary key of several columns, whose leading column alone may be skewed. ``predicates`` are remote conditions,
     one partition each; they have to be disjoint and cover the table.
+    Without ``count_rows`` nothing is counted in the database: the number of partitions follows the span of a
+    whole-number key, else the cores.
     ``columns`` names the columns to read and ``condition`` is remote SQL that the rows have to meet; the DB-API source
     learns neither from the query.
     """
@@ -52,10 +55,10 @@ def ext_scan(spark: SparkSession, *, table_name: str | None = None, connection=N
         path = f"(SELECT * FROM {relation.path} WHERE {condition}\n) cf_scan" if condition else relation.path
         if predicates is None and num_partitions != 1:
             keys = admin.key_columns(relation)
-            if balanced is None and partition_column is None and len(keys) > 1:
+            if balanced is None and partition_column is None and len(keys) > 1 and count_rows:
                 balanced, tie_column = True, tie_column or keys[1]
             predicates = _cuts(spark, admin, path, keys, partition_column, lower_bound, upper_bound,
-                               num_partitions, bool(balanced), tie_column)
+                               num_partitions, bool(balanced), tie_column, count_rows)
     frame = _load(spark, found, path, columns, predicates, fetch_size, f"scan table '{table_name}'")
     return _finished(frame, all_varchar, encoding, text_columns)
 
@@ -116,47 +119,67 @@ def register_dbapi(spark: SparkSession) -> None:
 
 
 def _cuts(spark, admin, relation: str, keys: list[str], column, low, high, count, balanced,
-          tie_column) -> list[str] | None:
+          tie_column, counted: bool = True) -> list[str] | None:
     """Predicates for the partitions of a relation; None, hence one partition, where it has no key that can be cut.
 
-    A column the caller named has to be one that can be cut.
+    A column the caller named has to be one that can be cut. Without ``counted`` no rows are counted: the number of
+    partitions follows the span of a whole-number key, else the cores.
     """
     named = column is not None
-    if not named:
-        column = keys[0] if keys else None
+    column = column if named else keys[0] if keys else None
     if column is None:
-        if count is not None:
-            warnings.warn(f"{relation} has no key to partition by and is read through one connection; "
-                          "name a partition_column", stacklevel=3)
+        warnings.warn(f"{relation} has no key to partition by and is read through one connection; "
+                      "name a partition_column", stacklevel=3)
         return None
+    if balanced:
+        return _even_cuts(spark, admin, relation, column, count, tie_column, named)
     rows = None
-    if low is None or high is None or count is None:
-        least, most, rows = splits.key_bounds(admin, relation, column)
+    if low is None or high is None or (count is None and counted):
+        try:
+            least, most, rows = splits.key_bounds(admin, relation, column, counted and count is None)
+        except ExternalError:
+            # keys that the database can sort and yet has no smallest of, UUIDs for instance
+            return _even_cuts(spark, admin, relation, column, count, tie_column, named)
         low = least if low is None else low
         high = most if high is None else high
     if low is None or high is None:
         return None
     axis = splits.axis_of(low, high, admin.time_literal)
-    if axis is None and isinstance(low, str) and isinstance(high, str):
-        rows = splits.key_bounds(admin, relation, column)[2] if rows is None else rows
-        count = count or splits.partition_count(rows, spark.sparkContext.defaultParallelism)
-        return splits.text_predicates(admin, relation, column, count, rows, tie_column)
     if axis is None:
-        if not named:
-            warnings.warn(f"{relation} has a key that can't be cut and is read through one connection; give predicates",
-                          stacklevel=3)
-        if named:
-            raise ExternalError(f"Range partitions need a number, date, timestamp or text column, '{column}' is not")
-        return None
+        return _even_cuts(spark, admin, relation, column, count, tie_column, named)
     if count is None:
+        if rows is None:
+            rows = axis.high - axis.low + 1 if axis.is_integer else splits.FEWEST_ROWS * spark.sparkContext.defaultParallelism
         count = splits.partition_count(rows, spark.sparkContext.defaultParallelism)
-    if balanced and axis.is_integer and count > 1:
-        return splits.balanced_predicates(admin, relation, column, count, tie_column, axis)
-    if balanced and named and not axis.is_integer:
-        raise ExternalError(f"Balanced partitions need an integer column, '{column}' is not")
     return splits.range_predicates(admin.quote(column), axis, count)
 
 
+def _even_cuts(spark, admin, relation, column, count, tie_column, named) -> list[str] | None:
+    """Ranges of equal numbers of rows; for keys without bounds that could be cut in equal steps, too."""
+    try:
+        name = admin.quote(column)
+        rows = int(admin.rows(f"SELECT COUNT({name}) FROM {relation}", f"count the keys of '{column}'")[0][0])
+        count = count or splits.partition_count(rows, spark.sparkContext.defaultParallelism)
+        made = splits.balanced_predicates(admin, relation, column, count, tie_column, rows)
+    except ExternalError as cause:
+        if named:
+            raise ExternalError(f"Partitions need a column that the database can sort, '{column}' is not: {cause}") from cause
+        made = ["1 = 1"]
+    if made == ["1 = 1"] and count > 1 and rows > 1:
+        if named and not _has_literal(admin, relation, column):
+            raise ExternalError(f"Partitions need a number, date, timestamp, text or bytes column, '{column}' is not")
+        warnings.warn(f"{relation} has a key that can't be cut and is read through one connection; give predicates", stacklevel=4)
+        return None
+    return made
+
+
+def _has_literal(admin, relation, column) -> bool:
+    """Whether keys of a column can be written into a statement. Text counts, although some texts make no cut."""
+    name = admin.quote(column)
+    least = admin.rows(f"SELECT MIN({name}) FROM {relation}", f"look at '{column}'")[0][0]
+    return isinstance(least, str) or splits.literal(admin, least) is not None
+
+
 def _load(spark, found: Connection, relation: str, columns, predicates, fetch_size, operation) -> DataFrame:
     try:
         if found.kind == "jdbc":

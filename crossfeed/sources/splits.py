@@ -1,16 +1,22 @@
 """How a remote table is cut into Spark partitions.
 
 Every cut is a list of predicates that are disjoint and together cover every row, NULL keys included, so the union
-of the partitions is the whole table whatever the bounds are.
+of the partitions is the whole table whatever the bounds are. All ranges are half open: one ends where the next begins,
+so no key lies between two of them, whatever its type.
+
+Ranges are equal steps between two bounds, or hold equal numbers of rows by a histogram that the database makes of the
+key: one statement, which goes once through the key's index and returns a cut per partition.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import math
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
+from itertools import groupby
 
 from crossfeed.errors import ExternalError
 
@@ -18,8 +24,9 @@ from crossfeed.errors import ExternalError
 ROWS_PER_PARTITION, FEWEST_ROWS = 500_000, 10_000
 #: Steps between two bounds that are no whole numbers.
 FLOAT_STEPS = 1 << 40
-BUCKETS_PER_PARTITION = 8
-MAX_DEPTH = 24
+
+#: A cut behind all rows of a key.
+AFTER = object()
 
 _EPOCH = dt.datetime(1970, 1, 1)
 _MICROSECOND = dt.timedelta(microseconds=1)
@@ -28,7 +35,10 @@ _DAY = dt.timedelta(days=1)
 
 @dataclass(frozen=True)
 class Axis:
-    """Keys as whole numbers between two bounds, and the SQL literal of any number between them."""
+    """Keys as whole numbers between two bounds, and the SQL literal of any number between them.
+
+    ``is_integer`` tells whether the bounds are integers of Python; keys of such a column can still be other numbers.
+    """
 
     low: int
     high: int
@@ -36,17 +46,20 @@ class Axis:
     is_integer: bool
 
 
-def key_bounds(admin, relation: str, column: str) -> tuple:
-    """Smallest and largest key and the number of rows, by one remote aggregate."""
+def key_bounds(admin, relation: str, column: str, counted: bool = True) -> tuple:
+    """Smallest and largest key and the number of rows, by one remote aggregate; two look-ups in an index if not counted."""
     name = admin.quote(column)
-    return admin.rows(f"SELECT MIN({name}), MAX({name}), COUNT(*) FROM {relation}", f"find the bounds of '{column}'")[0]
+    counting = ", COUNT(*)" if counted else ""
+    found = admin.rows(f"SELECT MIN({name}), MAX({name}){counting} FROM {relation}", f"find the bounds of '{column}'")[0]
+    return (*found, None)[:3]
 
 
 def axis_of(low, high, time_literal: Callable[[dt.date], str]) -> Axis | None:
     """The axis of two bounds that are numbers, dates or timestamps; None for any other key, text for instance."""
+    whole = isinstance(low, int) and isinstance(high, int)
     low, high = _known(low), _known(high)
     if isinstance(low, int) and isinstance(high, int):
-        return Axis(low, high, str, True)
+        return Axis(low, high, str, whole)
     if isinstance(low, (int, float)) and isinstance(high, (int, float)):
         return _float_axis(float(low), float(high)) if math.isfinite(high - low) else None
     if low is None or type(low) is not type(high):
@@ -98,130 +111,79 @@ def range_predicates(column: str, axis: Axis, count: int) -> list[str]:
 
 
 def balanced_predicates(admin, relation: str, column: str, count: int, tie_column: str | None = None,
-                        bounds: Axis | None = None) -> list[str]:
-    """Ranges of an integer key with about the same number of rows each, also when the keys are skewed.
+                        rows: int | None = None) -> list[str]:
+    """Ranges of a key with about the same number of rows each, however the keys are spread and whatever their type.
 
-    The database counts rows per equal-width bucket, a few buckets per partition, and only buckets with too many
-    rows are counted again in finer steps. A single key with too many rows is cut by ``tie_column``. The driver sees
-    bucket counts alone; their number depends on ``count``, not on the table.
+    The database numbers the rows in the order of the key and returns every n-th key, ``count - 1`` at most. It sorts
+    and compares the cuts itself, so they hold under any collation. A key that several cuts fall on is hot: its rows are
+    one range, or several along ``tie_column``, whose NULLs come first. NULL keys join the first range. ``rows`` saves
+    the counting where the number is known.
     """
     if count < 1:
         raise ExternalError("Parameter 'num_partitions' must be at least 1")
     name = admin.quote(column)
-    if bounds is None:
-        low, high, _ = key_bounds(admin, relation, column)
-        if low is None:
-            return ["1 = 1"]
-        bounds = axis_of(low, high, admin.time_literal)
-    if bounds is None or not bounds.is_integer:
-        raise ExternalError(f"Balanced partitions need an integer column, '{column}' is not")
-    counted = _bucket_counts(admin, relation, name, bounds.low, bounds.high, "", count)
-    target = max(1, -(-sum(counted.values()) // count))
-    pieces = _refine(admin, relation, name, bounds.low, bounds.high, "", target, count, 0, counted)
-    predicates, start, held = [], None, 0
-    for low, high, rows in pieces:
-        if low == high and rows > 2 * target and tie_column:
-            if start is not None:
-                predicates.append(f"{name} >= {start} AND {name} < {low}")
-            predicates += _tied(admin, relation, f"{name} = {low}", tie_column, target, count)
-            start, held = None, 0
-            continue
-        if start is None:
-            start = low
-        held += rows
-        if held >= target:
-            predicates.append(f"{name} >= {start} AND {name} <= {high}")
-            start, held = None, 0
-    if start is not None:
-        predicates.append(f"{name} >= {start} AND {name} <= {bounds.high}")
-    # Everything outside the counted range: NULL keys, and keys written since the counting.
-    return predicates + [f"{name} IS NULL OR {name} < {bounds.low} OR {name} > {bounds.high}"]
-
-
-def text_predicates(admin, relation: str, column: str, count: int, rows: int, tie_column: str | None = None) -> list[str]:
-    """Ranges of a text key with about the same number of rows each, in the database's own order.
-
-    Every cut is the key ``rows / count`` rows after the cut before it, so over an index the database passes the key
-    once. A key that fills more than a range is one of its own, cut by ``tie_column`` if there is one. The database
-    makes and compares the cuts, so they hold under any collation; NULL keys join the first range.
+    if rows is None:
+        rows = int(admin.rows(f"SELECT COUNT({name}) FROM {relation}", f"count the keys of '{column}'")[0][0])
+    names = [name] + ([admin.quote(tie_column)] if tie_column and tie_column != column else [])
+    step = max(1, -(-int(rows) // count))
+    if step >= rows:
+        return ["1 = 1"]
+    found = admin.rows(admin.every_nth(relation, names, step), f"find cuts of '{column}'")
+    return _between(names, _cuts_of(admin, found))
+
+
+def _cuts_of(admin, found: list[tuple]) -> list[tuple[str, object]]:
+    """Places of cuts in the database's order: (key, None) before all rows of a key, (key, ``AFTER``) behind them, or
+    (key, tie) inside a hot one. Keys and ties that have no literal make no cut; the ranges beside it are one.
     """
-    name, step = admin.quote(column), max(1, -(-rows // max(1, count)))
-    predicates, opened, last, skipped = [], "", "", 0
-    for _ in range(count - 1):
-        since = f"{name} >= {last}" if last else f"{name} IS NOT NULL"
-        found = admin.rows(f"SELECT {name} FROM {relation} WHERE {since} ORDER BY {name} "
-                           f"{admin.one_row_after(step * (1 + skipped))}", f"find cuts of '{column}'")
-        if not found:
-            break
-        cut = admin.text_literal(found[0][0])
-        if cut is None:
-            skipped += 1
-            continue
-        skipped = 0
-        if cut != last:
-            predicates.append(f"{opened} AND {name} < {cut}" if opened else f"{name} < {cut} OR {name} IS NULL")
-            opened = f"{name} >= {cut}"
-        else:
-            if opened != f"{name} >= {last}":
-                predicates.append(f"{opened} AND {name} < {last}")
-            only = f"{name} = {last}"
-            predicates += _tied(admin, relation, only, tie_column, step, count) if tie_column else [only]
-            opened = f"{name} > {last}"
-            after = admin.rows(f"SELECT MIN({name}) FROM {relation} WHERE {opened}", f"find cuts of '{column}'")[0][0]
-            cut = admin.text_literal(after) if after is not None else None
-            if cut is None:
-                break
-        last = cut
-    return [*predicates, opened] if opened else ["1 = 1"]
-
-
-def _bucket_width(low: int, high: int, count: int) -> int:
-    span = high - low + 1
-    return -(-span // min(span, count * BUCKETS_PER_PARTITION))
-
-
-def _bucket_counts(admin, relation, name, low, high, also, count) -> dict[int, int]:
-    """Rows per equal range of ``low..high``; ``also`` narrows the rows. One pass in the database."""
-    bucket = admin.whole_quotient(f"{name} - ({low})", _bucket_width(low, high, count))
-    rows = admin.rows(f"SELECT b, COUNT(*) FROM (SELECT {bucket} AS b FROM {relation} "
-                      f"WHERE {name} >= {low} AND {name} <= {high}{also}) counted GROUP BY b",
-                      "count rows per key range")
-    return {int(place): int(number) for place, number in rows}
-
-
-def _refine(admin, relation, name, low, high, also, target, count, depth, counts=None):
-    """(low, high, rows) pieces in key order that cover ``low..high`` without gaps."""
-    width = _bucket_width(low, high, count)
-    if counts is None:
-        counts = _bucket_counts(admin, relation, name, low, high, also, count)
-    pieces = []
-    for bucket in range(-(-(high - low + 1) // width)):
-        left = low + bucket * width
-        right = min(left + width - 1, high)
-        held = counts.get(bucket, 0)
-        if held > 2 * target and right > left and depth < MAX_DEPTH:
-            pieces += _refine(admin, relation, name, left, right, also, target, count, depth + 1)
-        else:
-            pieces.append((left, right, held))
-    return pieces
-
-
-def _tied(admin, relation, only, tie_column, target, count):
-    """One hot key, which the condition ``only`` picks, cut along a second integer column; its NULLs are a piece of
-    their own."""
-    tie = admin.quote(tie_column)
-    axis = axis_of(*admin.rows(f"SELECT MIN({tie}), MAX({tie}) FROM {relation} WHERE {only}")[0], admin.time_literal)
-    if axis is None or not axis.is_integer or axis.low == axis.high:
-        return [only]
-    low, high = axis.low, axis.high
-    pieces = _refine(admin, relation, tie, low, high, f" AND {only}", target, count, 0)
-    made, start, held = [], None, 0
-    for left, right, number in pieces:
-        start = left if start is None else start
-        held += number
-        if held >= target:
-            made.append(f"{only} AND {tie} >= {start} AND {tie} <= {right}")
-            start, held = None, 0
-    if start is not None:
-        made.append(f"{only} AND {tie} >= {start} AND {tie} <= {high}")
-    return made + [f"{only} AND ({tie} IS NULL OR {tie} < {low} OR {tie} > {high})"]
+    known = [(text, *tie) for key, *tie in found if (text := literal(admin, key)) is not None]
+    cuts: list[tuple[str, object]] = []
+    for key, group in groupby(known, lambda row: row[0]):
+        rows = list(group)
+        cuts.append((key, None))
+        if len(rows) > 1:
+            ties = dict.fromkeys(literal(admin, tie[0]) for _, *tie in rows if tie)
+            cuts += [(key, tie) for tie in ties if tie is not None] or [(key, AFTER)]
+    return cuts
+
+
+def _between(names: list[str], cuts: list[tuple[str, object]]) -> list[str]:
+    """The predicates of the ranges before, between and after cuts."""
+    if not cuts:
+        return ["1 = 1"]
+    key, tie = names[0], names[-1]
+
+    def from_(cut):
+        value, mark = cut
+        if mark is AFTER:
+            return f"{key} > {value}"
+        return f"{key} >= {value}" if mark is None else f"{key} >= {value} AND ({key} > {value} OR {tie} >= {mark})"
+
+    def before(cut):
+        value, mark = cut
+        if mark is AFTER:
+            return f"{key} <= {value}"
+        return (f"{key} < {value}" if mark is None
+                else f"{key} <= {value} AND ({key} < {value} OR {tie} < {mark} OR {tie} IS NULL)")
+
+    return [f"({before(cuts[0])}) OR {key} IS NULL",
+            *[f"{from_(left)} AND {before(right)}" for left, right in zip(cuts, cuts[1:])], from_(cuts[-1])]
+
+
+def literal(admin, value) -> str | None:
+    """The SQL literal of a key as the database returned it; None for a kind that has none."""
+    if isinstance(value, bool) or value is None:
+        return None
+    if isinstance(value, int):
+        return str(value)
+    if isinstance(value, Decimal):
+        return f"{value:f}" if value.is_finite() else None
+    if isinstance(value, float):
+        return repr(value) if math.isfinite(value) else None
+    if isinstance(value, dt.date):
+        return admin.time_literal(value)
+    if isinstance(value, (bytes, bytearray, memoryview)):
+        return admin.bytes_literal(bytes(value))
+    if isinstance(value, uuid.UUID):
+        return f"'{value}'"
+    return admin.text_literal(value) if isinstance(value, str) else None
