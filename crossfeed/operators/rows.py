@@ -6,11 +6,17 @@ Global positions never sort the whole input in one task. Rows are range-partitio
 value of the first column is cut by the following ones; each partition numbers its own rows, and one row per
 partition carries the offsets. The numbered rows are checkpointed, because sampled range bounds may differ when they
 are computed again.
+
+Single positions need no numbering: the key at a position is found by counting the rows below a few sampled keys, again
+and again in the range that holds the position. Only counts and keys come to the driver, nothing is shuffled, and what
+is left for a sort is ``SORTED_ROWS`` keys at most. Such passes read the frame several times, so it has to give the same
+rows each time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
@@ -23,8 +29,10 @@ from crossfeed.operators.checkpoints import checkpointed
 
 _PART, _PLACE = "cf_part", "cf_place"
 _PART_BITS = 33
-#: Rows that each task may keep while the first ones are sought.
-KEPT_PER_TASK = 100_000
+#: Rows that all tasks together may keep while the first ones are sought.
+KEPT_ROWS = 100_000
+#: Keys that a pass counts the rows below of, how many are sampled to choose them from, and how many rows are sorted.
+PIVOTS, SAMPLED_KEYS, SORTED_ROWS = 48, 1_000, 20_000
 
 
 def first_row(frame: DataFrame, order: list[str]) -> DataFrame:
@@ -57,40 +65,155 @@ def with_position(frame: DataFrame, order: list[str], name: str = "position",
             .drop(_PART, _PLACE, "cf_before"))
 
 
-def row_at(frame: DataFrame, order: list[str], position: int, num_partitions: int | None = None) -> DataFrame:
-    """The row at a one-based position, with that position.
+def row_at(frame: DataFrame, order: list[str], position: int) -> DataFrame:
+    """The row at a one-based position, with that position; rows that the order does not tell apart go by their content.
 
-    A row near the start is found without a shuffle of all. For another one only the order columns and a hash of the
-    row are sorted; the row itself is found by them, as they are broadcast.
+    A few counting passes over the order columns find its key; the frame returned is a filter on that key. No row if the
+    position is not in the frame.
     """
-    if 1 <= position <= KEPT_PER_TASK:
-        return skip_rows(frame, order, position - 1, 1).withColumn("position", F.lit(position).cast("bigint"))
-    keys = frame.select(*[column_of(name).alias(f"cf_key_{n}") for n, name in enumerate(order)],
-                        _row_hash(frame).alias("cf_hash"))
-    placed = with_position(keys, [f"cf_key_{n}" for n in range(len(order))], "position", num_partitions)
-    wanted = placed.filter(F.col("position") == position)
-    same = reduce(lambda a, b: a & b, [column_of(name).eqNullSafe(F.col(f"cf_key_{n}"))
-                                       for n, name in enumerate(order)], _row_hash(frame) == F.col("cf_hash"))
-    return (frame.join(F.broadcast(wanted), same).drop(*[f"cf_key_{n}" for n in range(len(order))], "cf_hash")
-            .limit(1))
+    placed = F.lit(position).cast("bigint").alias("position")
+    if 1 <= position and _is_kept(frame, position):
+        return _first_rows(frame, order, position - 1, 1).select("*", placed)
+    found = _place(frame, order, position)
+    if found is None:
+        return frame.filter(F.lit(False)).select("*", placed)
+    return frame.filter(found.compared(frame, "==")).limit(1).select("*", placed)
 
 
-def _row_hash(frame: DataFrame) -> Column:
-    return F.xxhash64(*[column_of(name) for name in frame.columns])
+def skip_rows(frame: DataFrame, order: list[str], skip: int, take: int | None = None) -> DataFrame:
+    """Rows after the first ``skip``, at most ``take`` of them, in no order.
+
+    The keys at both ends are found by counting; the frame returned is a filter between them. Only of rows that are equal
+    in every column and lie across an end some are numbered.
+    """
+    skip = max(skip, 0)
+    if take is not None and take <= 0:
+        return frame.filter(F.lit(False))
+    if take is not None and _is_kept(frame, skip + take):
+        return _first_rows(frame, order, skip, take)
+    first = _place(frame, order, skip + 1) if skip else None
+    if skip and first is None:
+        return frame.filter(F.lit(False))
+    last = _place(frame, order, skip + take) if take is not None else None
+    if first is not None and last is not None and first.values == last.values:
+        return _some(frame.filter(first.compared(frame, "==")), take)
+    parts, inside = [], F.lit(True)
+    for end, strict, wide, kept in ((first, ">", ">=", lambda: first.before + first.ties - skip),
+                                    (last, "<", "<=", lambda: skip + take - last.before)):
+        if end is None:
+            continue
+        if kept() == end.ties:
+            inside = inside & end.compared(frame, wide)
+        else:
+            inside = inside & end.compared(frame, strict)
+            parts.append(_some(frame.filter(end.compared(frame, "==")), kept()))
+    return reduce(DataFrame.unionByName, parts, frame.filter(inside))
+
+
+def _is_kept(frame: DataFrame, rows: int) -> bool:
+    """Whether every task may keep so many rows; a top-k then needs no pass to find its ends."""
+    return rows <= KEPT_ROWS and rows * frame.rdd.getNumPartitions() <= KEPT_ROWS
+
+
+def _first_rows(frame: DataFrame, order: list[str], skip: int, take: int) -> DataFrame:
+    return frame.orderBy(*[column_of(name) for name in order], _row_hash(frame)).offset(skip).limit(take)
+
+
+def _some(rows: DataFrame, count: int) -> DataFrame:
+    """So many of rows that are all alike, each partition giving its share."""
+    row_id = F.monotonically_increasing_id()
+    numbered = checkpointed(rows.withColumn("cf_id", row_id).withColumn(_PART, F.shiftright("cf_id", _PART_BITS))
+                            .withColumn(_PLACE, F.col("cf_id").bitwiseAND(F.lit((1 << _PART_BITS) - 1))).drop("cf_id"))
+    return (numbered.join(F.broadcast(_offsets(numbered)), _PART).filter(F.col("cf_before") + F.col(_PLACE) < count)
+            .drop(_PART, _PLACE, "cf_before"))
 
 
-def skip_rows(frame: DataFrame, order: list[str], skip: int, take: int | None = None,
-              num_partitions: int | None = None) -> DataFrame:
-    """Rows after the first ``skip``, at most ``take`` of them.
+@dataclass(frozen=True)
+class _Place:
+    """The key at a position: values of the order columns and, where these are not unique there, of the row's hash."""
+
+    order: tuple[str, ...]
+    values: tuple
+    kinds: tuple[T.DataType, ...]
+    before: int
+    ties: int
+
+    def compared(self, frame: DataFrame, how: str) -> Column:
+        """Whether rows of the frame are before, at or behind the key."""
+        return _compared(_keys(frame, self.order, len(self.values) > len(self.order)), self.kinds, self.values, how)
+
+
+def _keys(frame: DataFrame, order: tuple[str, ...], hashed: bool) -> list[Column]:
+    """Order columns whose values can go through the driver: instants as microseconds, dates as days."""
+    whole = {T.TimestampType: F.unix_micros, T.DateType: F.unix_date}
+    keys = [whole.get(type(frame.schema[name].dataType), lambda key: key)(column_of(name)) for name in order]
+    return keys + ([_row_hash(frame)] if hashed else [])
+
+
+def _compared(keys: list[Column], kinds, values: tuple, how: str) -> Column:
+    """Keys against values, NULL lowest, as the sort has it."""
+    names = [f"cf_key_{n}" for n in range(len(keys))]
+    left = F.struct(*[key.alias(name) for key, name in zip(keys, names)])
+    right = F.struct(*[F.lit(value).cast(kind).alias(name) for value, kind, name in zip(values, kinds, names)])
+    return {"<": left < right, "<=": left <= right, ">": left > right, ">=": left >= right, "==": left == right}[how]
+
+
+def _place(frame: DataFrame, order: list[str], position: int) -> _Place | None:
+    """The key at a position, first by the order columns alone, then, among equal ones, by the hash of the rows."""
+    order = tuple(order)
+    found = _selected(frame, _keys(frame, order, False), position)
+    if found is None:
+        return None
+    values, before, ties, kinds = found
+    if ties > 1:
+        alike = frame.filter(_Place(order, values, kinds, before, ties).compared(frame, "=="))
+        (mark,), more, ties, (kind,) = _selected(alike, [_row_hash(frame)], position - before)
+        values, kinds, before = (*values, mark), (*kinds, kind), before + more
+    return _Place(order, values, kinds, before, ties)
+
+
+def _selected(frame: DataFrame, keys: list[Column], position: int) -> tuple[tuple, int, int, tuple] | None:
+    """(values, rows before, rows equal, types) of the key at a position; None outside the frame."""
+    names = [f"cf_key_{n}" for n in range(len(keys))]
+    inside = frame.select(*[key.alias(name) for key, name in zip(keys, names)])
+    kinds = tuple(field.dataType for field in inside.schema)
+    columns = [F.col(name) for name in names]
+    before, rows, seed = 0, inside.count(), 0
+    if not 1 <= position <= rows:
+        return None
+
+    def counted(values: tuple, how: str) -> Column:
+        return F.count_if(_compared(columns, kinds, values, how))
+
+    while rows > SORTED_ROWS:
+        seed += 1
+        drawn = inside.sample(fraction=min(1.0, SAMPLED_KEYS / rows), seed=seed).orderBy(*columns).collect()
+        drawn = drawn or inside.limit(1).collect()
+        step = max(1, len(drawn) // PIVOTS)
+        pivots = list(dict.fromkeys(tuple(row) for row in drawn[step // 2::step]))
+        sides = [counted(pivot, how) for pivot in pivots for how in ("<", "<=")]
+        # two numbers per pivot
+        counts = inside.agg(*[side.alias(f"n{n}") for n, side in enumerate(sides)]).first()
+        low, high, below, upto = None, None, 0, rows
+        for number, pivot in enumerate(pivots):
+            less, most = counts[2 * number], counts[2 * number + 1]
+            if before + less < position <= before + most:
+                return pivot, before + less, most - less, kinds
+            if before + most < position and most >= below:
+                low, below = pivot, most
+            elif position <= before + less and less < upto:
+                high, upto = pivot, less
+        for pivot, how in ((low, ">"), (high, "<")):
+            if pivot is not None:
+                inside = inside.filter(_compared(columns, kinds, pivot, how))
+        before, rows = before + below, upto - below
+    row = tuple(inside.orderBy(*columns).offset(position - before - 1).limit(1).first())
+    less, same = inside.agg(counted(row, "<").alias("less"), counted(row, "==").alias("same")).first()
+    return row, before + less, same, kinds
 
-    A few rows after a few others are found without a shuffle of all: every task keeps its first ``skip + take``.
-    """
-    if take is not None and skip + take <= KEPT_PER_TASK:
-        return frame.orderBy(*[column_of(name) for name in order], _row_hash(frame)).offset(skip).limit(take)
-    placed = with_position(frame, order, "cf_position", num_partitions).filter(F.col("cf_position") > skip)
-    if take is not None:
-        placed = placed.filter(F.col("cf_position") <= skip + take)
-    return placed.drop("cf_position")
+
+def _row_hash(frame: DataFrame) -> Column:
+    return F.xxhash64(*[column_of(name) for name in frame.columns])
 
 
 def prior_row(frame: DataFrame, order: list[str], columns: list[str], prefix: str = "prior_",

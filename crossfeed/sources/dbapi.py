@@ -64,7 +64,9 @@ class Session:
                 self.raw = self.module.connect(f"file:{quote(database)}?mode={mode}", uri=True, timeout=wait,
                                                isolation_level=None)
         else:
-            arguments = {key.split(".", 1)[1]: value for key, value in options.items() if key.startswith("connect.")}
+            # true and false are flags to a driver
+            arguments = {key.split(".", 1)[1]: {"true": True, "false": False}.get(value.lower(), value)
+                         for key, value in options.items() if key.startswith("connect.")}
             if options.get("login_timeout_property"):
                 arguments[options["login_timeout_property"]] = int(options["timeout"])
             elif int(options.get("timeout", DEFAULT_TIMEOUT)) != DEFAULT_TIMEOUT:

@@ -140,10 +140,11 @@ def _cuts_of(admin, found: list[tuple]) -> list[tuple[str, object]]:
     cuts: list[tuple[str, object]] = []
     for key, group in groupby(known, lambda row: row[0]):
         rows = list(group)
-        cuts.append((key, None))
-        if len(rows) > 1:
-            ties = dict.fromkeys(literal(admin, tie[0]) for _, *tie in rows if tie)
-            cuts += [(key, tie) for tie in ties if tie is not None] or [(key, AFTER)]
+        if len(rows[0]) == 1:
+            cuts += [(key, None)] + [(key, AFTER)] * (len(rows) > 1)
+            continue
+        ties = dict.fromkeys(literal(admin, tie) for _, tie in rows)
+        cuts += [(key, None)] * (None in ties) + [(key, tie) for tie in ties if tie is not None]
     return cuts
 
 

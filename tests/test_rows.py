@@ -145,7 +145,7 @@ def test_positions_beyond_what_tasks_keep(spark, monkeypatch):
     """Deep positions take the range-partitioned way and give the same rows."""
     frame = spark.range(0, 3000, 1, 6).select((F.col("id") * 7919 % 3001).alias("k"), F.col("id").cast("string").alias("s"))
     near = (rows.row_at(frame, ["k"], 700).first(), rows.skip_rows(frame, ["k"], 700, 3).collect())
-    monkeypatch.setattr(rows, "KEPT_PER_TASK", 0)
+    monkeypatch.setattr(rows, "KEPT_ROWS", 0)
     assert (rows.row_at(frame, ["k"], 700).first(), rows.skip_rows(frame, ["k"], 700, 3).collect()) == near
 
 
