@@ -81,7 +81,7 @@ def row_at(frame: DataFrame, order: list[str], position: int) -> DataFrame:
 
 
 def skip_rows(frame: DataFrame, order: list[str], skip: int, take: int | None = None) -> DataFrame:
-    """Rows after the first ``skip``, at most ``take`` of them, in no order.
+    """Rows after the first ``skip``, at most ``take`` of them. Up to ``SORTED_ROWS`` taken are sorted, more are in no order.
 
     The keys at both ends are found by counting; the frame returned is a filter between them. Only of rows that are equal
     in every column and lie across an end some are numbered.
@@ -107,7 +107,10 @@ def skip_rows(frame: DataFrame, order: list[str], skip: int, take: int | None =
         else:
             inside = inside & end.compared(frame, strict)
             parts.append(_some(frame.filter(end.compared(frame, "==")), kept()))
-    return reduce(DataFrame.unionByName, parts, frame.filter(inside))
+    found = reduce(DataFrame.unionByName, parts, frame.filter(inside))
+    if take is None or take > SORTED_ROWS:
+        return found
+    return found.orderBy(*[column_of(name) for name in order], _row_hash(found))
 
 
 def _is_kept(frame: DataFrame, rows: int) -> bool:
