@@ -15,10 +15,14 @@ Rows that agree in rank have the same id and text; the one that does not fit is
 
 from __future__ import annotations
 
+import itertools
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crossfeed.llm.common import measured, settled, word_count
+from crossfeed.llm.common import measured, removed, settled, word_count
+from crossfeed.operators.checkpoints import shared_folder
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -108,19 +112,34 @@ def first_not_fitting(rows: DataFrame) -> DataFrame:
     return cut.select("cut_source", F.struct(*[F.col(f"cut_{name}").alias(name) for name in (*alike, "row")]).alias("cut"))
 
 
-def _taken_up_to(rows: DataFrame, candidates: DataFrame, limit: DataFrame | None = None) -> DataFrame:
-    """``rows`` with ``picked`` also where a row is a candidate and comes before the first that does not fit.
+def _with_picked(rows: DataFrame, passes: DataFrame) -> DataFrame:
+    """``rows`` with ``picked``: whether one of the passes of their source takes them.
 
-    ``limit`` (limit_source, most) has the largest size of a candidate per source; without it all rows are candidates.
+    A pass takes the rows of at most ``most`` words, or all rows where that is NULL, that come before its ``cut``, or all
+    of them where that is NULL.
     """
-    cut = measured(settled(first_not_fitting(candidates)))
-    joined = rows.join(cut, rows["source"].eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
+    joined = rows.join(measured(passes), rows["source"].eqNullSafe(F.col("pass_source")))
     order = F.struct("rank", "id_null", "doc_id", "size", "row")
-    fits = F.col("rank").isNotNull() & (F.col("cut").isNull() | (order < F.col("cut")))
-    if limit is not None:
-        joined = joined.join(limit, joined["source"].eqNullSafe(F.col("limit_source")), "left").drop("limit_source")
-        fits = fits & (F.col("size") > 0) & F.coalesce(F.col("size") <= F.col("most"), F.lit(False))
-    return settled(joined.withColumn("picked", F.col("picked") | fits).drop("cut", "most"))
+    size = F.col("size")
+    taken = F.exists("passes", lambda one: ((one["most"].isNull() | ((size > 0) & (size <= one["most"])))
+                                            & (one["cut"].isNull() | (order < one["cut"]))))
+    return joined.withColumn("picked", F.col("rank").isNotNull() & taken).drop("pass_source", "passes")
+
+
+def _one_more(passes: DataFrame, most: Column, candidates: DataFrame, path: str) -> DataFrame:
+    """``passes`` (pass_source, passes if there are any yet, and what ``most`` needs) with the pass that takes the
+    candidates up to the first that does not fit.
+
+    The passes are kept apart from the rows, one line per source, as a table under ``path``: the rows are written once,
+    and neither plans nor Spark's estimates of sizes, which a checkpoint keeps and joins multiply, grow by passes.
+    """
+    cut = measured(settled(first_not_fitting(candidates)))
+    joined = passes.join(cut, passes["pass_source"].eqNullSafe(F.col("cut_source")), "left")
+    step = F.struct(most.cast("double").alias("most"), F.col("cut").alias("cut"))
+    steps = F.concat("passes", F.array(step)) if "passes" in passes.columns else F.array(step)
+    made = joined.select("pass_source", steps.alias("passes"))
+    made.write.parquet(path)
+    return made.sparkSession.read.schema(made.schema).parquet(path)
 
 
 def _missing(rows: DataFrame) -> DataFrame:
@@ -163,18 +182,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = (rows.join(certain, rows["source"].eqNullSafe(F.col("sure_source")))
             .withColumn("room", F.col("target") - F.col("sure")).drop("sure_source", "sure"))
 
-    rows = settled(rows.withColumn("picked", F.lit(False)))
-    rows = _taken_up_to(rows, rows.filter("rank IS NOT NULL")).drop("room")
-    while True:
-        missing = _missing(rows)
+    rows = settled(rows)
+    none = targets.select(F.col("target_source").alias("pass_source"))
+    folder = f"{shared_folder(docs.sparkSession)}/mix-{uuid.uuid4().hex}"
+    passes = _one_more(none, F.lit(None), rows.filter("rank IS NOT NULL"), f"{folder}/0")
+    rows = rows.drop("room")
+    for number in itertools.count(1):
+        current = _with_picked(rows, passes)
+        missing = _missing(current)
         half = missing.select(F.col("missing_source").alias("limit_source"), (F.col("missing") / 2).alias("most"),
                               F.col("missing").alias("room"))
-        small = rows.filter("NOT picked AND rank IS NOT NULL AND size > 0")
-        small = (small.join(F.broadcast(half), small["source"].eqNullSafe(F.col("limit_source")))
+        small = current.filter("NOT picked AND rank IS NOT NULL AND size > 0")
+        small = (small.join(measured(half), small["source"].eqNullSafe(F.col("limit_source")))
                  .filter(F.col("size") <= F.col("most")).drop("limit_source", "most"))
         if small.isEmpty():
             break
-        rows = _taken_up_to(rows, small, half.drop("room"))
+        limits = passes.join(measured(half), passes["pass_source"].eqNullSafe(F.col("limit_source")))
+        passes = _one_more(limits, F.col("most"), small, f"{folder}/{number}")
+    rows = settled(current)
+    removed(docs.sparkSession, folder)
     picked = _top_up(rows, missing)
     copies = F.col("certain") + F.col("picked").cast("long")
     return picked.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
