@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from crossfeed.admin import scratch_name
 from crossfeed.errors import ExternalError
-from crossfeed.fixtures import read_parquet, target
+from crossfeed.fixtures import read_parquet, source, target
 from crossfeed.operators.relations import join_relation_parameter
 from crossfeed.plans.registry import query
 from crossfeed.plans.scans import scan
 from crossfeed.sinks.load import ext_exec, ext_load, text_widths
+from crossfeed.sources.lookup import ext_lookup
 from crossfeed.sources.scan import ext_query, ext_scan
 
 
@@ -147,3 +148,13 @@ def relation_param_join(spark, sf_dir):
     prices = read_parquet(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
     lines = scan(spark, sf_dir, "lineitem", ["l_partkey", "l_orderkey", "l_quantity"])
     return join_relation_parameter(lines, prices, ["l_partkey"])
+
+
+@query("relation_lookup", "select p_partkey, p_retailprice, l_orderkey, l_quantity from part join lineitem "
+                          "on l_partkey = p_partkey where p_size <= 2")
+def relation_lookup(spark, sf_dir):
+    """The small parts' prices, joined to external rows that are read by their keys."""
+    prices = read_parquet(spark, sf_dir, "part").filter("p_size <= 2").select("p_partkey", "p_retailprice")
+    found = ext_lookup(prices, on="p_partkey", key="l_partkey", table_name="lineitem", stable_input=True,
+                       connection=source(spark, sf_dir, "lineitem"), columns=["l_partkey", "l_orderkey", "l_quantity"])
+    return found.select("p_partkey", "p_retailprice", "l_orderkey", "l_quantity")
