@@ -12,7 +12,7 @@ from crossfeed.sources.lookup import ext_lookup
 from crossfeed.sources.scan import ext_multi_query, ext_query, ext_scan, register_dbapi
 
 # Code that runs inside tasks travels with them, so executors need no installed copy of the package.
-for _name in ("errors", "functions.remote_types", "functions.text", "sources.splits", "sources.dbapi"):
+for _name in ("errors", "functions.remote_types", "functions.text", "sources.splits", "sources.parts", "sources.dbapi"):
     cloudpickle.register_pickle_by_value(importlib.import_module(f"crossfeed.{_name}"))
 
 __all__ = [
