@@ -112,3 +112,17 @@ def tables(path):
             return raw.execute("SELECT name FROM sqlite_master WHERE type = 'table'").fetchall()
     except sqlite3.OperationalError:
         return []
+
+
+def test_computed_columns_are_typed_by_the_tasks_that_read_them(spark, split, monkeypatch):
+    """Each range has its own kinds of values: whole numbers in one, reals, text or bytes in others."""
+    from crossfeed.sources import scan
+    asked, describe = [], scan.describe
+    monkeypatch.setattr(scan, "describe", lambda session, relation, look: asked.append(look) or describe(session, relation, look))
+    query = """SELECT "t", CASE WHEN "t" < 200 THEN 1 ELSE 0.5 END AS mixed, CASE WHEN "t" < 200 THEN 1 ELSE 'x' END AS odd,
+        "t" + 0 AS number, CASE WHEN "t" < 100 THEN 9007199254740993 ELSE 0.5 END AS large, NULL AS empty FROM "pairs" """
+    found = cf.ext_query(spark, connection="split", query=query, partition_column="t", num_partitions=4)
+    assert asked[0] is not None
+    assert [field.dataType.simpleString() for field in found.schema] == [
+        "bigint", "double", "string", "bigint", "string", "string"]
+    assert sorted(row["number"] for row in found.collect()) == list(range(400))
