@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from crossfeed.admin import scratch_name
 from crossfeed.errors import ExternalError
-from crossfeed.fixtures import read_parquet, source, target
+from crossfeed.fixtures import balanced_cuts, read_parquet, source, target
 from crossfeed.operators.relations import join_relation_parameter
 from crossfeed.plans.registry import query
 from crossfeed.plans.scans import scan
@@ -156,5 +156,6 @@ def relation_lookup(spark, sf_dir):
     """The small parts' prices, joined to external rows that are read by their keys."""
     prices = read_parquet(spark, sf_dir, "part").filter("p_size <= 2").select("p_partkey", "p_retailprice")
     found = ext_lookup(prices, on="p_partkey", key="l_partkey", table_name="lineitem", stable_input=True,
-                       connection=source(spark, sf_dir, "lineitem"), columns=["l_partkey", "l_orderkey", "l_quantity"])
+                       connection=source(spark, sf_dir, "lineitem"), columns=["l_partkey", "l_orderkey", "l_quantity"],
+                       splits=balanced_cuts(spark, sf_dir, "lineitem"))
     return found.select("p_partkey", "p_retailprice", "l_orderkey", "l_quantity")

@@ -53,7 +53,7 @@ def matching_rows(relation: DataFrame, *, on: str, table_name: str | None = None
     """The rows of an external table whose ``key`` is a value of the relation's column ``on``; one partition per statement.
 
     ``splits`` are remote conditions, disjoint and covering the table, that cut every statement further, for keys with
-    very many rows. The whole table is scanned where there are more than ``max_keys`` different keys (``TEXT_KEYS`` for
+    very many rows, and a scan of the whole table. The whole table is scanned where there are more than ``max_keys`` different keys (``TEXT_KEYS`` for
     text), where they are too long, of a kind that has no exact literal, or of another kind than the table's; rows that match nothing are then among them.
     """
     spark, key = relation.sparkSession, key or on
@@ -75,10 +75,10 @@ def matching_rows(relation: DataFrame, *, on: str, table_name: str | None = None
                 lists = [f"{name} IN ({', '.join(sent[at:at + step])})" for at in range(0, len(sent), step)]
                 predicates = [f"({one}) AND ({split})" if split else one
                               for one in lists or ["1 = 0"] for split in splits or [""]]
-    frame = ext_scan(spark, table_name=table_name, connection=connection, predicates=predicates, **options)
+    frame = ext_scan(spark, table_name=table_name, connection=connection, predicates=predicates or splits, **options)
     if predicates and key in frame.columns and _class(frame.schema[key].dataType) != _class(kind):
         # the database and Spark may compare keys of two kinds in different ways
-        return ext_scan(spark, table_name=table_name, connection=connection, **options)
+        return ext_scan(spark, table_name=table_name, connection=connection, predicates=splits, **options)
     return frame
 
 

@@ -76,3 +76,15 @@ def test_errors(spark, lite):
     for options in ({"on": "x"}, {"on": "id", "how": "cross"}, {}):
         with pytest.raises(cf.ExternalError):
             cf.ext_lookup(spark.range(1), table_name="t", connection=lite, **options)
+
+
+def test_a_whole_table_is_read_by_the_splits(spark, table):
+    """More keys than are sent, and a table without a key of its own: not through one connection."""
+    name, connection, frame = table
+    relation = spark.range(100).withColumnRenamed("id", "n")
+    splits = ['"n" < 1000', '"n" >= 1000 AND "n" < 2000', '"n" >= 2000']
+    for options in ({"max_keys": 10}, {"max_keys": 200}):
+        found = lookup.matching_rows(relation, on="n", table_name=name, connection=connection, splits=splits, **options)
+        assert found.rdd.getNumPartitions() == 3
+        assert joined(found, relation.withColumn("tag", relation["n"]), "n") == joined(
+            frame, relation.withColumn("tag", relation["n"]), "n")
