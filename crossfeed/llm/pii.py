@@ -18,19 +18,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crossfeed.llm.common import in_small_batches, sampled
+from crossfeed.llm.common import drawn, in_small_batches, settled
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents, about, whose spans the network is trained on: so many with something that looks like personal data, and
 #: others besides.
 SAMPLE_ROWS, OTHER_ROWS = 6_000, 2_000
 #: What a text with a span of the patterns has; it lets more texts through than hold one.
-LOOKS_PERSONAL = r"@[A-Za-z0-9-]+\.|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|[0-9]([ -]?[0-9]){12}|\+[0-9][ ().0-9-]+[0-9]"
+LOOKS_PERSONAL = r"(?=[@0-9+])(?:@[A-Za-z0-9-]+\.|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|[0-9]([ -]?[0-9]){12}|\+[0-9][ ().0-9-]+[0-9])"
 #: Windows at most that one sampled document gives, and all of them.
 WINDOWS_PER_ROW, TRAINING_WINDOWS = 6, 4_000
 HIDDEN, TRAINING_WIDTH, BATCH, EPOCHS, RATE = 12, 96, 64, 14, 0.02
+#: Gates are straight lines of this slope between shut and open (the usual hard form of the logistic function).
+SLOPE = np.float32(0.2)
 #: Width of the windows of whole texts, and how much of each end is left to the neighbour.
-WIDTH, MARGIN, LANES = 512, 32, 512
+WIDTH, MARGIN, LANES = 512, 32, 384
 #: Windows are computed in multiples of so many, so that a window's numbers do not depend on how many there are.
 LANE_BLOCK = 16
 #: Score of a label behind the end of a text.
@@ -39,7 +41,8 @@ NEVER = np.float32(1e6)
 LEAD, SHORTEST = 2.0, 7
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+#: Every run of digits, with three more if they follow: a search that starts with a set of characters skips the rest fast.
+_IP = re.compile(r"[0-9]++((?:\.[0-9]++){3})?")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -76,6 +79,8 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, i
             done = domain.end()
         at = text.find("@", max(at + 1, done))
     for m in _IP.finditer(text):
+        if m.group(1) is None:
+            continue
         good = all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255 for part in m.group().split("."))
         spans.append(("ip", *m.span())) if good else failed.append(m.span())
     for m in _CARD.finditer(text):
@@ -115,31 +120,30 @@ def _run(x: np.ndarray, table: np.ndarray, u: np.ndarray, keep: bool) -> tuple[n
     """Hidden states of one direction over x (time, lanes), and, for training, what the way back needs."""
     steps, lanes = x.shape
     n = HIDDEN
-    table = table.copy()
-    table[:3 * n, 0] = -60.0  # outside the text all gates are shut
+    scaled_u, scaled = u.copy(), table.copy()
+    scaled_u[:3 * n] *= SLOPE
+    scaled[:3 * n] = scaled[:3 * n] * SLOPE + np.float32(0.5)
+    scaled[:3 * n, 0] = -60.0  # outside the text all gates are shut
+    by_class = np.ascontiguousarray(scaled.T)
+    shut, full = np.float32(0), np.float32(1)
     h, c = np.zeros((n, lanes), np.float32), np.zeros((n, lanes), np.float32)
     out, kept = np.empty((steps, n, lanes), np.float32), []
-    g, z, tmp = (np.empty((4 * n, lanes), np.float32), np.empty((4 * n, lanes), np.float32), np.empty((n, lanes), np.float32))
-    scaled_u, scaled = u.copy(), table.copy()
-    scaled_u[:3 * n] *= 0.5
-    scaled[:3 * n] *= 0.5
+    g, z, tmp = (np.empty((4 * n, lanes), np.float32), np.empty((lanes, 4 * n), np.float32), np.empty((n, lanes), np.float32))
+    gates, opened, forget, shown, cand = g[:3 * n], g[:n], g[n:2 * n], g[2 * n:3 * n], g[3 * n:]
     for t in range(steps):
         before = (h, c.copy()) if keep else None
-        np.take(scaled, x[t], axis=1, out=z, mode="clip")
+        by_class.take(x[t], axis=0, out=z, mode="wrap")
         np.matmul(scaled_u, h, out=g)
-        g += z
-        np.tanh(g, out=g)
-        s = g[:3 * n]
-        s *= 0.5
-        s += 0.5
-        c *= s[n:2 * n]
-        np.multiply(s[:n], g[3 * n:], out=tmp)
+        g += z.T
+        gates.clip(shut, full, out=gates)
+        np.tanh(cand, out=cand)
+        c *= forget
+        np.multiply(opened, cand, out=tmp)
         c += tmp
-        h = np.tanh(c, out=None if keep else h)
+        np.tanh(c, out=tmp)
         if keep:
-            kept.append((before[0], before[1], g.copy(), h.copy()))
-        h *= s[2 * n:]
-        out[t] = h
+            kept.append((before[0], before[1], g.copy(), tmp.copy()))
+        h = np.multiply(tmp, shown, out=out[t])
     return out, kept
 
 
@@ -153,7 +157,8 @@ def _back(x: np.ndarray, u: np.ndarray, kept: list, slope: np.ndarray) -> tuple[
         i, f, o, cand = g[:n], g[n:2 * n], g[2 * n:3 * n], g[3 * n:]
         dh = dh + slope[t]
         dc = dc + dh * o * (1 - tc * tc)
-        dz = np.concatenate([dc * cand * i * (1 - i), dc * c * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - cand * cand)])
+        moves = SLOPE * ((g[:3 * n] > 0) & (g[:3 * n] < 1))
+        dz = np.concatenate([dc * cand * moves[:n], dc * c * moves[n:2 * n], dh * tc * moves[2 * n:], dc * i * (1 - cand * cand)])
         one = np.zeros((x.shape[1], _CLASSES), np.float32)
         one[np.arange(x.shape[1]), x[t]] = 1
         d_table += dz @ one
@@ -199,16 +204,16 @@ def _crf(e: np.ndarray, t: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.nd
 def viterbi(e: np.ndarray, t: np.ndarray) -> np.ndarray:
     """Best labels (time, lanes)."""
     steps, k, lanes = e.shape
-    best, came = e[0], np.empty((steps, k, lanes), np.int8)
+    best, scores, moves = np.empty_like(e), np.empty((k, k, lanes), e.dtype), t[:, :, None]
+    best[0] = e[0]
     for s in range(1, steps):
-        scores = best[:, None, :] + t[:, :, None]
-        came[s] = scores.argmax(0)
-        best = e[s] + scores.max(0)
+        np.add(best[s - 1][:, None, :], moves, out=scores)
+        scores.max(0, out=best[s])
+        best[s] += e[s]
     y = np.empty((steps, lanes), np.int8)
-    y[-1] = best.argmax(0)
-    lane = np.arange(lanes)
+    y[-1] = best[-1].argmax(0)
     for s in range(steps - 1, 0, -1):
-        y[s - 1] = came[s, y[s], lane]
+        y[s - 1] = (best[s - 1] + t.take(y[s], axis=1)).argmax(0)
     return y
 
 
@@ -307,8 +312,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     rows = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
         .filter("doc_id IS NOT NULL AND text IS NOT NULL")
     looks = F.col("text").rlike(LOOKS_PERSONAL)
-    sample = sampled(rows.filter(looks), "doc_id", sample_rows).unionByName(sampled(rows, "doc_id", other_rows).filter(~looks)) \
-        .select("text", F.xxhash64("doc_id").alias("seed"))
+    total = rows.agg(F.count_if(looks).alias("looking"), F.count(F.lit(1)).alias("all")).first()
+    some, other = drawn("doc_id", sample_rows, total["looking"]), drawn("doc_id", other_rows, total["all"])
+    # the hash first: beyond the count, the pattern goes over the texts of few rows
+    sample = rows.filter(some | other).filter((some & looks) | (other & ~looks)).select("text", F.xxhash64("doc_id").alias("seed"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -318,7 +325,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
             yield pd.DataFrame(found, columns=["seed", "n", "text", "spans"])
 
     # at most sample_rows x (WINDOWS_PER_ROW + 2) windows of fixed width, of which as many as are used are fetched
-    cutting = sample.mapInPandas(cut, "seed long, n int, text string, spans string")
+    cutting = settled(sample.mapInPandas(cut, "seed long, n int, text string, spans string"))
     with_data = cutting.filter("spans <> ''").orderBy(F.xxhash64("seed", "n"), "text").limit(TRAINING_WINDOWS * 3 // 4).toPandas()
     without = cutting.filter("spans = ''").orderBy(F.xxhash64("seed", "n"), "text").limit(TRAINING_WINDOWS // 4).toPandas()
     if with_data.empty:
@@ -336,6 +343,8 @@ def added_spans(texts: list[str], known: list[list[tuple[int, int]]], model: dic
     coded = [classes(t) for t in texts]
     step = WIDTH - 2 * MARGIN
     places = [(d, at) for d, c in enumerate(coded) for at in range(0, max(len(c) - 2 * MARGIN, 1), step) if len(c)]
+    # windows of like lengths together, so that few steps are made behind the end of a text
+    places.sort(key=lambda place: min(WIDTH, len(coded[place[0]]) - place[1]))
     reach = max(0.0, float((model["t"] - model["t"][0, 0]).max()))
     for group in range(0, len(places), LANES):
         part = places[group:group + LANES]
@@ -345,16 +354,17 @@ def added_spans(texts: list[str], known: list[list[tuple[int, int]]], model: dic
         x = np.zeros((width, -(-len(part) // LANE_BLOCK) * LANE_BLOCK), np.intp)
         for lane, (d, at) in enumerate(part):
             x[:ends[lane], lane] = coded[d][at:at + ends[lane]]
-        e = emissions(model, x)[0][:, :, :len(part)].copy()
-        behind = np.arange(width)[:, None] >= ends
-        e[:, 1:] = np.where(behind[:, None], -NEVER, e[:, 1:])
-        e[:, 0] = np.where(behind, 0, e[:, 0])
-        lead = e[:, 1:] - e[:, :1]
+        e = emissions(model, x)[0][:, :, :len(part)]
+        shortest = int(ends.min())
+        behind = np.arange(shortest, width)[:, None] >= ends
+        e[shortest:, 1:] = np.where(behind[:, None], -NEVER, e[shortest:, 1:])
+        e[shortest:, 0] = np.where(behind, 0, e[shortest:, 0])
         # a path that leaves "no label" gains at most its leads and two transitions per character
-        lanes = np.flatnonzero((lead.max(1) + 2 * reach > 0).any(0))
+        lanes = np.flatnonzero((e[:, 1:].max(1) - e[:, 0]).max(0) + 2 * reach > 0)
         if not len(lanes):
             continue
-        labels = viterbi(np.ascontiguousarray(e[:, :, lanes]), model["t"])
+        e = e.take(lanes, axis=2)
+        labels = viterbi(e, model["t"])
         for column, lane in enumerate(lanes):
             y = labels[:, column]
             if not y.any():
@@ -365,7 +375,7 @@ def added_spans(texts: list[str], known: list[list[tuple[int, int]]], model: dic
                 kind = int(y[start])
                 middle = (start + end) // 2
                 core = (middle >= MARGIN or at == 0) and (middle < WIDTH - MARGIN or at + WIDTH >= len(coded[d]))
-                if kind and core and lead[start:end, kind - 1, lane].mean() >= LEAD:
+                if kind and core and (e[start:end, kind, column] - e[start:end, 0, column]).mean() >= LEAD:
                     found[d].append((KINDS[kind - 1], int(at + start), int(at + end)))
     return [_reconciled(text, spans, taken) for text, spans, taken in zip(texts, found, known)]
 

@@ -54,3 +54,56 @@ def test_rare_data_is_learned(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
     assert pii.train(docs, sample_rows=20, other_rows=20) is not None
     assert pii.train(docs.filter("doc_id < 3000"), sample_rows=20, other_rows=20) is None
+
+
+def test_windows_of_like_lengths_go_together(model, monkeypatch):
+    """Steps behind the end of a text are few, however short and long texts alternate."""
+    made, whole = [0], pii.emissions
+
+    def counted(model, x, keep=False):
+        made[0] += x.size
+        return whole(model, x, keep)
+
+    monkeypatch.setattr(pii, "emissions", counted)
+    mixed = ["short" * 4, "long words " * 45] * (pii.LANES * 2)
+    pii.all_spans(mixed, model)
+    assert made[0] <= 1.1 * sum(map(len, mixed))
+
+
+def test_training_reads_the_sample_once(spark, monkeypatch):
+    """The texts are gone over twice: counted, and cut into windows."""
+    calls = spark.sparkContext.accumulator(0)
+    whole = pii.windows
+
+    def counted(text, seed):
+        calls.add(1)
+        return whole(text, seed)
+
+    monkeypatch.setattr(pii, "windows", counted)
+    docs = spark.createDataFrame([(i, f"write to name{i}@host{i}.example.com today") for i in range(40)], "doc_id long, text string")
+    assert pii.train(docs) is not None and calls.value == 40
+
+
+def test_gradient_of_a_direction():
+    rng = np.random.default_rng(8)
+    x, n = rng.integers(0, pii._CLASSES, (6, 3)), pii.HIDDEN
+    table, u = rng.normal(size=(4 * n, pii._CLASSES)).astype(np.float32), rng.normal(0, 0.3, (4 * n, n)).astype(np.float32)
+    slope = rng.normal(size=(6, n, 3)).astype(np.float32)
+    x[0, 0] = 5
+
+    def loss():
+        return float((pii._run(x, table, u, False)[0].astype(float) * slope).sum())
+
+    d_table, d_u = pii._back(x, u, pii._run(x, table, u, True)[1], slope)
+    tried = [(table, d_table, (k, int(c))) for k in range(0, 4 * n, 5) for c in x[:2].ravel() if c] \
+        + [(u, d_u, (k, k % n)) for k in range(0, 4 * n, 5)]
+    near = []
+    for values, found, at in tried:
+        kept = values[at]
+        values[at] = kept + 1e-2
+        more = loss()
+        values[at] = kept - 1e-2
+        less = loss()
+        values[at] = kept
+        near.append(abs((more - less) / 2e-2 - found[at]) < 0.02 + 0.02 * abs(found[at]))
+    assert np.mean(near) > 0.9  # a gate may turn a corner between the two
