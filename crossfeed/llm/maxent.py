@@ -99,28 +99,56 @@ def context(code: np.ndarray) -> np.ndarray:
 
 def log_chances(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Natural log chances of all classes for each token. The last row of the weights is the bias."""
-    scores = weights[-1] + weights[features[:, 0]]
+    scores = _scores(weights, features)
+    scores -= np.log(np.exp(scores).sum(1, keepdims=True))
+    return scores
+
+
+def chances_of(weights: np.ndarray, features: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Natural log chance of each token's own class."""
+    scores = _scores(weights, features)
+    own = scores[np.arange(len(kind)), kind]
+    np.exp(scores, out=scores)
+    return own - np.log(scores.sum(1))
+
+
+def _scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Scores of all classes for each token, the largest 0."""
+    scores = weights.take(features[:, 0], axis=0)
+    scores += weights[-1]
     for k in range(1, ORDERS):
-        scores += weights[features[:, k]]
+        scores += weights.take(features[:, k], axis=0)
     scores -= scores.max(1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(1, keepdims=True))
+    return scores
 
 
 def descend(weights: np.ndarray, gathered: np.ndarray, seen: np.ndarray, features: np.ndarray, kind: np.ndarray) -> None:
     """One adaptive gradient step on a batch, in place; ``gathered`` has the squares per weight, ``seen`` the tokens per feature."""
-    slope = np.exp(log_chances(weights, features))
+    slope = _scores(weights, features)
+    np.exp(slope, out=slope)
+    slope /= slope.sum(1, keepdims=True)
     slope[np.arange(len(kind)), kind] -= 1
     for k in range(ORDERS):
-        column = features[:, k]
+        column = np.ascontiguousarray(features[:, k])
         order = np.argsort(column, kind="stable")
         ordered = column[order]
         starts = np.append(0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1)
-        rows = ordered[starts]
-        sums = np.add.reduceat(slope[order], starts, axis=0)
-        squares = gathered[rows] + sums * sums
+        times = np.diff(np.append(starts, len(order)))
+        # a feature's first token, and to it the others of those that come again
+        sums, again = slope.take(order[starts], axis=0), np.flatnonzero(times > 1)
+        if len(again):
+            inside = np.repeat(times > 1, times)
+            sums[again] = np.add.reduceat(slope.take(order[inside], axis=0),
+                                          np.append(0, np.cumsum(times[again])[:-1]), axis=0)
+        rows = ordered[starts].astype(np.intp)
+        squares = sums * sums
+        squares += gathered.take(rows, axis=0)
         gathered[rows] = squares
-        weights[rows] -= RATE * sums / np.sqrt(squares)
-        seen[rows] += np.diff(np.append(starts, len(order)))
+        np.sqrt(squares, out=squares)
+        sums *= RATE
+        sums /= squares
+        weights[rows] = np.subtract(weights.take(rows, axis=0), sums, out=sums)
+        seen[rows] += times
     total = slope.sum(0)
     gathered[-1] += total * total
     weights[-1] -= RATE * total / np.sqrt(gathered[-1])
@@ -219,8 +247,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                     place, kind, code, rare = lex.read(toks)
                     features, chance = context(code), 0.0
                     for k in range(0, len(kind), BATCH):
-                        logs = log_chances(w, features[k:k + BATCH])
-                        chance += float(logs[np.arange(len(logs)), kind[k:k + BATCH]].sum(dtype=float))
+                        chance += float(chances_of(w, features[k:k + BATCH], kind[k:k + BATCH]).sum(dtype=float))
                     others = Counter(rare)
                     out.append((len(toks), int((place >= 0).sum()), float(lex.log_count[place].sum()),
                                 chance / math.log(10) - float(class_size[kind].sum()), list(others), list(others.values())))
