@@ -7,7 +7,8 @@ and both together. Its weights are trained by distributed gradient updates: in e
 of the training texts from the same weights, and their changes are averaged by how often a feature was seen.
 
 Counts cover all training texts. Words of the ``TOP`` most frequent are looked up in the workers; all others are joined
-with the whole table of counts. Texts are scored in sparse numpy batches: gathers of weight rows.
+with the whole table of counts. Texts are cut and looked up as whole Arrow batches, and scored in sparse numpy blocks:
+gathers of weight rows.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,31 +34,47 @@ OWN_CLASSES, ENDING_CLASSES = 31, 17
 CLASSES = OWN_CLASSES + ENDING_CLASSES
 FEATURES, ORDERS = 1 << 14, 3
 ROUNDS, RATE, BATCH = 3, 0.4, 4096
+#: Rows handled at once within a batch, so that they stay in the processor's cache.
+BLOCK = 512
+#: A feature met more often in a batch is summed by itself, the others together.
+OFTEN = 8
 #: Different words a task counts before it passes them on.
 FLUSH = 200_000
 #: The end of a text; no word is empty.
 END = b""
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words, A-Z lower-cased, and the end."""
-    return [*(text.encode("utf-8", "replace").lower().split() if text else []), END]
+def tokens(texts: pa.Array) -> pa.Array:
+    """Of each text its words, A-Z lower-cased, and the end; a NULL text is an empty one."""
+    words = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    # a space behind the last word leaves an empty piece, the end; so does a text without words
+    space = pa.array(["", " "], words.type).take(pc.greater(pc.binary_length(words), 0).cast(pa.int8()))
+    pieces = pc.ascii_split_whitespace(pc.binary_join_element_wise(words, space, pa.scalar("", words.type)))
+    return pieces.cast(pa.list_(pa.binary()))
 
 
 def ending_class(word: bytes) -> int:
     return OWN_CLASSES + zlib.crc32(word[-2:]) % ENDING_CLASSES
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    found: Counter = Counter()
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, rows = [], 0
+
+    def merged() -> pa.Table:
+        sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return pa.table({"word": sums["word"], "n": sums["n_sum"]})
+
     for batch in batches:
-        for text in batch["text"]:
-            found.update(tokens(text))
-            if len(found) > FLUSH:
-                yield pd.DataFrame({"word": list(found.keys()), "n": list(found.values())})
-                found.clear()
-    if found:
-        yield pd.DataFrame({"word": list(found.keys()), "n": list(found.values())})
+        found = pc.value_counts(tokens(batch.column("text")).flatten())
+        held.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
+        rows += len(found)
+        if rows > 2 * FLUSH:
+            held = [merged()]
+            if len(held[0]) > FLUSH:
+                yield from held.pop().to_batches()
+            rows = sum(map(len, held))
+    if held:
+        yield from merged().to_batches()
 
 
 def own_words(words: list[bytes]) -> list[bytes]:
@@ -69,18 +86,23 @@ class Lexicon:
     """What the workers know of words: the top ones with their counts, classes and feature hashes."""
 
     def __init__(self, words: list[bytes], counts: list[int]):
-        self.place = {w: i for i, w in enumerate(words)}
+        self.words = pa.array(words, pa.binary())
         of_own = {w: i for i, w in enumerate(own_words(words))} | {END: OWN_CLASSES - 1}
         self.log_count = np.log10(np.append(np.array(counts, float), 0) + 1)
-        self.classes = np.array([of_own[w] if w in of_own else ending_class(w) for w in words] + [0], np.int64)
+        self.classes = np.array([of_own[w] if w in of_own else ending_class(w) for w in words] + [0], np.int16)
         self.hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words] + [0], np.uint64)
 
-    def read(self, toks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    def places(self, toks: pa.Array) -> np.ndarray:
+        """Place among the top words per token, or -1."""
+        return pc.fill_null(pc.index_in(toks, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+
+    def read(self, toks: pa.Array | list[bytes], place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
         """(place or -1, class, hash) per token, and the tokens that are not among the top words."""
-        place = np.fromiter(map(self.place.get, toks, repeat(-1)), np.int64, len(toks))
+        toks = toks if isinstance(toks, pa.Array) else pa.array(toks, pa.binary())
+        place = self.places(toks) if place is None else place
         kind, code = self.classes[place], self.hashes[place]
         other = np.flatnonzero(place < 0)
-        rare = [toks[i] for i in other]
+        rare = toks.take(pa.array(other)).to_numpy(zero_copy_only=False).tolist()
         if rare:
             end = OWN_CLASSES - 1
             kind[other] = [end if w == END else ending_class(w) for w in rare]
@@ -88,13 +110,50 @@ class Lexicon:
         return place, kind, code, rare
 
 
-def context(code: np.ndarray) -> np.ndarray:
-    """Feature numbers (token, order) of the tokens of one text."""
-    one = np.concatenate([np.ones(1, np.uint64), code[:-1]])
-    two = np.concatenate([np.ones(min(2, len(code)), np.uint64), code[:-2]])[:len(code)]
+_LEXICON: list = [None, None]
+
+
+def _lexicon(shared) -> Lexicon:
+    """The lexicon of a broadcast, made once in a worker and kept for its next tasks."""
+    if _LEXICON[0] is not shared.value:
+        _LEXICON[:] = shared.value, Lexicon(*shared.value)
+    return _LEXICON[1]
+
+
+def runs(lengths: np.ndarray, size: int, held: int = 0) -> Iterator[tuple[int, int]]:
+    """(first, behind the last) of neighbouring texts that together have ``size`` tokens or just more; ``held`` count with the first run."""
+    ends, first = np.cumsum(lengths, dtype=np.int64), 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = min(int(np.searchsorted(ends, before + size - held)) + 1, len(ends))
+        yield first, last
+        first, held = last, 0
+
+
+def _read(lex: Lexicon, texts: pa.Array, size: int, held: int = 0) -> Iterator[tuple]:
+    """Per run of texts: its first and the one behind its last, their starts, and place, class and features per token, rare tokens."""
+    lists = tokens(texts)
+    words, lengths = lists.flatten(), lists.value_lengths().to_numpy()
+    place, ends = lex.places(words), np.append(0, np.cumsum(lengths, dtype=np.int64))
+    for first, last in runs(lengths, size, held):
+        at, to = int(ends[first]), int(ends[last])
+        starts = ends[first:last] - at
+        here, kind, code, rare = lex.read(words.slice(at, to - at), place[at:to])
+        yield first, last, starts, here, kind, context(code, starts), rare
+
+
+def context(code: np.ndarray, starts: np.ndarray | slice = slice(0, 1)) -> np.ndarray:
+    """Feature numbers (token, order) of the tokens of texts that begin at ``starts``; by default those of one text."""
+    one, two = np.empty_like(code), np.empty_like(code)
+    one[1:] = code[:-1]
+    one[starts] = 1
+    two[1:] = one[:-1]
+    two[starts] = 1
     mix = np.uint64(0x9E3779B97F4A7C15)
-    keys = np.stack([one * mix, (two + np.uint64(77)) * mix, (one ^ (two * mix)) * mix + np.uint64(5)], 1)
-    return ((keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(50)).astype(np.uint16)
+    features = np.empty((ORDERS, len(code)), np.uint16)
+    for k, keys in enumerate((one * mix, (two + np.uint64(77)) * mix, (one ^ (two * mix)) * mix + np.uint64(5))):
+        features[k] = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(50)
+    return features.T
 
 
 def log_chances(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -104,12 +163,23 @@ def log_chances(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     return scores
 
 
-def chances_of(weights: np.ndarray, features: np.ndarray, kind: np.ndarray) -> np.ndarray:
-    """Natural log chance of each token's own class."""
-    scores = _scores(weights, features)
-    own = scores[np.arange(len(kind)), kind]
-    np.exp(scores, out=scores)
-    return own - np.log(scores.sum(1))
+def powers_of(weights: np.ndarray) -> np.ndarray | None:
+    """Exponentials of the weights, or None if products of them could leave the range of a float."""
+    return np.exp(weights) if (ORDERS + 1) * float(np.abs(weights).max()) < 80 else None
+
+
+def chances_of(weights: np.ndarray, features: np.ndarray, kind: np.ndarray, powers: np.ndarray | None = None) -> np.ndarray:
+    """Natural log chance of each token's own class; with ``powers`` the exponentials are multiplied instead of made anew."""
+    if powers is None:
+        scores = _scores(weights, features)
+        own = scores[np.arange(len(kind)), kind]
+        np.exp(scores, out=scores)
+        return own - np.log(scores.sum(1))
+    product = powers.take(features[:, 0], axis=0)
+    for k in range(1, ORDERS):
+        product *= powers.take(features[:, k], axis=0)
+    own = product.ravel().take(np.arange(len(kind)) * product.shape[1] + kind) * powers[-1].take(kind)
+    return np.log(own) - np.log(product @ powers[-1])
 
 
 def _scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -122,32 +192,44 @@ def _scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     return scores
 
 
+def _sums(slope: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of a column, how often each comes, and the sum of its tokens' slopes."""
+    order = np.argsort(column, kind="stable")
+    ordered = column[order]
+    starts = np.append(0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1)
+    times = np.diff(np.append(starts, len(order)))
+    # those that come more often first, so that what has a next token is always a front part
+    falling = np.argsort((OFTEN + 1 - np.minimum(times, OFTEN + 1)).astype(np.uint8), kind="stable")
+    starts, times = starts[falling], times[falling]
+    sums, often = slope.take(order[starts], axis=0), int((times > OFTEN).sum())
+    for i in range(often):
+        slope.take(order[starts[i]:starts[i] + times[i]], axis=0).sum(0, out=sums[i])
+    for nth in range(1, OFTEN):
+        to = int((times > nth).sum())
+        if to == often:
+            break
+        sums[often:to] += slope.take(order[starts[often:to] + nth], axis=0)
+    return ordered[starts].astype(np.intp), times, sums
+
+
 def descend(weights: np.ndarray, gathered: np.ndarray, seen: np.ndarray, features: np.ndarray, kind: np.ndarray) -> None:
     """One adaptive gradient step on a batch, in place; ``gathered`` has the squares per weight, ``seen`` the tokens per feature."""
-    slope = _scores(weights, features)
-    np.exp(slope, out=slope)
-    slope /= slope.sum(1, keepdims=True)
-    slope[np.arange(len(kind)), kind] -= 1
+    slope, ones = np.empty((len(kind), weights.shape[1]), weights.dtype), np.ones(weights.shape[1], weights.dtype)
+    for at in range(0, len(kind), BLOCK):
+        part = np.exp(_scores(weights, features[at:at + BLOCK]), out=slope[at:at + BLOCK])
+        part /= (part @ ones)[:, None]
+    slope.ravel()[np.arange(len(kind)) * slope.shape[1] + kind] -= 1
     for k in range(ORDERS):
-        column = np.ascontiguousarray(features[:, k])
-        order = np.argsort(column, kind="stable")
-        ordered = column[order]
-        starts = np.append(0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1)
-        times = np.diff(np.append(starts, len(order)))
-        # a feature's first token, and to it the others of those that come again
-        sums, again = slope.take(order[starts], axis=0), np.flatnonzero(times > 1)
-        if len(again):
-            inside = np.repeat(times > 1, times)
-            sums[again] = np.add.reduceat(slope.take(order[inside], axis=0),
-                                          np.append(0, np.cumsum(times[again])[:-1]), axis=0)
-        rows = ordered[starts].astype(np.intp)
-        squares = sums * sums
-        squares += gathered.take(rows, axis=0)
-        gathered[rows] = squares
-        np.sqrt(squares, out=squares)
-        sums *= RATE
-        sums /= squares
-        weights[rows] = np.subtract(weights.take(rows, axis=0), sums, out=sums)
+        rows, times, sums = _sums(slope, np.ascontiguousarray(features[:, k]))
+        for at in range(0, len(rows), BLOCK):
+            here, change = rows[at:at + BLOCK], sums[at:at + BLOCK]
+            squares = change * change
+            squares += gathered.take(here, axis=0)
+            gathered[here] = squares
+            np.sqrt(squares, out=squares)
+            change *= RATE
+            change /= squares
+            weights[here] = np.subtract(weights.take(here, axis=0), change, out=change)
         seen[rows] += times
     total = slope.sum(0)
     gathered[-1] += total * total
@@ -160,8 +242,8 @@ def _gradient_round(texts: DataFrame, lexicon, start: np.ndarray) -> np.ndarray:
     shared = texts.sparkSession.sparkContext.broadcast(start)
     columns = [f"c{i}" for i in range(CLASSES)]
 
-    def passes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first, lex = shared.value, Lexicon(*lexicon.value)
+    def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, lex = shared.value, _lexicon(lexicon)
         weights, gathered = first.copy(), np.ones_like(first)
         seen = np.zeros(len(first))
         held, size = [], 0
@@ -173,9 +255,8 @@ def _gradient_round(texts: DataFrame, lexicon, start: np.ndarray) -> np.ndarray:
             held.clear()
 
         for batch in batches:
-            for text in batch["text"]:
-                _, kind, code, _ = lex.read(tokens(text))
-                held.append((context(code), kind))
+            for *_, kind, features, _ in _read(lex, batch.column("text"), 8 * BATCH, size):
+                held.append((features, kind))
                 size += len(kind)
                 if size >= 8 * BATCH:
                     step()
@@ -183,14 +264,12 @@ def _gradient_round(texts: DataFrame, lexicon, start: np.ndarray) -> np.ndarray:
         if held:
             step()
         rows = np.flatnonzero(seen)
-        change = (weights[rows] - first[rows]) * seen[rows, None]
-        frame = pd.DataFrame(change.astype(np.float32), columns=columns)
-        frame.insert(0, "seen", seen[rows])
-        frame.insert(0, "row", rows)
-        yield frame
+        change = np.ascontiguousarray(((weights[rows] - first[rows]) * seen[rows, None]).astype(np.float32).T)
+        yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int32)), pa.array(seen[rows]), *map(pa.array, change)],
+                                         ["row", "seen", *columns])
 
     schema = "row int, seen double, " + ", ".join(f"{c} float" for c in columns)
-    changes = (texts.mapInPandas(passes, schema).groupBy("row")
+    changes = (texts.mapInArrow(passes, schema).groupBy("row")
                .agg(F.sum("seen").alias("seen"), *[F.sum(c).alias(c) for c in columns]).toPandas())
     out = start.copy()
     if len(changes):
@@ -206,7 +285,7 @@ def train(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> d
     """
     spark = docs.sparkSession
     texts = in_small_batches(docs).select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
-    counts = settled(texts.select("text").mapInPandas(_counted, "word binary, n long")
+    counts = settled(texts.select("text").mapInArrow(_counted, "word binary, n long")
                      .groupBy("word").agg(F.sum("n").alias("n")))
     top = most_frequent(counts, TOP).toPandas().sort_values(["n", "word"], ascending=[False, True])
     known = ([bytes(w) for w in top["word"]], [int(n) for n in top["n"]])
@@ -236,27 +315,28 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     lexicon, weights, class_size = model["lexicon"], model["weights"], model["class_size"]
     named = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lex, w = Lexicon(*lexicon.value), weights.value
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex, w = _lexicon(lexicon), weights.value
+        powers = powers_of(w)
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at:at + 512]
-                out = []
-                for text in part["text"]:
-                    toks = tokens(text)
-                    place, kind, code, rare = lex.read(toks)
-                    features, chance = context(code), 0.0
-                    for k in range(0, len(kind), BATCH):
-                        chance += float(chances_of(w, features[k:k + BATCH], kind[k:k + BATCH]).sum(dtype=float))
-                    others = Counter(rare)
-                    out.append((len(toks), int((place >= 0).sum()), float(lex.log_count[place].sum()),
-                                chance / math.log(10) - float(class_size[kind].sum()), list(others), list(others.values())))
-                frame = pd.DataFrame(out, columns=["n_tokens", "n_top", "log_top", "chance", "rare", "times"])
-                frame.insert(0, "doc_id", part["doc_id"].to_numpy())
-                yield frame
+            for first, last, starts, place, kind, features, rare in _read(lex, batch.column("text"), 32 * BATCH):
+                chance = np.empty(len(kind))
+                for k in range(0, len(kind), BLOCK):
+                    chance[k:k + BLOCK] = chances_of(w, features[k:k + BLOCK], kind[k:k + BLOCK], powers)
+                ends = np.append(starts, len(kind))
+                cuts = np.searchsorted(np.flatnonzero(place < 0), ends)
+                others = [Counter(rare[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").slice(first, last - first), pa.array(np.diff(ends)),
+                    pa.array(np.add.reduceat((place >= 0).astype(np.int64), starts)),
+                    pa.array(np.add.reduceat(lex.log_count[place], starts)),
+                    pa.array(np.add.reduceat(chance / math.log(10) - class_size[kind], starts)),
+                    pa.array([list(o) for o in others], pa.list_(pa.binary())),
+                    pa.array([list(o.values()) for o in others], pa.list_(pa.int32()))],
+                    ["doc_id", "n_tokens", "n_top", "log_top", "chance", "rare", "times"])
 
     id_type = named.schema["doc_id"].dataType.simpleString()
-    parts = named.mapInPandas(rows, f"doc_id {id_type}, n_tokens long, n_top long, log_top double, chance double, "
+    parts = named.mapInArrow(rows, f"doc_id {id_type}, n_tokens long, n_top long, log_top double, chance double, "
                                     "rare array<binary>, times array<int>")
     parts = settled(parts.withColumn("row", F.monotonically_increasing_id()))
     each = (parts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r"))
